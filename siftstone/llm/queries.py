@@ -11,7 +11,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read_table
+from .decontaminate import contamination_digest, find_contamination
 from .exact_dedup import exact_dedup
+from .token_files import read_token_files, write_token_files
+
+
+def tokenizer_path() -> str:
+    """Where the box keeps the byte-level BPE file; the operator takes any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return contamination_digest(find_contamination(spark, docs, benchmark))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_token_files(spark, read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return read_token_files(spark, manifest)
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,10 +38,45 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
+    "op8_token_files": op8_token_files,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": f"""
+        WITH b AS (
+          SELECT item_id, regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
+                                             '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+') AS w
+          FROM benchmark
+        ), win AS (
+          SELECT DISTINCT item_id, least(10, len(w)) AS n,
+                 array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS words
+          FROM b, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS u(i)
+          WHERE len(w) > 0
+        ), d AS (
+          SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
+                                                     '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+'), []) AS w
+          FROM documents
+        ), at AS (
+          SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS words
+          FROM d, (SELECT DISTINCT n FROM win) AS lens, unnest(range(1, len(w) - n + 2)) AS u(i)
+        ), found AS (
+          SELECT at.doc_id, at.i, at.n, win.item_id FROM at JOIN win USING (n, words)
+        ), hit AS (
+          SELECT doc_id, count(DISTINCT p) AS n_hit
+          FROM found, unnest(range(i, i + n)) AS u(p) GROUP BY doc_id
+        ), ids AS (
+          SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+        )
+        SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
+    """,
     "op10_exact_dedup": """
         WITH n AS (
           SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
