@@ -60,11 +60,11 @@ ORACLE_SQL: dict[str, str] = {
           SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
                                                      '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+'), []) AS w
           FROM documents
-        ), at AS (
+        ), spots AS (
           SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS words
           FROM d, (SELECT DISTINCT n FROM win) AS lens, unnest(range(1, len(w) - n + 2)) AS u(i)
         ), found AS (
-          SELECT at.doc_id, at.i, at.n, win.item_id FROM at JOIN win USING (n, words)
+          SELECT s.doc_id, s.i, s.n, win.item_id FROM spots AS s JOIN win USING (n, words)
         ), hit AS (
           SELECT doc_id, count(DISTINCT p) AS n_hit
           FROM found, unnest(range(i, i + n)) AS u(p) GROUP BY doc_id
