@@ -9,10 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read_table
 from .decontaminate import contamination_digest, find_contamination
 from .exact_dedup import exact_dedup
+from .language_id import identify_language, learn_dictionaries, remainder
+from .secret_scan import scan_secrets
 from .token_files import read_token_files, write_token_files
 
 
@@ -23,11 +26,22 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(read_table(spark, sf_dir, "documents")).drop("links")
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
     return contamination_digest(find_contamination(spark, docs, benchmark))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = identify_language(docs, learn_dictionaries(docs, remainder(4) != 2))
+    held = F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held, "lang_pred", "score", "rejected")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = write_token_files(spark, read_table(spark, sf_dir, "documents"), tokenizer_path())
     return read_token_files(spark, manifest)
@@ -38,7 +52,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
+    "op7_language_id": op7_language_id,
     "op8_token_files": op8_token_files,
     "op10_exact_dedup": op10_exact_dedup,
 }
