@@ -16,14 +16,15 @@ from .decontaminate import contamination_digest, find_contamination
 from .exact_dedup import exact_dedup
 from .language_id import identify_language, learn_dictionaries, remainder
 from .secret_scan import scan_secrets
+from .token_count import count_tokens
 from .token_files import read_token_files, write_token_files
 
 
-def tokenizer_path() -> str:
-    """Where the box keeps the byte-level BPE file; the operator takes any path."""
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the box keeps a public vocabulary file; the operators take any path."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +48,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, manifest)
 
 
+def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, read_table(spark, sf_dir, "documents"))
 
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op7_language_id": op7_language_id,
     "op8_token_files": op8_token_files,
+    "op9_token_count": op9_token_count,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
