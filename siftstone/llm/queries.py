@@ -15,6 +15,7 @@ from .common import read_table
 from .decontaminate import contamination_digest, find_contamination
 from .exact_dedup import exact_dedup
 from .language_id import identify_language, learn_dictionaries, remainder
+from .mixing import mix_documents
 from .secret_scan import scan_secrets
 from .token_count import count_tokens
 from .token_files import read_token_files, write_token_files
@@ -36,6 +37,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(find_contamination(spark, docs, benchmark))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_documents(spark, read_table(spark, sf_dir, "documents"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = identify_language(docs, learn_dictionaries(docs, remainder(4) != 2))
@@ -59,6 +64,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
+    "op3_mixing": op3_mixing,
     "op7_language_id": op7_language_id,
     "op8_token_files": op8_token_files,
     "op9_token_count": op9_token_count,
