@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .common import read_table
 from .decontaminate import contamination_digest, find_contamination
 from .exact_dedup import exact_dedup
+from .jaccard_join import Rule, jaccard_components
 from .language_id import identify_language, learn_dictionaries, remainder
 from .mixing import mix_documents
 from .secret_scan import scan_secrets
@@ -41,6 +42,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(spark, read_table(spark, sf_dir, "documents"), Rule(width=3, num=90, den=100))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = identify_language(docs, learn_dictionaries(docs, remainder(4) != 2))
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
     "op3_mixing": op3_mixing,
+    "op5_jaccard_join": op5_jaccard_join,
     "op7_language_id": op7_language_id,
     "op8_token_files": op8_token_files,
     "op9_token_count": op9_token_count,
@@ -105,6 +111,31 @@ ORACLE_SQL: dict[str, str] = {
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
     """,
+    "op5_jaccard_join": f"""
+        WITH RECURSIVE d AS (
+          SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
+                                                     '[^\\x20\\x09-\\x0D]+'), []) AS w
+          FROM documents
+        ), s AS (
+          SELECT DISTINCT doc_id, array_to_string(w[i : i + least(3, len(w)) - 1], ' ') AS words
+          FROM d, unnest(range(1, greatest(len(w) - 3, 0) + 2)) AS u(i)
+          WHERE len(w) > 0
+        ), n AS (
+          SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), met AS (
+          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+          FROM s AS a JOIN s AS b ON a.words = b.words AND a.doc_id <> b.doc_id GROUP BY ALL
+        ), link AS (
+          SELECT a, b FROM met JOIN n AS na ON a = na.doc_id JOIN n AS nb ON b = nb.doc_id
+          WHERE 100 * c >= 90 * (na.n + nb.n - c)
+        ), reach AS (
+          SELECT doc_id, doc_id AS r FROM documents
+          UNION
+          SELECT reach.doc_id, link.b FROM reach JOIN link ON reach.r = link.a
+        )
+        SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r) AS component_id
+        FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+    """,
     "op10_exact_dedup": """
         WITH n AS (
           SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
