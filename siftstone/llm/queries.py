@@ -20,6 +20,7 @@ from .mixing import mix_documents
 from .secret_scan import scan_secrets
 from .token_count import count_tokens
 from .token_files import read_token_files, write_token_files
+from .tool_calls import link_tool_calls, reply_tools, turns_as_calls
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -42,6 +43,14 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links user turns, as calls, with the assistant turns that answer them."""
+    calls, results = turns_as_calls(read_table(spark, sf_dir, "conversations"))
+    linked = link_tool_calls(spark, calls, results, reply_tools(spark))
+    errors = F.array_join("errors", ",").alias("errors")
+    return linked.select("conv_id", "call_id", "turn", "level", "result_turn", "status", errors, "json")
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark, read_table(spark, sf_dir, "documents"), Rule(width=3, num=90, den=100))
 
@@ -70,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
     "op3_mixing": op3_mixing,
+    "op4_tool_calls": op4_tool_calls,
     "op5_jaccard_join": op5_jaccard_join,
     "op7_language_id": op7_language_id,
     "op8_token_files": op8_token_files,
@@ -111,6 +121,25 @@ ORACLE_SQL: dict[str, str] = {
                coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
     """,
+    "op4_tool_calls": """
+        WITH c AS (
+          SELECT DISTINCT conv_id, turn, role, text FROM conversations
+        ), r AS (
+          SELECT conv_id, turn - 1 AS call_turn, text FROM c WHERE role = 'assistant'
+        ), f AS (
+          SELECT conv_id, call_turn, min(text) AS text FROM r GROUP BY ALL
+        )
+        SELECT c.conv_id, 'c' || c.turn AS call_id, c.turn, 0 AS level,
+               CASE WHEN f.conv_id IS NOT NULL THEN c.turn + 1 END AS result_turn,
+               CASE WHEN f.conv_id IS NULL THEN 'pending' ELSE 'linked' END AS status,
+               '' AS errors,
+               '{"arguments":{"text":' || coalesce(CAST(to_json(c.text) AS VARCHAR), 'null') || ',"turn":' || c.turn
+               || '},"id":"c' || c.turn || '","name":"reply","result":'
+               || coalesce(CAST(to_json(f.text) AS VARCHAR), 'null')
+               || CASE WHEN f.conv_id IS NULL THEN ',"status":"pending"}' ELSE ',"status":"linked"}' END AS json
+        FROM c LEFT JOIN f ON c.conv_id = f.conv_id AND c.turn = f.call_turn
+        WHERE c.role = 'user'
+    """,
     "op5_jaccard_join": f"""
         WITH RECURSIVE d AS (
           SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
