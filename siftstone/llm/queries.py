@@ -17,6 +17,7 @@ from .exact_dedup import exact_dedup
 from .jaccard_join import Rule, jaccard_components
 from .language_id import identify_language, learn_dictionaries, remainder
 from .mixing import mix_documents
+from .quality import learn_quality, score_quality
 from .secret_scan import scan_secrets
 from .token_count import count_tokens
 from .token_files import read_token_files, write_token_files
@@ -55,6 +56,13 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(spark, read_table(spark, sf_dir, "documents"), Rule(width=3, num=90, den=100))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (read_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    scored = score_quality(docs, learn_quality(docs, labels, remainder(3) != 1))
+    held = F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held, "score", "predicted")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = identify_language(docs, learn_dictionaries(docs, remainder(4) != 2))
@@ -81,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_mixing": op3_mixing,
     "op4_tool_calls": op4_tool_calls,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_quality": op6_quality,
     "op7_language_id": op7_language_id,
     "op8_token_files": op8_token_files,
     "op9_token_count": op9_token_count,
