@@ -14,9 +14,9 @@ method exact, windows from the triangle inequality, and changes the pivots:
   nothing; a set with at most e of them leaves them out.
 * **Pivots in regions.** The most central set of a region is its pivot. All others
   are compared with it; what it links is settled. Regions that still hold more than
-  one component recurse: small ones compare the pairs between components, large ones
-  are joined block by block on their class vectors, which must agree in enough
-  places, before sets are compared in full.
+  one component go on: small ones give the pairs between components, large ones are
+  joined block by block. Either way a pair must agree in as many classes as its two
+  sizes demand before its sets are compared.
 
 Rows with equal shingle sets are one node, and regions are found by a range
 partitioning of (key, doc_id), so that neither copies nor a region that many
@@ -139,7 +139,8 @@ class Rule:
         sums = np.zeros(classes, dtype=np.uint64)
         sums[cls[first]] = np.add.reduceat(_mix(values + _M1), first)
         own = np.arange(classes, dtype=np.uint64) * np.uint64(1 << 12) + np.uint64(ring + 1)
-        keys = _mix(sums + _mix(own * _M1)) | np.uint64(1)
+        # the low bits name the ring, so that agreement can be counted ring by ring
+        keys = _mix(sums + _mix(own * _M1)) & ~np.uint64(127) | np.uint64(ring * 2 + 1)
         if classes - len(first) <= spare:
             empty = np.ones(classes, dtype=bool)
             empty[cls[first]] = False
@@ -246,15 +247,15 @@ def _sets(rule: Rule):
     return run
 
 
-def _agreeing(rule: Rule):
-    """Pairs of a block pair whose class vectors agree in enough places."""
+def _block_links(rule: Rule):
+    """Links between components in one pair of blocks, verified on the whole sets."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["n", "doc_id"], kind="stable")
         docs, n, roots = (pdf[c].to_numpy() for c in ("doc_id", "n", "root"))
         blocks, low, high = pdf["block"].to_numpy(), pdf["low"].iloc[0], pdf["high"].iloc[0]
         _, _, classes, spare = rule.rings[int(pdf["ring"].iloc[0])]
-        vectors = np.stack(pdf["keys"].to_numpy())
+        vectors, sets = np.stack(pdf["keys"].to_numpy()), pdf["hashes"].to_numpy()
         out_a, out_b = [], []
         for i in range(len(docs) - 1):
             # sizes ascend, so the partners of i end where the window does
@@ -267,6 +268,12 @@ def _agreeing(rule: Rule):
                 continue
             agree = (vectors[j] == vectors[i]).sum(axis=1)
             j = j[agree >= classes - rule.differ(n[i] + n[j]) - spare]
+            if not len(j):
+                continue
+            at = np.searchsorted(sets[i], flat := np.concatenate(sets[j]))
+            hit = sets[i][np.minimum(at, len(sets[i]) - 1)] == flat
+            common = np.add.reduceat(hit, np.r_[0, np.cumsum(n[j])[:-1]], dtype=np.int64)
+            j = j[common * rule.den >= (n[i] + n[j] - common) * rule.num]
             out_a.append(np.full(len(j), docs[i]))
             out_b.append(docs[j])
         made = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (out_a, out_b))
@@ -334,25 +341,34 @@ class _Join:
         left = settled.join(self.scratch.save(open_keys.select("key"), "open"), "key")
         sized = signed.select("doc_id", "n")
         left = self.scratch.save(left, "left")
-        few = self._pairs(left, sized)
-        many = self._blocks(left, rays, signed)
-        more = self.verified(few.unionAll(many).distinct(), sets, "links-rest")
-        return links.unionAll(more)
+        few = self.verified(self._pairs(left, sized), sets, "links-small")
+        many = self.scratch.save(self._blocks(left, rays, signed, sets), "links-large")
+        return links.unionAll(few).unionAll(many)
 
     def _pairs(self, left: DataFrame, sized: DataFrame) -> DataFrame:
-        """Pairs between components in small regions, within the size window."""
+        """Pairs between components that small regions bring together often enough.
+
+        Linked sets agree in all classes but those in which they differ. A linked
+        pair that no large region holds has all these regions here, so it is found
+        by counting them; any other is found by block.
+        """
         ids = self.scratch.save(left.filter(f"g <= {PAIR_REGION}").select("doc_id").distinct(), "small-ids")
         sizes = self.scratch.save(sized.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi"), "small-sizes")
         rows = left.filter(f"g <= {PAIR_REGION}").join(sizes, "doc_id")
         rows = self.scratch.save(rows.select("key", "doc_id", "root", "n"), "small")
         a = rows.select("key", F.col("doc_id").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
         b = rows.select("key", F.col("doc_id").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
+        ring = F.shiftright(F.col("key").bitwiseAND(F.lit(127)), 1)
         met = a.join(b, "key").filter("a < b AND ra <> rb")
         within = F.least("na", "nb") * self.rule.den >= F.greatest("na", "nb") * self.rule.num
-        return met.filter(within).select("a", "b").distinct()
-
-    def _blocks(self, left: DataFrame, rays: DataFrame, signed: DataFrame) -> DataFrame:
-        """Pairs between components in large regions, by block of their groups."""
+        often = met.filter(within).groupBy("a", "b", ring.alias("ring")).agg(F.count("*").alias("shared"), F.max(F.col("na") + F.col("nb")).alias("s"))
+        spread = F.array(*[F.lit(classes - spare) for _, _, classes, spare in self.rule.rings])
+        differ = F.col("s") - 2 * F.expr(f"({self.rule.num} * s + {self.rule.num + self.rule.den - 1}) DIV {self.rule.num + self.rule.den}")
+        enough = F.col("shared") >= F.element_at(spread, (F.col("ring") + 1).cast("int")) - differ
+        return often.filter(enough).select("a", "b").distinct()
+
+    def _blocks(self, left: DataFrame, rays: DataFrame, signed: DataFrame, sets: DataFrame) -> DataFrame:
+        """Links between components in large regions, by block of their groups."""
         ids = self.scratch.save(left.filter(f"g > {PAIR_REGION}").select("doc_id", "root").distinct(), "large-ids")
         groups = connected_components(self.scratch, rays.filter(f"g > {PAIR_REGION}"), "groups")
         members = ids.join(groups.withColumnRenamed("node", "doc_id").withColumnRenamed("root", "grp"), "doc_id")
@@ -362,13 +378,14 @@ class _Join:
         vectors = own.select("doc_id", "root", "grp", "n", "ring", "keys").unionAll(
             own.filter("next_ring > ring").select("doc_id", "root", "grp", "n", F.col("next_ring").alias("ring"), F.col("next_keys").alias("keys"))
         )
-        vectors = self.scratch.save(vectors.filter("size(keys) > 0"), "vectors")
+        vectors = vectors.filter("size(keys) > 0").join(sets, "doc_id").filter(F.size("hashes") == F.col("n"))
+        vectors = self.scratch.save(vectors, "vectors")
         sizes = vectors.groupBy("grp", "ring").agg(F.ceil(F.count("*") / F.lit(float(BLOCK))).alias("blocks"))
         dealt = vectors.join(sizes, ["grp", "ring"]).withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks"))
         other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
         dealt = dealt.withColumn("other", other)
         dealt = dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other", "blocks")
-        return dealt.groupBy("grp", "ring", "low", "high").applyInPandas(_agreeing(self.rule), "a long, b long")
+        return dealt.groupBy("grp", "ring", "low", "high").applyInPandas(_block_links(self.rule), "a long, b long")
 
     def run(self) -> DataFrame:
         signed = self.signed()
