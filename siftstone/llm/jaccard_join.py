@@ -11,7 +11,9 @@ method exact, windows from the triangle inequality, and changes the pivots:
 * **Projections.** In a ring, linked sets differ in at most D shingles. Shingles fall
   by hash into D + 1 + e classes, so linked sets are equal in at least 1 + e classes.
   A region is the sets that are equal in one class. Equal empty classes prove
-  nothing; a set with at most e of them leaves them out.
+  nothing; a set with at most e of them leaves them out. With a fifth of D for e, a
+  linked set has many regions in common with another, and a set with too few shared
+  regions is dropped at once, which frees most that share a line or a passage only.
 * **Pivots in regions.** The most central set of a region is its pivot. All others
   are compared with it; what it links is settled. Regions that still hold more than
   one component go on: small ones give the pairs between components, large ones are
@@ -32,7 +34,7 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -41,6 +43,8 @@ from .components import connected_components
 
 #: Regions up to this many sets compare pairs; larger ones are joined by block.
 PAIR_REGION = 24
+#: Rounds in which sets with too few shared regions are dropped.
+PEELS = 2
 #: Sets in a block of a large region.
 BLOCK = 384
 #: Ids whose texts are fetched by a broadcast join; 8 bytes each.
@@ -113,8 +117,9 @@ class Rule:
         while low < 1 << 40:
             high = max(low, int(low * growth))
             most = 2 * high * (self.den - self.num) // (self.den + self.num)
-            spare = 2 if most >= 4 else 1
-            out.append((low, high, most + 1 + spare, spare))
+            # most is 0 where only equal sets link; such a ring has no classes
+            spare = 2 + -(-(most + 1) // 5)
+            out.append((low, high, most + 1 + spare if most else 0, spare))
             low = high + 1
         return out
 
@@ -129,8 +134,12 @@ class Rule:
         """The ring of the largest set that can link with a set of this size."""
         return self.ring(size * self.den // self.num)
 
-    def class_keys(self, hashes: np.ndarray, ring: int) -> np.ndarray:
-        """One key a class; 0 for an empty class that is left out."""
+    def class_keys(self, hashes: np.ndarray, ring: int) -> tuple[np.ndarray, int]:
+        """One key a class, 0 for an empty class that is left out; and how many may hide.
+
+        The second number bounds the equal classes of a linked pair that do not show
+        as equal keys: the empty ones, as far as either side leaves them out.
+        """
         _, _, classes, spare = self.rings[ring]
         cls = ((hashes >> np.uint64(20)) % np.uint64(classes)).astype(np.int64)
         order = np.argsort(cls, kind="stable")
@@ -141,11 +150,12 @@ class Rule:
         own = np.arange(classes, dtype=np.uint64) * np.uint64(1 << 12) + np.uint64(ring + 1)
         # the low bits name the ring, so that agreement can be counted ring by ring
         keys = _mix(sums + _mix(own * _M1)) & ~np.uint64(127) | np.uint64(ring * 2 + 1)
-        if classes - len(first) <= spare:
+        void = classes - len(first)
+        if void <= spare:
             empty = np.ones(classes, dtype=bool)
             empty[cls[first]] = False
             keys[empty] = 0
-        return keys
+        return keys, min(void, spare)
 
 
 def _lists(values: list[np.ndarray], kind=np.int64) -> pa.ListArray:
@@ -155,14 +165,17 @@ def _lists(values: list[np.ndarray], kind=np.int64) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
-_SIGNED = "doc_id long, n long, hi long, lo long, ring int, keys array<long>, next_ring int, next_keys array<long>"
+_SIGNED = (
+    "doc_id long, n long, hi long, lo long, ring int, keys array<long>, void int, "
+    "next_ring int, next_keys array<long>, next_void int"
+)
 
 
 def _sign(rule: Rule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        nothing = np.empty(0, dtype=np.uint64)
+        nothing = np.empty(0, dtype=np.uint64), 0
         for batch in batches:
             for at in range(0, batch.num_rows, 2_000):
                 part = batch.slice(at, 2_000)
@@ -172,11 +185,11 @@ def _sign(rule: Rule):
                     n.append(len(h))
                     digest.append(np.frombuffer(xxhash.xxh3_128_digest(h.tobytes()), dtype="<i8"))
                     ring = rule.ring(len(h)) if len(h) else 0
-                    own = bool(len(h)) and rule.rings[ring][2] > 2  # else equal sets only
+                    own = bool(len(h)) and rule.rings[ring][2] > 0
                     rings.append(ring)
                     keys.append(rule.class_keys(h, ring) if own else nothing)
                     further = rule.reach(len(h)) if len(h) else 0
-                    more = further > ring and rule.rings[further][2] > 2
+                    more = further > ring and rule.rings[further][2] > 0
                     nexts.append(further)
                     next_keys.append(rule.class_keys(h, further) if more else nothing)
                 digest = np.array(digest).reshape(-1, 2)
@@ -187,11 +200,13 @@ def _sign(rule: Rule):
                         pa.array(digest[:, 0]),
                         pa.array(digest[:, 1]),
                         pa.array(rings, pa.int32()),
-                        _lists(keys),
+                        _lists([k for k, _ in keys]),
+                        pa.array([v for _, v in keys], pa.int32()),
                         pa.array(nexts, pa.int32()),
-                        _lists(next_keys),
+                        _lists([k for k, _ in next_keys]),
+                        pa.array([v for _, v in next_keys], pa.int32()),
                     ],
-                    names=["doc_id", "n", "hi", "lo", "ring", "keys", "next_ring", "next_keys"],
+                    names=["doc_id", "n", "hi", "lo", "ring", "keys", "void", "next_ring", "next_keys", "next_void"],
                 )
 
     return run
@@ -254,8 +269,10 @@ def _block_links(rule: Rule):
         pdf = pdf.sort_values(["n", "doc_id"], kind="stable")
         docs, n, roots = (pdf[c].to_numpy() for c in ("doc_id", "n", "root"))
         blocks, low, high = pdf["block"].to_numpy(), pdf["low"].iloc[0], pdf["high"].iloc[0]
-        _, _, classes, spare = rule.rings[int(pdf["ring"].iloc[0])]
-        vectors, sets = np.stack(pdf["keys"].to_numpy()), pdf["hashes"].to_numpy()
+        classes = rule.rings[int(pdf["ring"].iloc[0])][2]
+        vectors = np.stack(pdf["keys"].to_numpy())
+        sets = [np.asarray(h).view(np.uint64) for h in pdf["hashes"]]  # in the order they were sorted
+        void = (vectors == 0).sum(axis=1)
         out_a, out_b = [], []
         for i in range(len(docs) - 1):
             # sizes ascend, so the partners of i end where the window does
@@ -267,10 +284,12 @@ def _block_links(rule: Rule):
             if not len(j):
                 continue
             agree = (vectors[j] == vectors[i]).sum(axis=1)
-            j = j[agree >= classes - rule.differ(n[i] + n[j]) - spare]
+            # classes left out by one side only may be equal without showing it
+            unseen = np.where((void[j] > 0) == (void[i] > 0), 0, np.maximum(void[j], void[i]))
+            j = j[agree >= classes - rule.differ(n[i] + n[j]) - unseen]
             if not len(j):
                 continue
-            at = np.searchsorted(sets[i], flat := np.concatenate(sets[j]))
+            at = np.searchsorted(sets[i], flat := np.concatenate([sets[k] for k in j]))
             hit = sets[i][np.minimum(at, len(sets[i]) - 1)] == flat
             common = np.add.reduceat(hit, np.r_[0, np.cumsum(n[j])[:-1]], dtype=np.int64)
             j = j[common * rule.den >= (n[i] + n[j] - common) * rule.num]
@@ -303,9 +322,46 @@ class _Join:
         keys = nodes.select("doc_id", F.explode(F.concat("keys", "next_keys")).alias("key")).filter("key <> 0")
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         dealt = keys.select("key", "doc_id").repartitionByRange(n, "key", "doc_id").sortWithinPartitions("key", "doc_id")
-        found = self.scratch.save(dealt.mapInArrow(_shared, "key long, doc_id long"), "shared")
-        sizes = found.groupBy("key").agg(F.count("*").alias("g")).filter("g > 1")
-        return self.scratch.save(found.join(self.scratch.save(sizes, "sizes"), "key"), "regions")
+        found = self.scratch.save(dealt.mapInArrow(_shared, "key long, doc_id long"), "shared-0")
+        needs = self._needs(signed)
+        for step in range(PEELS):
+            found = self._peeled(found, needs, step)
+        sizes = self.scratch.save(found.groupBy("key").agg(F.count("*").alias("g")).filter("g > 1"), "sizes")
+        return self.scratch.save(found.join(sizes, "key"), "regions")
+
+    def _needs(self, signed: DataFrame) -> DataFrame:
+        """(doc_id, ring, need): in how many classes a set agrees with any it links with."""
+        own = signed.filter("size(keys) > 0").select("doc_id", "n", "ring", "void")
+        more = signed.filter("size(next_keys) > 0").select("doc_id", "n", F.col("next_ring").alias("ring"), F.col("next_void").alias("void"))
+        high = F.element_at(F.array(*[F.lit(r[1]) for r in self.rule.rings]), F.col("ring") + 1)
+        largest = F.least(high, F.expr(f"n * {self.rule.den} DIV {self.rule.num}"))
+        # rows that repeat a doc_id are one node, held to the least of their needs
+        need = self._classes() - self._differ(F.col("n") + largest) - F.col("void")
+        return own.unionAll(more).select("doc_id", "ring", need.alias("need")).groupBy("doc_id", "ring").agg(F.min("need").alias("need"))
+
+    def _peeled(self, found: DataFrame, needs: DataFrame, step: int) -> DataFrame:
+        """Without the sets that have fewer shared regions than a link takes."""
+        sizes = found.groupBy("key").agg(F.count("*").alias("g")).filter("g > 1").select("key")
+        shared = self.scratch.save(found.join(sizes, "key", "left_semi"), f"several-{step}")
+        counted = shared.groupBy("doc_id", self._ring().alias("ring")).agg(F.count("*").alias("c"))
+        enough = counted.join(needs, ["doc_id", "ring"]).filter("c >= need").select("doc_id", "ring")
+        enough = self.scratch.save(enough, f"enough-{step}")
+        left = shared.withColumn("ring", self._ring()).join(enough, ["doc_id", "ring"], "left_semi").select("key", "doc_id")
+        left = self.scratch.save(left, f"shared-{step + 1}")
+        self.scratch.drop(f"shared-{step}", f"several-{step}", f"enough-{step}")
+        return left
+
+    def _ring(self) -> Column:
+        """The ring of a key."""
+        return F.shiftright(F.col("key").bitwiseAND(F.lit(127)), 1).cast("int")
+
+    def _classes(self) -> Column:
+        return F.element_at(F.array(*[F.lit(r[2]) for r in self.rule.rings]), F.col("ring") + 1)
+
+    def _differ(self, sizes: Column) -> Column:
+        """A bound on Rule.differ that grows with the sizes, as an expression."""
+        rule = self.rule
+        return F.floor(sizes * (rule.den - rule.num) / F.lit(rule.den + rule.num))
 
     def fetch_sets(self, regions: DataFrame) -> DataFrame:
         ids = self.scratch.save(regions.select("doc_id").distinct(), "ids")
@@ -332,45 +388,52 @@ class _Join:
         pivots = scored.groupBy("key").agg(F.max(F.struct("score", -F.col("doc_id"))).alias("p"))
         pivots = self.scratch.save(pivots.select("key", (-F.col("p.col2")).alias("pivot")), "pivots")
         rays = regions.join(pivots, "key").filter("doc_id <> pivot")
-        rays = self.scratch.save(rays.groupBy(F.col("doc_id").alias("a"), F.col("pivot").alias("b")).agg(F.max("g").alias("g")), "rays")
-        links = self.verified(rays.select("a", "b"), sets, "links-pivot")
+        rays = rays.groupBy(F.col("doc_id").alias("a"), F.col("pivot").alias("b"), self._ring().alias("ring"))
+        rays = self.scratch.save(rays.agg(F.max("g").alias("g"), F.count("*").alias("shared")), "rays")
+        links = self.verified(self._often(rays, signed, "rays"), sets, "links-pivot")
         roots = connected_components(self.scratch, links, "pivot").withColumnRenamed("node", "doc_id")
         settled = regions.join(roots, "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
         settled = self.scratch.save(settled, "settled")
         open_keys = settled.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
         left = settled.join(self.scratch.save(open_keys.select("key"), "open"), "key")
-        sized = signed.select("doc_id", "n")
         left = self.scratch.save(left, "left")
-        few = self.verified(self._pairs(left, sized), sets, "links-small")
+        few = self.verified(self._pairs(left, signed), sets, "links-small")
         many = self.scratch.save(self._blocks(left, rays, signed, sets), "links-large")
         return links.unionAll(few).unionAll(many)
 
-    def _pairs(self, left: DataFrame, sized: DataFrame) -> DataFrame:
+    def _pairs(self, left: DataFrame, signed: DataFrame) -> DataFrame:
         """Pairs between components that small regions bring together often enough.
 
         Linked sets agree in all classes but those in which they differ. A linked
         pair that no large region holds has all these regions here, so it is found
         by counting them; any other is found by block.
         """
-        ids = self.scratch.save(left.filter(f"g <= {PAIR_REGION}").select("doc_id").distinct(), "small-ids")
-        sizes = self.scratch.save(sized.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi"), "small-sizes")
-        rows = left.filter(f"g <= {PAIR_REGION}").join(sizes, "doc_id")
-        rows = self.scratch.save(rows.select("key", "doc_id", "root", "n"), "small")
-        a = rows.select("key", F.col("doc_id").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
-        b = rows.select("key", F.col("doc_id").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
-        ring = F.shiftright(F.col("key").bitwiseAND(F.lit(127)), 1)
+        rows = self.scratch.save(left.filter(f"g <= {PAIR_REGION}").select("key", "doc_id", "root"), "small")
+        a = rows.select("key", F.col("doc_id").alias("a"), F.col("root").alias("ra"))
+        b = rows.select("key", F.col("doc_id").alias("b"), F.col("root").alias("rb"))
         met = a.join(b, "key").filter("a < b AND ra <> rb")
-        within = F.least("na", "nb") * self.rule.den >= F.greatest("na", "nb") * self.rule.num
-        often = met.filter(within).groupBy("a", "b", ring.alias("ring")).agg(F.count("*").alias("shared"), F.max(F.col("na") + F.col("nb")).alias("s"))
-        spread = F.array(*[F.lit(classes - spare) for _, _, classes, spare in self.rule.rings])
-        differ = F.col("s") - 2 * F.expr(f"({self.rule.num} * s + {self.rule.num + self.rule.den - 1}) DIV {self.rule.num + self.rule.den}")
-        enough = F.col("shared") >= F.element_at(spread, (F.col("ring") + 1).cast("int")) - differ
-        return often.filter(enough).select("a", "b").distinct()
+        met = met.groupBy("a", "b", self._ring().alias("ring")).agg(F.count("*").alias("shared"))
+        return self._often(self.scratch.save(met, "met"), signed, "small")
+
+    def _often(self, pairs: DataFrame, signed: DataFrame, name: str) -> DataFrame:
+        """Pairs (a, b, ring, shared) within the size window that share enough classes."""
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        ids = self.scratch.save(ids, f"{name}-ids")
+        sizes = signed.select("doc_id", "n", F.greatest("void", "next_void").alias("void"))
+        sizes = sizes.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+        sizes = sizes.groupBy("doc_id").agg(F.min("n").alias("n"), F.max("n").alias("n1"), F.max("void").alias("void"))
+        sizes = self.scratch.save(sizes, f"{name}-sizes")
+        sa = sizes.select(*[F.col(c).alias(d) for c, d in (("doc_id", "a"), ("n", "na"), ("n1", "na1"), ("void", "va"))])
+        sb = sizes.select(*[F.col(c).alias(d) for c, d in (("doc_id", "b"), ("n", "nb"), ("n1", "nb1"), ("void", "vb"))])
+        within = F.least("na1", "nb1") * self.rule.den >= F.greatest("na", "nb") * self.rule.num
+        need = self._classes() - self._differ(F.col("na1") + F.col("nb1")) - F.greatest("va", "vb")
+        sized = pairs.join(sa, "a").join(sb, "b")
+        return sized.filter(within & (F.col("shared") >= need)).select("a", "b").distinct()
 
     def _blocks(self, left: DataFrame, rays: DataFrame, signed: DataFrame, sets: DataFrame) -> DataFrame:
         """Links between components in large regions, by block of their groups."""
         ids = self.scratch.save(left.filter(f"g > {PAIR_REGION}").select("doc_id", "root").distinct(), "large-ids")
-        groups = connected_components(self.scratch, rays.filter(f"g > {PAIR_REGION}"), "groups")
+        groups = connected_components(self.scratch, rays.filter(f"g > {PAIR_REGION}").select("a", "b"), "groups")
         members = ids.join(groups.withColumnRenamed("node", "doc_id").withColumnRenamed("root", "grp"), "doc_id")
         members = self.scratch.save(members, "members")
         few = members.count() <= BROADCAST_IDS
