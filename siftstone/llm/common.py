@@ -79,3 +79,23 @@ class Scratch:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+class _Held:
+    """The one large thing that a Python worker keeps between tasks."""
+
+    kind: str | None = None
+    key: object = None
+    value: object = None
+
+
+def held(kind: str, key, make):
+    """What ``make`` gives, kept by this worker until another kind or key is asked for.
+
+    Spark reuses workers across operators; tables and caches of one operator would
+    otherwise stay beside those of the next.
+    """
+    if _Held.kind != kind or _Held.key != key:
+        _Held.value = None
+        _Held.kind, _Held.key, _Held.value = kind, key, make()
+    return _Held.value

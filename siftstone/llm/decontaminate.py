@@ -18,13 +18,12 @@ import hashlib
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, held
 
 WINDOW = 10
 #: Benchmark bytes that one automaton may hold; a larger benchmark goes in blocks.
@@ -127,9 +126,8 @@ def original_spans(norm: bytes, runs: list[tuple[int, int]]) -> list[tuple[int,
 _CONTINUATION = [bytes([b]) for b in range(0x80, 0xC0)]
 
 
-@lru_cache(maxsize=2)
 def _scanner(items: tuple[tuple[str, str], ...], window: int) -> Scanner:
-    return Scanner(items, window)
+    return held("benchmark", (items, window), lambda: Scanner(items, window))
 
 
 def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[tuple[tuple[str, str], ...]]:

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Scratch, lowered
+from .common import Scratch, held, lowered
 from .components import connected_components
 
 #: Regions up to this many sets compare pairs; larger ones are joined by block.
@@ -72,9 +72,6 @@ class _WordHashes(dict):
         return made
 
 
-_words = _WordHashes()
-
-
 def shingle_set(text: str | None, width: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles of a text.
 
@@ -84,7 +81,8 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     words = lowered(text).split()
     if not words:
         return np.empty(0, dtype=np.uint64)
-    h = np.array([_words[w] for w in words], dtype=np.uint64)
+    known = held("word hashes", 0, _WordHashes)
+    h = np.array([known[w] for w in words], dtype=np.uint64)
     width = min(width, len(words))
     n = len(words) - width + 1
     out = np.full(n, width, dtype=np.uint64)

@@ -15,12 +15,13 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import held
+
 SAMPLE_ROWS = 120
 DICT_BYTES = 65_536
 #: Bytes of one row that go into a dictionary, so that many rows share it.
@@ -102,9 +103,8 @@ class LanguageModel:
         return self.langs[best], (second - sizes[best]) / second
 
 
-@lru_cache(maxsize=2)
 def _model(dictionaries: tuple[tuple[str, bytes], ...]) -> LanguageModel:
-    return LanguageModel(dictionaries)
+    return held("languages", dictionaries, lambda: LanguageModel(dictionaries))
 
 
 def identify_language(docs: DataFrame, dictionaries: tuple[tuple[str, bytes], ...]) -> DataFrame:

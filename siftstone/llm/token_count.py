@@ -16,12 +16,13 @@ Counts of words are remembered up to ``CACHE_ENTRIES`` a worker.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import held
+
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHE_ENTRIES = 1_000_000
@@ -142,10 +143,12 @@ class UnigramCounter:
         return total
 
 
-@lru_cache(maxsize=2)
 def _counter(path: str, byte_fallback: bool) -> UnigramCounter:
-    pieces, unk_id = read_pieces(path)
-    return UnigramCounter(pieces, unk_id, byte_fallback)
+    def make() -> UnigramCounter:
+        pieces, unk_id = read_pieces(path)
+        return UnigramCounter(pieces, unk_id, byte_fallback)
+
+    return held("unigram", (path, byte_fallback), make)
 
 
 def count_tokens(docs: DataFrame, path: str, byte_fallback: bool = True) -> DataFrame:

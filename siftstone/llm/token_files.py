@@ -22,7 +22,6 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import accumulate
 from urllib.parse import urlparse
 
@@ -32,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, scratch_path
+from .common import Scratch, held, scratch_path
 
 NULL_ID = -(2**63)
 #: Entries of a worker's cache of encoded pieces; later pieces are encoded each time.
@@ -116,9 +115,8 @@ class PieceEncoder:
         return self.first[head] + b"".join([rest[p] for p in tail])
 
 
-@lru_cache(maxsize=2)
 def _encoder(path: str) -> PieceEncoder:
-    return PieceEncoder(path)
+    return held("pieces", path, lambda: PieceEncoder(path))
 
 
 def _local(path: str) -> str | None:
