@@ -77,6 +77,11 @@ class Scratch:
                 delete(self.spark, path)
 
 
+    def clear(self, keep: str = "") -> None:
+        """Delete all steps but one."""
+        self.drop(*[step for step in self.paths if step != keep])
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -50,7 +50,7 @@ BLOCK = 384
 #: Ids whose texts are fetched by a broadcast join; 8 bytes each.
 BROADCAST_IDS = 2_000_000
 #: Words whose hash a worker remembers.
-WORD_CACHE = 400_000
+WORD_CACHE = 250_000
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -459,9 +459,12 @@ class _Join:
         links = links.unionAll(tied.select(F.col("doc_id").alias("a"), node.alias("b")))
         roots = connected_components(self.scratch, links, "all").select(F.col("node"), "root")
         placed = slim.join(self.copies, ["hi", "lo"], "left").withColumn("node", node)
-        return placed.join(roots, "node", "left").select(
+        placed = placed.join(roots, "node", "left").select(
             "doc_id", F.col("n").alias("n_shingles"), F.coalesce("root", "node").alias("component_id")
         )
+        placed = self.scratch.save(placed, "placed")
+        self.scratch.clear(keep="placed")
+        return placed
 
 
 def jaccard_components(spark: SparkSession, docs: DataFrame, rule: Rule) -> DataFrame:

@@ -100,7 +100,9 @@ class PieceEncoder:
 
     def _piece(self, piece: str) -> bytes:
         if self.plain.fullmatch(piece):
-            return b"".join([self.words[w] for w in self.pre.findall(piece)])
+            found = self.pre.findall(piece)
+            # a piece that is one word is remembered as a piece already
+            return self._word(found[0]) if len(found) == 1 else b"".join([self.words[w] for w in found])
         return self._whole(piece)
 
     def _whole(self, text: str) -> bytes:
