@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Keywords by class, in the order in which classes are tried.
@@ -76,29 +76,36 @@ def order_id(text: Column) -> Column:
     return F.when(F.rlike(text, F.lit(f"(?iU){ORDER_CONTEXT}")) & (digits != ""), F.concat(F.lit("BL-"), digits))
 
 
-def keyword_triage(text: Column, strict_urgency: bool = False) -> Column:
-    """struct<intent, urgency, sentiment, product_area, order_id, summary, confidence>.
-
-    Strict urgency asks for two urgent words instead of one; the second of the
-    offline teachers uses it.
-    """
+def _signals(text: Column) -> Column:
+    """What the keywords of a text say, as a struct of plain values."""
     lowered = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
-    intent_hits = {k: _hits(lowered, w) for k, w in INTENT_WORDS.items()}
-    intent = _first(INTENT_WORDS, intent_hits, "other")
-    product = _first(PRODUCT_WORDS, {k: _hits(lowered, w) for k, w in PRODUCT_WORDS.items()}, "none")
-    negative, positive = _hits(lowered, NEGATIVE_WORDS), _hits(lowered, POSITIVE_WORDS)
-    sentiment = F.when(negative > positive, "negative").when(positive > negative, "positive").otherwise("neutral")
-    urgent = _hits(lowered, HIGH_URGENCY_WORDS) >= (2 if strict_urgency else 1)
-    urgency = F.when(urgent, "high").when(intent.isin(*LOW_URGENCY_INTENTS), "low").otherwise("medium")
-    number = order_id(text)
-    about = F.when(product == "none", "").otherwise(F.concat(F.lit(" about their "), F.replace(product, F.lit("_"), F.lit(" "))))
-    order = F.coalesce(F.concat(F.lit(" (order "), number, F.lit(")")), F.lit(""))
-    topic = F.replace(intent, F.lit("_"), F.lit(" "))
-    summary = F.concat(F.lit("Customer has a "), topic, F.lit(" request"), about, order, F.lit("."))
+    intents = {k: _hits(lowered, w) for k, w in INTENT_WORDS.items()}
     won = F.lit(0)
     for name in reversed(INTENT_WORDS):
-        won = F.when(intent_hits[name] > 0, intent_hits[name]).otherwise(won)
-    sure = F.least(F.lit(1.0), 0.35 + 0.2 * won + F.when(product != "none", 0.1).otherwise(0.0))
+        won = F.when(intents[name] > 0, intents[name]).otherwise(won)
+    return F.struct(
+        _first(INTENT_WORDS, intents, "other").alias("intent"),
+        _first(PRODUCT_WORDS, {k: _hits(lowered, w) for k, w in PRODUCT_WORDS.items()}, "none").alias("product_area"),
+        won.alias("won"),
+        _hits(lowered, NEGATIVE_WORDS).alias("negative"),
+        _hits(lowered, POSITIVE_WORDS).alias("positive"),
+        _hits(lowered, HIGH_URGENCY_WORDS).alias("high"),
+        order_id(text).alias("order_id"),
+    )
+
+
+def _decided(s: Column, strict_urgency: bool) -> Column:
+    intent, product, number = s["intent"], s["product_area"], s["order_id"]
+    sentiment = (
+        F.when(s["negative"] > s["positive"], "negative").when(s["positive"] > s["negative"], "positive").otherwise("neutral")
+    )
+    low = intent.isin(*LOW_URGENCY_INTENTS)
+    urgency = F.when(s["high"] >= (2 if strict_urgency else 1), "high").when(low, "low").otherwise("medium")
+    words = lambda c: F.replace(c, F.lit("_"), F.lit(" "))
+    about = F.when(product == "none", "").otherwise(F.concat(F.lit(" about their "), words(product)))
+    order = F.coalesce(F.concat(F.lit(" (order "), number, F.lit(")")), F.lit(""))
+    summary = F.concat(F.lit("Customer has a "), words(intent), F.lit(" request"), about, order, F.lit("."))
+    sure = F.least(F.lit(1.0), 0.35 + 0.2 * s["won"] + F.when(product != "none", 0.1).otherwise(0.0))
     return F.struct(
         intent.alias("intent"),
         urgency.alias("urgency"),
@@ -108,3 +115,15 @@ def keyword_triage(text: Column, strict_urgency: bool = False) -> Column:
         summary.alias("summary"),
         F.bround(sure, 3).alias("confidence"),
     )
+
+
+def with_keyword_triage(df: DataFrame, text: Column, strict_urgency: bool = False, name: str = "k") -> DataFrame:
+    """Adds struct<intent, urgency, sentiment, product_area, order_id, summary, confidence>.
+
+    Strict urgency asks for two urgent words instead of one; the second of the
+    offline teachers uses it. The struct is made in two generate steps, so that the
+    planner does not copy the long keyword chains into everything built on them.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    said = df.select(*kept, F.explode(F.array(_signals(text))).alias("__said"))
+    return said.select(*kept, F.explode(F.array(_decided(F.col("__said"), strict_urgency))).alias(name))

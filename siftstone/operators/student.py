@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.contract import triage_json
-from ..functions.heuristics import keyword_triage, order_id
+from ..functions.heuristics import order_id, with_keyword_triage
 from ..schemas import ENUMS, STRUCTURED, TRIAGE
 
 
@@ -20,7 +20,7 @@ def _same_for_all(confidence: Column) -> Column:
 
 def keyword_student(texts: DataFrame) -> DataFrame:
     """Predictions of the keyword student for (pos, id, text)."""
-    made = texts.withColumn("k", keyword_triage(F.col("text")))
+    made = with_keyword_triage(texts, F.col("text"))
     triage = F.struct(*[F.col(f"k.{f}").alias(f) for f in (*STRUCTURED, "summary")]).cast(TRIAGE)
     return made.withColumn("triage", triage).select(
         "pos",

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pii, text
 from ..functions.contract import exact_match, normalize_order_id, triage_json, valid_order_id, valid_request, valid_summary
-from ..functions.heuristics import keyword_triage
+from ..functions.heuristics import with_keyword_triage
 from ..operators import agreement, batching, cost, dataset, funnel, metrics, near_dup, router, student, teacher
 from ..schemas import ENUMS, INTENTS, LABEL, STRUCTURED, TRIAGE, enum_dimension
 from ..sources import calls
@@ -763,7 +763,8 @@ def keyword_triage_docs(spark, sf_dir):
         .when(d % 5 == 3, " cannot log in to the app, password lost again")
         .otherwise("")
     )
-    made = table(spark, sf_dir, "documents").select(d.alias("id"), keyword_triage(F.concat("text", tail)).alias("k"))
+    rows = table(spark, sf_dir, "documents").select(d.alias("id"), F.concat("text", tail).alias("text"))
+    made = with_keyword_triage(rows, F.col("text"))
     return made.select("id", "k.intent", "k.product_area", "k.sentiment", "k.urgency", "k.confidence")
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from siftstone.functions import pii, text
 from siftstone.functions.contract import answer_items, check_triage, first_json, normalize_order_id, triage_json
-from siftstone.functions.heuristics import keyword_triage
+from siftstone.functions.heuristics import with_keyword_triage
 from siftstone.schemas import TRIAGE
 
 
@@ -75,6 +75,8 @@ def test_contract(spark):
 
 
 def test_keyword_triage(spark):
-    got = one(spark, keyword_triage(F.col("v")), "Where is my order #BL-123456? The camera package is late!!", "")
+    rows = [(0, "Where is my order #BL-123456? The camera package is late!!"), (1, "")]
+    df = with_keyword_triage(spark.createDataFrame(rows, "i int, v string"), F.col("v"))
+    got = [r.k for r in df.orderBy("i").collect()]
     assert (got[0].intent, got[0].product_area, got[0].order_id, got[0].sentiment) == ("order_status", "camera", "BL-123456", "negative")
     assert (got[1].intent, got[1].confidence, got[1].urgency) == ("other", 0.35, "low")
