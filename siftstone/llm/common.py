@@ -76,7 +76,6 @@ class Scratch:
             if path := self.paths.pop(step, None):
                 delete(self.spark, path)
 
-
     def clear(self, keep: str = "") -> None:
         """Delete all steps but one."""
         self.drop(*[step for step in self.paths if step != keep])
@@ -86,6 +85,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release() -> None:
+    """Give back what this worker has freed; Spark keeps workers for later operators."""
+    import ctypes
+    import gc
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class _Held:
     """The one large thing that a Python worker keeps between tasks."""
 
@@ -102,5 +114,6 @@ def held(kind: str, key, make):
     """
     if _Held.kind != kind or _Held.key != key:
         _Held.value = None
+        release()
         _Held.kind, _Held.key, _Held.value = kind, key, make()
     return _Held.value

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, held
+from .common import Scratch, held, release
 
 WINDOW = 10
 #: Benchmark bytes that one automaton may hold; a larger benchmark goes in blocks.
@@ -246,6 +246,7 @@ def _keep_clean(docs: DataFrame, items: tuple[tuple[str, str], ...], window: int
             at = batch.schema.get_field_index("text")
             clean = [not scanner.scan(t.as_py())[1] for t in batch.column(at)]
             yield batch.filter(pa.array(clean, pa.bool_()))
+        release()
 
     return docs.mapInArrow(run, docs.schema)
 

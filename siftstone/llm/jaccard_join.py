@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Scratch, held, lowered
+from .common import Scratch, held, lowered, release
 from .components import connected_components
 
 #: Regions up to this many sets compare pairs; larger ones are joined by block.
@@ -206,6 +206,7 @@ def _sign(rule: Rule):
                     ],
                     names=["doc_id", "n", "hi", "lo", "ring", "keys", "void", "next_ring", "next_keys", "next_void"],
                 )
+        release()
 
     return run
 
@@ -256,6 +257,7 @@ def _sets(rule: Rule):
                 part = batch.slice(at, 2_000)
                 made = [shingle_set(t.as_py(), rule.width) for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), _lists(made)], names=["doc_id", "hashes"])
+        release()
 
     return run
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held
+from .common import held, release
 
 SAMPLE_ROWS = 120
 DICT_BYTES = 65_536
@@ -143,6 +143,7 @@ def keep_identified(docs: DataFrame, dictionaries: tuple[tuple[str, bytes], ...]
             at = batch.schema.get_field_index("text")
             got = [model.predict(t.as_py()) for t in batch.column(at)]
             yield batch.filter(pa.array([g[0] != UNDETERMINED and g[1] >= NARROW for g in got], pa.bool_()))
+        release()
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -31,11 +31,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, held, scratch_path
+from .common import Scratch, held, release, scratch_path
 
 NULL_ID = -(2**63)
 #: Entries of a worker's cache of encoded pieces; later pieces are encoded each time.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 400_000
 #: Pieces longer than this are not cached.
 CACHE_CHARS = 48
 
@@ -169,6 +169,7 @@ def _write(tokenizer: str, end_id: int, folder: str):
             _publish(made, shard)
         part = TaskContext.get().partitionId()
         row = {"part": [part], "shard": [shard], "n_docs": [len(ids)], "n_ids": [offsets[-1]], "width": [width]}
+        release()
         yield pd.DataFrame(row)
 
     return run
