@@ -294,9 +294,8 @@ def shingle_counts(spark, sf_dir):
     return rows.select("doc_id", F.size(text.char_shingles(text.near_normal(F.col("text")), 5)).cast("long").alias("n"))
 
 
-def _short(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), "text")
-    return rows.filter(funnel.length_reason(F.col("text")).isNull())
+def _texts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), "text")
 
 
 @query(
@@ -308,17 +307,24 @@ def _short(spark, sf_dir):
         WHERE c / CAST(x.k + y.k - c AS DOUBLE) >= 0.7"""
 )
 def neardup_pairs(spark, sf_dir):
-    return near_dup.exact_pairs(near_dup.with_shingles(_short(spark, sf_dir)))
+    """The pairs behind the length gate, as its SQL has them; ``neardup_all_pairs`` has those of all texts."""
+    gated = _texts(spark, sf_dir).filter(funnel.length_reason(F.col("text")).isNull())
+    return near_dup.exact_pairs(near_dup.with_shingles(gated))
+
+
+@query()
+def neardup_all_pairs(spark, sf_dir):
+    return near_dup.exact_pairs(near_dup.with_shingles(_texts(spark, sf_dir)))
 
 
 @query()
 def neardup_greedy(spark, sf_dir):
-    return near_dup.near_duplicates(spark, _short(spark, sf_dir))
+    return near_dup.near_duplicates(spark, _texts(spark, sf_dir))
 
 
 @query()
 def neardup_lsh(spark, sf_dir):
-    return near_dup.near_duplicates(spark, _short(spark, sf_dir), mode="lsh")
+    return near_dup.near_duplicates(spark, _texts(spark, sf_dir), mode="lsh")
 
 
 # --- agreement ---------------------------------------------------------------

@@ -1,5 +1,8 @@
 """Operators on hand-made tables, with the numbers worked out by hand."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +109,27 @@ def test_exact_and_lsh_find_the_same(spark):
         assert {(r.pos, r.of) for r in near_dup.near_duplicates(spark, df, mode=mode).collect()} == {(1, 0), (2, 0)}
 
 
+def test_near_duplicate_queries_see_every_length(spark, tmp_path):
+    from siftstone.plans import catalog
+
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrst", k=6))
+    long, other = (" ".join(word() for _ in range(400)) for _ in range(2))
+    texts = [long, "tiny", long + " " + word(), other, "Tiny!", other.upper(), None, ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+
+    def grams(t):
+        s = re.sub(" +", " ", re.sub("[^a-z0-9 ]+", " ", (t or "").lower())).strip()
+        return {s[i : i + 5] for i in range(max(len(s) - 4, 1))}
+
+    sets = [grams(t) for t in texts]
+    near = {(i, j) for j in range(8) for i in range(j) if len(sets[i] & sets[j]) >= 0.7 * len(sets[i] | sets[j])}
+    assert {(0, 2), (1, 4), (3, 5)} <= near
+    assert {(r.i, r.j) for r in catalog.QUERIES["neardup_all_pairs"](spark, str(tmp_path)).collect()} == near
+    for name in ("neardup_greedy", "neardup_lsh"):
+        assert {(r.of, r.pos) for r in catalog.QUERIES[name](spark, str(tmp_path)).collect()} == near
+
+
 def test_split_sizes(spark):
     sizes = {"a": 20, "b": 10, "c": 2, "d": 1}
     rows = [(f"{g}{i}", g) for g, n in sizes.items() for i in range(n)]
