@@ -49,7 +49,7 @@ _WEAK_ID = re.compile(
 )
 _WEAK_SECRET = re.compile(r"(?<![A-Za-z0-9+/_=.-])[A-Za-z0-9+/_-]{16,}={0,2}")
 _ENDPOINT = re.compile(
-    r"""\b[a-z][a-z0-9+]{1,15}://[^\s"'<>]{3,}|(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?::\d{2,5})?(?![\d.])|\b(?:host|server|endpoint)["']?[ \t]*[:=][ \t]*["']?[A-Za-z0-9.-]{3,}""",
+    r"""\b[a-z][a-z0-9+]{1,15}://[^\s"'<>]{3,}|(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?::\d{2,5})?(?![\d.])|\b(?i:host|server|endpoint)["']?[ \t]*[:=][ \t]*["']?[A-Za-z0-9.-]{3,}""",
     re.A,
 )
 _SCOPE_END = re.compile(r"\n[ \t\r]*\n")
@@ -82,21 +82,39 @@ def _looks_random(token: str) -> bool:
 
 
 def weak_spans(text: str, base: list[Span]) -> list[Span]:
-    """Candidates that overlap no base span of their own role."""
+    """Candidates that overlap no base span of their own role.
+
+    Nor may one lie within a base span of another role: it is the same text, and
+    would be its own complement.
+    """
     found = [Span("weak_id", m.start(), m.end()) for m in _WEAK_ID.finditer(text)]
     found += [Span("weak_secret", m.start(), m.end()) for m in _WEAK_SECRET.finditer(text) if _looks_random(m[0])]
     found += [Span("endpoint", m.start(), m.end()) for m in _ENDPOINT.finditer(text)]
-    taken = sorted((s.start, s.stop) for s in base)
-    starts = [s for s, _ in taken]
-    ends = _running_max([e for _, e in taken])
+    taken = {role: _Taken([b for b in base if ROLE[b.kind] == role]) for role in ("id", "secret")}
 
     def free(s: Span) -> bool:
-        k = bisect_right(starts, s.stop - 1)
-        return k == 0 or ends[k - 1] <= s.start
+        return not any(t.overlaps(s) if role == ROLE[s.kind] else t.holds(s) for role, t in taken.items())
 
     return [s for s in found if free(s)]
 
 
+class _Taken:
+    """Base spans of a role by start, with the furthest end so far."""
+
+    def __init__(self, spans: list[Span]):
+        found = sorted((s.start, s.stop) for s in spans)
+        self.starts = [start for start, _ in found]
+        self.ends = _running_max([stop for _, stop in found])
+
+    def overlaps(self, s: Span) -> bool:
+        k = bisect_right(self.starts, s.stop - 1)
+        return k > 0 and self.ends[k - 1] > s.start
+
+    def holds(self, s: Span) -> bool:
+        k = bisect_right(self.starts, s.start)
+        return k > 0 and self.ends[k - 1] >= s.stop
+
+
 def _running_max(values: list[int]) -> list[int]:
     out, top = [], -1
     for v in values:
