@@ -6,9 +6,10 @@ pieces of ``PIECE_BYTES`` so that the dictionary counts all along, and every pie
 of the whole text is encoded with every dictionary. The language with the smallest
 sum is chosen; the margin to the second is the score, and a narrow one is rejected.
 
-Learning takes a bounded sample: ``SAMPLE_ROWS`` rows a language in hash order,
-``DICT_BYTES`` bytes of dictionary a language, the ``MAX_LANGS`` most frequent
-languages. Everything else covers all rows and whole texts.
+Every language is learned, from a bounded sample: ``SAMPLE_ROWS`` rows in hash order and
+``DICT_BYTES`` bytes of dictionary a language. Beyond ``FULL_LANGS`` languages they share
+what so many would have, down to ``LEAST_ROWS`` rows and ``LEAST_BYTES`` bytes each.
+Everything else covers all rows and whole texts.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ SAMPLE_ROWS = 120
 DICT_BYTES = 65_536
 #: Bytes of one row that go into a dictionary, so that many rows share it.
 ROW_BYTES = 2_048
-MAX_LANGS = 64
+#: So many languages have a whole sample and dictionary.
+FULL_LANGS = 64
+LEAST_ROWS, LEAST_BYTES = 8, 1_024
 PIECE_BYTES = 2_048
 LEVEL = 6
 #: Margins below this share of the second-best size are narrow.
@@ -50,11 +53,14 @@ def learn_dictionaries(docs: DataFrame, learn: Column) -> tuple[tuple[str, bytes
     rows = docs.filter(learn & F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
         F.col("lang").alias("lang"), F.xxhash64("doc_id").alias("h"), "text"
     )
-    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not top:
         return ()
+    crowd = max(len(top), FULL_LANGS)
+    n_rows = max(SAMPLE_ROWS * FULL_LANGS // crowd, LEAST_ROWS)
+    n_bytes = max(DICT_BYTES * FULL_LANGS // crowd, LEAST_BYTES)
     # A hash threshold a language that lets through about four times the sample.
-    share = {r["lang"]: min(1.0, 4.0 * SAMPLE_ROWS / r["count"]) for r in top}
+    share = {r["lang"]: min(1.0, 4.0 * n_rows / r["count"]) for r in top}
     cut = F.create_map(*[F.lit(x) for k, v in share.items() for x in (k, v)])[F.col("lang")]
     some = rows.filter((F.col("h") / F.lit(2.0**64) + 0.5) < cut).collect()
     by: dict[str, list] = defaultdict(list)
@@ -63,9 +69,9 @@ def learn_dictionaries(docs: DataFrame, learn: Column) -> tuple[tuple[str, bytes
     out = []
     for r in top:
         made = bytearray()
-        for text in by[r["lang"]][:SAMPLE_ROWS]:
+        for text in by[r["lang"]][:n_rows]:
             made += normalised(text)[:ROW_BYTES]
-        out.append((r["lang"], bytes(made[-DICT_BYTES:])))
+        out.append((r["lang"], bytes(made[-n_bytes:])))
     return tuple(out)
 
 

@@ -145,6 +145,21 @@ def test_languages(docs):
     assert language_id.keep_identified(docs(*EDGES[:2]), learned).count() == 0
 
 
+def test_every_language_is_learned(docs):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6))
+    tongues = [[word() for _ in range(12)] for _ in range(70)]
+    frame = docs(*[(i, " ".join(rng.choices(tongues[i % 70], k=30))) for i in range(350)])
+    frame = frame.withColumn("lang", F.concat(F.lit("l"), (F.col("doc_id") % 70).cast("string")))
+    learned = language_id.learn_dictionaries(frame, F.col("doc_id") < 280)
+    assert {lang for lang, _ in learned} == {f"l{i}" for i in range(70)} and all(raw for _, raw in learned)
+    assert sum(len(raw) for _, raw in learned) <= language_id.FULL_LANGS * language_id.DICT_BYTES
+    got = language_id.identify_language(frame.filter("doc_id >= 280"), learned).collect()
+    assert len(got) == 70 and all(r.lang_pred == f"l{r.doc_id % 70}" and not r.rejected for r in got)
+
+
 # --- quality ---
 
 
