@@ -5,6 +5,9 @@ is normalised (lower-cased; anything in ASCII but a-z becomes one space), cut in
 pieces of ``PIECE_BYTES`` so that the dictionary counts all along, and every piece
 of the whole text is encoded with every dictionary. The language with the smallest
 sum is chosen; the margin to the second is the score, and a narrow one is rejected.
+zstandard stores a short text as it is where that is no longer, so that all sizes tie;
+a text of at most ``SHORT_BYTES`` with a narrow margin is judged by its size ``COPIES``
+times over instead, where the dictionary's matches count.
 
 Every language is learned, from a bounded sample: ``SAMPLE_ROWS`` rows in hash order and
 ``DICT_BYTES`` bytes of dictionary a language. Beyond ``FULL_LANGS`` languages they share
@@ -31,6 +34,8 @@ ROW_BYTES = 2_048
 FULL_LANGS = 64
 LEAST_ROWS, LEAST_BYTES = 8, 1_024
 PIECE_BYTES = 2_048
+COPIES = 8
+SHORT_BYTES = PIECE_BYTES // COPIES
 LEVEL = 6
 #: Margins below this share of the second-best size are narrow.
 NARROW = 0.01
@@ -101,9 +106,14 @@ class LanguageModel:
         """(language, margin); equal sizes go to the more frequent language."""
         if not text or not self.langs or not any(map(str.isalpha, text)):
             return UNDETERMINED, 0.0
-        sizes = self.sizes(text)
-        if len(sizes) == 1:
+        if len(self.langs) == 1:
             return self.langs[0], 1.0
+        lang, margin = self._least(self.sizes(text))
+        if margin < NARROW and len(raw := normalised(text)) <= SHORT_BYTES:
+            return self._least([len(f(raw * COPIES)) for f in self.encode])
+        return lang, margin
+
+    def _least(self, sizes: list[int]) -> tuple[str, float]:
         best = min(range(len(sizes)), key=sizes.__getitem__)
         second = min(s for i, s in enumerate(sizes) if i != best)
         return self.langs[best], (second - sizes[best]) / second

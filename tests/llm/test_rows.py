@@ -145,6 +145,18 @@ def test_languages(docs):
     assert language_id.keep_identified(docs(*EDGES[:2]), learned).count() == 0
 
 
+def test_short_texts_have_a_margin(docs):
+    rng = random.Random(1)
+    en = ["the", "house", "with", "green", "windows", "and", "there", "was", "nothing"]
+    de = ["das", "haus", "mit", "gruenen", "fenstern", "und", "nicht", "schoen", "auch"]
+    learned = tuple((lang, language_id.normalised(" ".join(rng.choices(words, k=400)))) for lang, words in (("en", en), ("de", de)))
+    short = ["windows", "the house", "there", "fenstern", "mit gruenen", "nicht", "qqq"]
+    got = {r.doc_id: r for r in language_id.identify_language(docs(*enumerate(short)), learned).collect()}
+    assert [(got[i].lang_pred, got[i].rejected) for i in range(6)] == [("en", False)] * 3 + [("de", False)] * 3
+    assert got[6].rejected  # no dictionary knows it
+    assert {r.doc_id for r in language_id.keep_identified(docs(*enumerate(short)), learned).collect()} == set(range(6))
+
+
 def test_every_language_is_learned(docs):
     from pyspark.sql import functions as F
 
