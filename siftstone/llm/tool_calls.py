@@ -3,7 +3,7 @@
 Calls and results meet by a hash join on (conversation, call id). Arguments are
 checked against the tool's schema, calls are put in topological order (a call after
 those whose results its arguments refer to), and each linked call is serialised as
-canonical JSON: keys in code-point order, no white space, nulls written.
+canonical JSON: keys in code-point order at every depth, no white space, nulls written.
 
 Rows are calls, never whole conversations, so a conversation of any length spreads
 over tasks. No Python runs on the executors.
@@ -44,10 +44,45 @@ def canonical_object(fields: dict[str, Column]) -> Column:
     return F.concat(F.lit("{"), *parts, F.lit("}"))
 
 
+#: Strings (without escapes), numbers and the rest of JSON.
+_TOKEN = r'"[^"]*"|-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null|[\[\]{}:,]'
+
+
+def canonical_value(value: Column) -> Column:
+    """A raw JSON object or array with sorted keys and no white space; all else as it is.
+
+    Spark's variant parses and sorts. To keep numbers as written and keys in code-point
+    order it is given strings only: ``n`` and a number, or ``s`` and the hex of a string's
+    UTF-8. What does not parse, repeated keys included, stays as it is.
+    """
+    text = F.regexp_replace(F.replace(value, F.lit("\\\\"), F.lit("\x01")), r'\\"', "\x02")
+
+    def literal(token: Column) -> Column:
+        raw = F.replace(F.replace(token, F.lit("\x02"), F.lit('\\"')), F.lit("\x01"), F.lit("\\\\"))
+        return F.try_variant_get(F.try_parse_json(raw), "$", "string")
+
+    def packed(token: Column) -> Column:
+        string = F.concat(F.lit('"s'), F.hex(F.encode(literal(token), "UTF-8")), F.lit('"'))
+        number = F.concat(F.lit('"n'), token, F.lit('"'))
+        return F.when(token.startswith('"'), string).when(F.rlike(token, F.lit(r"^[-\d]")), number).otherwise(token)
+
+    def unpacked(token: Column) -> Column:
+        inner = F.substring(token, F.lit(3), F.length(token) - 3)
+        string = json_text(F.decode(F.unhex(inner), "UTF-8"))
+        return F.when(token.startswith('"s'), string).when(token.startswith('"n'), inner).otherwise(token)
+
+    tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
+    whole = F.rlike(F.regexp_replace(text, _TOKEN, ""), F.lit(r"^[ \t\r\n]*$")) & ~F.rlike(value, F.lit("[\x01\x02]"))
+    # a space between tokens, so that none join: [1 2] is no JSON
+    made = F.to_json(F.try_parse_json(F.array_join(F.transform(tokens, packed), " ", "?")))
+    built = F.array_join(F.transform(F.regexp_extract_all(made, F.lit(_TOKEN), F.lit(0)), unpacked), "")
+    return F.when(F.rlike(value, F.lit(r"^[ \t\r\n]*[\[{]")) & whole, F.coalesce(built, value)).otherwise(value)
+
+
 def canonical_arguments(arguments: Column) -> Column:
     """Arguments as a canonical object from map<string, string> of raw JSON values."""
     entries = F.array_sort(F.map_entries(arguments), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
-    pairs = F.transform(entries, lambda e: F.concat(json_text(e["key"]), F.lit(":"), F.coalesce(e["value"], F.lit("null"))))
+    pairs = F.transform(entries, lambda e: F.concat(json_text(e["key"]), F.lit(":"), F.coalesce(canonical_value(e["value"]), F.lit("null"))))
     return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
 
 

@@ -217,3 +217,39 @@ def test_pipeline_stages(spark, tmp_path):
     total = docs.agg(F.sum("n_tokens"), F.max(F.col("start") + F.col("n_tokens"))).first()
     assert total[0] == total[1]
     assert corpus_pipeline.run(spark, sf).count() == docs.count()
+
+
+def test_nested_arguments_are_canonical(spark):
+    import json
+    from pyspark.sql import functions as F
+
+    values = [
+        '{"b": 1, "a": {"d": [1, {"z": null, "y": true}], "c": "x y"}}', '[ {"b":2.50 , "a":1e5}, [ ], { } ]',
+        '{"\U0001f600":1,"\uffee":2,"q\\"{k": "a\\\\", "\\u0062":"\\n, :"}', '{"n": 12345678901234567890123456789012345678901234567890}',
+        '["s1", "n2", "", "\\\\\\""]', '{"s": "%s"}' % ("\\\\x" * 5000),
+    ]
+    broken = ['{"b":1,', '[1 2]', '{"a":1,"a":2}', '[01]', '{"a": 1.2.3}', "[nul]"]
+    scalars = ['"b  a"', "12", "null", "1.50"]
+    rows = list(enumerate(values + broken + scalars))
+    df = spark.createDataFrame(rows, "i int, v string").repartition(2)
+    got = {r.i: r.c for r in df.select("i", tool_calls.canonical_value(F.col("v")).alias("c")).collect()}
+
+    class Number(float):
+        __repr__ = lambda self: self.raw
+
+    def number(raw):
+        made = Number(0)
+        made.raw = raw
+        return made
+
+    def brute(v):
+        if isinstance(v, dict):
+            return "{" + ",".join(json.dumps(k, ensure_ascii=False) + ":" + brute(v[k]) for k in sorted(v)) + "}"
+        if isinstance(v, list):
+            return "[" + ",".join(map(brute, v)) + "]"
+        return v.raw if isinstance(v, Number) else json.dumps(v, ensure_ascii=False)
+
+    want = [brute(json.loads(v, parse_int=number, parse_float=number)) for v in values]
+    assert [got[i] for i in range(len(rows))] == want + broken + scalars
+    calls = spark.createDataFrame([(1, {"q": values[0]}), (2, {"q": '{"a":{"c":"x y","d":[1,{"y":true,"z":null}]},"b":1}'})], "i int, a map<string,string>")
+    assert calls.select(tool_calls.canonical_arguments(F.col("a"))).distinct().count() == 1
