@@ -197,7 +197,9 @@ def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A user turn is a call of the tool ``reply`` with its text and turn; the assistant
     turn right after it is its result. A call refers to the call two turns before it,
-    whose result it follows.
+    whose result it follows. A conversation has each turn once: rows equal in conv_id,
+    turn, role and text are one turn, however often the table repeats them, and so one
+    call or result. ``link_tool_calls`` itself collapses nothing.
     """
     rows = conversations.select("conv_id", "turn", "role", "text").distinct()
     name = lambda turn: F.concat(F.lit("c"), turn.cast("string"))

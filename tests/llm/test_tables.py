@@ -253,3 +253,11 @@ def test_nested_arguments_are_canonical(spark):
     assert [got[i] for i in range(len(rows))] == want + broken + scalars
     calls = spark.createDataFrame([(1, {"q": values[0]}), (2, {"q": '{"a":{"c":"x y","d":[1,{"y":true,"z":null}]},"b":1}'})], "i int, a map<string,string>")
     assert calls.select(tool_calls.canonical_arguments(F.col("a"))).distinct().count() == 1
+
+
+def test_repeated_turns_are_one_call(spark):
+    turns = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 1, "assistant", "b"), (1, 0, "user", "c"), (2, 0, "user", None), (2, 0, "user", None)]
+    calls, results = tool_calls.turns_as_calls(spark.createDataFrame(turns, "conv_id long, turn int, role string, text string"))
+    assert calls.count() == 3 and results.count() == 1
+    linked = tool_calls.link_tool_calls(spark, calls.unionAll(calls), results, tool_calls.reply_tools(spark))
+    assert linked.count() == 6  # one row a call row
