@@ -9,24 +9,23 @@ A shard holds the documents of one doc_id range:
 
 Shards follow doc_id order. The position of a shard in the whole sequence is the
 prefix sum of the id counts before it, taken from a manifest of one row a shard.
-A task writes under a name of its own, and the manifest names what counts, so a
-task that runs twice leaves an unused file at worst.
+A task writes straight to the shared folder under a name of its own, and the manifest
+names what counts, so a task that runs twice leaves an unused file at worst.
 """
 
 from __future__ import annotations
 
 import os
-import shutil
-import tempfile
-import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import accumulate
+from contextlib import contextmanager
+from itertools import accumulate, pairwise
 from urllib.parse import urlparse
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,10 +33,14 @@ from pyspark.sql import functions as F
 from .common import Scratch, held, release, scratch_path
 
 NULL_ID = -(2**63)
-#: Entries of a worker's cache of encoded pieces; later pieces are encoded each time.
-CACHE_ENTRIES = 600_000
-#: Pieces longer than this are not cached.
-CACHE_CHARS = 48
+#: Texts are encoded in blocks of about this many bytes (or one text, if longer).
+BLOCK_BYTES = 8 << 20
+#: Bytes of remembered pieces a worker; later pieces are encoded once a block.
+CACHE_BYTES = 64 << 20
+#: What an entry takes beside its key and value: its place in the table.
+_ENTRY_BYTES = 100
+#: Ids of a remote shard that are read at once.
+READ_IDS = 4 << 20
 
 _MANIFEST = "part int, shard string, n_docs long, n_ids long, width int"
 _DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -54,31 +57,18 @@ def _byte_letters() -> str:
     return "".join(chr(b if b in shown else next(rest)) for b in range(256))
 
 
-class _Cache(dict):
-    """Encoded bytes by piece; filled on a miss while there is room."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, piece: str) -> bytes:
-        made = self.make(piece)
-        if len(self) < CACHE_ENTRIES and len(piece) <= CACHE_CHARS:
-            self[piece] = made
-        return made
-
-
 class PieceEncoder:
-    """Encodes with a byte-level BPE tokenizer file, remembering pieces.
+    """Encodes blocks of texts with a byte-level BPE tokenizer file.
 
     The file's pre-tokenizer never joins characters across a single space that
-    follows a visible character, so such texts are encoded piece by piece with the
-    same result. Any other text goes to the library whole: texts with two spaces
-    in a row, or that hold one of the file's added tokens. Pieces with anything
-    but plain Latin characters go to the library too.
+    follows a visible character, so such texts are cut at their spaces and each
+    distinct piece of a block is encoded once, with the same result. Any other text
+    goes to the library whole: texts with two spaces in a row, or that hold one of
+    the file's added tokens. Pieces with anything but plain Latin characters go to
+    the library too. Encoded pieces are remembered while they fit ``CACHE_BYTES``.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         import public_tokenizers
         import regex
         from tokenizers import Tokenizer
@@ -90,87 +80,160 @@ class PieceEncoder:
         self.letters = _byte_letters()
         self.plain = regex.compile(r"[\n\x20-\x7E¡-ɏ]*")
         self.pre = regex.compile(public_tokenizers.PATTERN)
-        self.words = _Cache(self._word)
-        self.first = _Cache(self._piece)
-        self.rest = _Cache(lambda piece: self._piece(" " + piece))
+        self.known: dict[str, bytes] = {}
+        self.room = cache_bytes
 
     def _word(self, word: str) -> bytes:
-        shown = word.encode("utf-8").decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        if self.plain.fullmatch(piece):
-            found = self.pre.findall(piece)
-            # a piece that is one word is remembered as a piece already
-            return self._word(found[0]) if len(found) == 1 else b"".join([self.words[w] for w in found])
-        return self._whole(piece)
+        """The ids of one word of the pre-tokenizer, remembered while there is room."""
+        made = self.known.get(word)
+        if made is None:
+            shown = word.encode("utf-8").decode("latin-1").translate(self.letters)
+            made = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+            cost = len(word) + len(made) + _ENTRY_BYTES
+            if cost <= self.room:
+                self.room -= cost
+                self.known[word] = made
+        return made
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        if not self.plain.fullmatch(piece):
+            return self._whole(piece)
+        return b"".join(map(self._word, self.pre.findall(piece)))
+
+    def _after_space(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that a space comes before, which is part of them."""
+        made: list[bytes | None] = [None] * len(pieces)
+        several = []
+        for i, piece in enumerate(pieces):
+            plain = (piece.isascii() and piece.isprintable()) or self.plain.fullmatch(piece)
+            if not piece or not plain or piece[0] == "\n" or piece[-1] == "\n":
+                made[i] = self._piece(" " + piece)
+            elif piece.isalpha():
+                made[i] = self._word(" " + piece)
+            else:
+                several.append(i)
+        # Both ends of these are visible, so that they can be cut into words in one go:
+        # a word starts with a space just where a piece starts.
+        words = self.pre.findall("".join([f" {pieces[i]}" for i in several]))
+        ids = list(map(self._word, words))
+        starts = [k for k, word in enumerate(words) if word[0] == " "]
+        for i, (a, b) in zip(several, pairwise([*starts, len(words)]), strict=True):
+            made[i] = b"".join(ids[a:b])
+        return made
+
+    def encode_block(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with the end id after it; number of ids by text)."""
+        whole = pc.match_substring(texts, "  ")
+        for token in self.added:
+            whole = pc.or_(whole, pc.match_substring(texts, token))
+        pieces = pc.split_pattern(pc.if_else(whole, "", texts), " ")
+        found = pieces.flatten().dictionary_encode()
+        made = self._after_space(_strings(found.dictionary))
+        # a text is its head, which no space comes before, its other pieces and the end id
+        first = pieces.offsets.to_numpy().astype(np.int64)
+        first -= first[0]
+        heads = pc.take(found.dictionary, pc.take(found.indices, pa.array(first[:-1])))
+        at_head = len(made)
+        for i, (head, is_whole) in enumerate(zip(heads.to_pylist(), whole.to_pylist(), strict=True)):
+            made.append(self._whole(texts[i].as_py()) if is_whole else self._piece(head))
+        order = found.indices.to_numpy().copy()
+        order[first[:-1]] = np.arange(at_head, len(made))
+        order = np.insert(order, first[1:], len(made))
+        made.append(array("I", [end_id]).tobytes())
+
+        sizes = np.fromiter(map(len, made), np.int32, len(made)) // 4
+        flat = np.frombuffer(b"".join(made), "<u4")
+        lengths = sizes[order]
+        ends = np.cumsum(lengths, dtype=np.int64)
+        kind = np.int32 if ends[-1] < 1 << 31 else np.int64
+        starts = np.cumsum(sizes, dtype=kind) - sizes
+        at = np.repeat(starts[order] - (ends - lengths).astype(kind), lengths)
+        at += np.arange(len(at), dtype=kind)
+        return flat[at], np.add.reduceat(lengths, first[:-1] + np.arange(len(texts)), dtype=np.int64)
+
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian uint32 bytes."""
-        if "  " in text or any(a in text for a in self.added):
-            return self._whole(text)
-        head, *tail = text.split(" ")
-        rest = self.rest
-        return self.first[head] + b"".join([rest[p] for p in tail])
+        """Ids of one text as little-endian uint32 bytes."""
+        return self.encode_block(pa.array([text]), 0)[0][:-1].tobytes()
+
+
+def _strings(pieces: pa.Array) -> list[str]:
+    """The strings of an array without any space in them."""
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces), " ")
+    return joined[0].as_py().split(" ") if len(pieces) else []
 
 
 def _encoder(path: str) -> PieceEncoder:
     return held("pieces", path, lambda: PieceEncoder(path))
 
 
+def text_blocks(batch: pa.RecordBatch, block_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of at most ``block_bytes`` of text, or of one row."""
+    sizes = pc.binary_length(batch.column(batch.schema.get_field_index("text"))).fill_null(0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        done = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, done + block_bytes, side="right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def _local(path: str) -> str | None:
     """The path on a mounted file system, or None for a remote store."""
     at = urlparse(path)
     return at.path if at.scheme in ("", "file") else None
 
 
-def _publish(made: str, shard: str) -> None:
-    """Move finished files beside each other under the shard's name."""
-    local = _local(shard)
-    for kind in (".bin", ".idx", ".doc"):
-        if local:
-            # in one folder, so that the rename is atomic
-            os.replace(made + kind, local + kind)
-        else:
-            from pyarrow import fs
+def _store(path: str):
+    """(file system, path in it) of a remote store; Hadoop's names of S3 are S3."""
+    from pyarrow import fs
+
+    scheme, rest = path.split("://", 1)
+    return fs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
+
 
-            store, at = fs.FileSystem.from_uri(shard + kind)
-            with open(made + kind, "rb") as src, store.open_output_stream(at) as out:
-                shutil.copyfileobj(src, out)
+@contextmanager
+def _writing(path: str):
+    """A stream to a new file on a mounted or remote store."""
+    if local := _local(path):
+        os.makedirs(os.path.dirname(local), exist_ok=True)
+        with open(local, "wb") as out:
+            yield out
+    else:
+        store, at = _store(path)
+        with store.open_output_stream(at) as out:
+            yield out
 
 
 def _write(tokenizer: str, end_id: int, folder: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         width = 2 if encoder.size <= 1 << 16 else 4
-        shard = f"{folder}/{uuid.uuid4().hex}"
-        local = _local(folder)
-        if local:
-            os.makedirs(local, exist_ok=True)
-        with tempfile.TemporaryDirectory(dir=local) as own:
-            made, offsets, ids = f"{own}/s", array("Q", [0]), array("q")
-            end = array("I", [end_id]).tobytes()
-            with open(made + ".bin", "wb") as out:
-                for batch in batches:
-                    for text, doc in zip(batch["text"], batch["doc_id"], strict=True):
-                        got = np.frombuffer(encoder.encode(text) + end, "<u4")
-                        out.write(got.astype(f"<u{width}").tobytes())
-                        offsets.append(offsets[-1] + len(got))
-                        ids.append(NULL_ID if pd.isna(doc) else int(doc))
-            if not len(ids):
-                return
-            with open(made + ".idx", "wb") as out:
-                offsets.tofile(out)
-            with open(made + ".doc", "wb") as out:
-                ids.tofile(out)
-            _publish(made, shard)
-        part = TaskContext.get().partitionId()
-        row = {"part": [part], "shard": [shard], "n_docs": [len(ids)], "n_ids": [offsets[-1]], "width": [width]}
+        context = TaskContext.get()
+        shard = f"{folder}/{context.partitionId():06d}-{context.taskAttemptId()}"
+        # 16 bytes a document of the partition stay here until its ids are written
+        lengths, docs = [np.zeros(0, "<i8")], [np.zeros(0, "<i8")]
+        with _writing(shard + ".bin") as out:
+            for batch in batches:
+                for block in text_blocks(batch):
+                    ids, sizes = encoder.encode_block(block.column(1), end_id)
+                    out.write(ids.astype(f"<u{width}").tobytes())
+                    lengths.append(sizes.astype("<i8"))
+                    docs.append(block.column(0).fill_null(NULL_ID).to_numpy().astype("<i8"))
+        sizes = np.concatenate(lengths)
+        with _writing(shard + ".idx") as out:
+            out.write(np.r_[0, np.cumsum(sizes)].astype("<u8").tobytes())
+        with _writing(shard + ".doc") as out:
+            out.write(np.concatenate(docs).tobytes())
         release()
-        yield pd.DataFrame(row)
+        row = {"part": context.partitionId(), "shard": shard, "n_docs": len(sizes), "n_ids": int(sizes.sum()), "width": width}
+        if len(sizes):
+            kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32())
+            arrays = [pa.array([v], kind) for v, kind in zip(row.values(), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=list(row))
 
     return run
 
@@ -183,46 +246,56 @@ def write_token_files(
     The manifest (part, shard, n_docs, n_ids, width) has one row a shard, in
     ``part`` order. Null text counts as empty and gives the end id alone. Rows with
     equal doc_id keep the order of their texts; null doc_ids come first. An empty
-    table writes no shard. Columns other than doc_id and text are not read.
+    table writes no shard that counts. Columns other than doc_id and text are not
+    read, whatever their names. ``folder`` is a new folder.
     """
     folder = folder or scratch_path(spark, "token-files")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    made = dealt.mapInPandas(_write(tokenizer, end_id, folder), _MANIFEST)
+    made = dealt.mapInArrow(_write(tokenizer, end_id, folder), _MANIFEST)
     return Scratch(spark, "token-manifest").save(made, "shards")
 
 
-def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _ids_of(shard: str, width: int, offsets: np.ndarray) -> Iterator[np.ndarray]:
+    """The ids of each document of a shard: mapped, or read in parts from a remote store."""
+    kind = f"<u{width}"
+    if local := _local(shard):
+        ids = np.memmap(local + ".bin", kind, "r")
+        yield from (ids[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True))
+        return
+    store, at = _store(shard + ".bin")
+    with store.open_input_stream(at) as src:
+        first = 0
+        while first < len(offsets) - 1:
+            last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + READ_IDS, side="right")) - 1)
+            ids = np.frombuffer(src.read(int(offsets[last] - offsets[first]) * width), kind)
+            for a, b in zip(offsets[first:last], offsets[first + 1 : last + 1], strict=True):
+                yield ids[a - offsets[first] : b - offsets[first]]
+            first = last
+
+
+def _numbers(path: str, kind: str) -> np.ndarray:
+    if local := _local(path):
+        return np.memmap(local, kind, "r")
+    store, at = _store(path)
+    with store.open_input_stream(at) as src:
+        return np.frombuffer(src.read(), kind)
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for shard, base, width in zip(batch["shard"], batch["base"], batch["width"], strict=True):
-            with tempfile.TemporaryDirectory() as own:
-                at = _local(shard)
-                if at is None:
-                    from pyarrow import fs
-
-                    at = f"{own}/s"
-                    for kind in (".bin", ".idx", ".doc"):
-                        store, there = fs.FileSystem.from_uri(shard + kind)
-                        with store.open_input_stream(there) as src, open(at + kind, "wb") as out:
-                            shutil.copyfileobj(src, out)
-                ids = np.memmap(at + ".bin", f"<u{width}", "r")
-                offsets = np.memmap(at + ".idx", "<u8", "r").astype(np.int64)
-                docs = pd.array(np.memmap(at + ".doc", "<i8", "r"), dtype="Int64")
-                docs[docs == NULL_ID] = pd.NA
-                crc = [
-                    zlib.crc32(ids[a:b].astype("<u4").tobytes())
-                    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
-                ]
-                yield pd.DataFrame(
-                    {
-                        "doc_id": docs,
-                        "start": offsets[:-1] + base,
-                        "n_tokens": np.diff(offsets),
-                        "ids_crc32": np.array(crc, dtype=np.int64),
-                    }
-                )
-                del ids, offsets
+        for shard, base, width in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+            offsets = _numbers(shard + ".idx", "<u8").astype(np.int64)
+            docs = _numbers(shard + ".doc", "<i8")
+            crc = [zlib.crc32(ids.astype("<u4").tobytes()) for ids in _ids_of(shard, width, offsets)]
+            arrays = [
+                pa.array(docs, mask=docs == NULL_ID),
+                pa.array(offsets[:-1] + base),
+                pa.array(np.diff(offsets)),
+                pa.array(crc, pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
@@ -235,4 +308,4 @@ def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     bases = [0, *accumulate(s.n_ids for s in shards)]
     rows = [(s.shard, b, s.width) for s, b in zip(shards, bases, strict=False)]
     table = spark.createDataFrame(rows, "shard string, base long, width int")
-    return table.repartition(max(1, len(rows))).mapInPandas(_read, _DOCS)
+    return table.repartition(max(1, len(rows))).mapInArrow(_read, _DOCS)

@@ -6,10 +6,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from siftstone.llm import decontaminate, language_id, quality, secret_scan, token_count
-from siftstone.llm.token_files import PieceEncoder
+from siftstone.llm.token_files import PieceEncoder, text_blocks
 
 EDGES = [(1, None), (2, ""), (3, "x"), (3, "x"), (4, "word " * 30_000), (None, "a\n\tb")]
 
@@ -226,11 +227,27 @@ def test_pieces_equal_the_library():
     path = public_tokenizers.path("byte_bpe_50k.json")
     real, own = Tokenizer.from_file(path), PieceEncoder(path)
     rng = random.Random(6)
-    parts = [" ", "  ", "\n", "\t", "a", "é", "'s", "22", "!", "　", "\xa0", "\x1c", "\x85", "日本", "😀", "<|endoftext|>", "don't", "\r\n", "ß", " the"]
-    for _ in range(8000):
-        text = "".join(rng.choices(parts, k=rng.randint(0, 9)))
-        want = np.array(real.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        assert own.encode(text) == want, repr(text)
+    parts = [" ", "  ", "\n", "\t", "a", "é", "'s", "22", "!", "　", "\xa0", "\x1c", "\x85", "日本", "😀", "<|endoftext|>", "don't", "\r\n", "ß", " the", "x.", "ab"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(8000)]
+    for at in range(0, len(texts), 500):
+        block = texts[at : at + 500]
+        ids, lengths = own.encode_block(pa.array(block), 7)
+        ends = np.cumsum(lengths)
+        assert len(lengths) == len(block) and ends[-1] == len(ids)
+        for text, a, b in zip(block, ends - lengths, ends, strict=True):
+            assert ids[a:b].tolist() == [*real.encode(text, add_special_tokens=False).ids, 7], repr(text)
+    assert own.encode("one two") == np.array(real.encode("one two").ids, "<u4").tobytes()
+    small = PieceEncoder(path, cache_bytes=500)  # what isn't remembered is encoded again
+    assert small.encode_block(pa.array(texts[:500]), 0)[0].tolist() == own.encode_block(pa.array(texts[:500]), 0)[0].tolist()
+    assert len(small.known) < 6
+
+
+def test_text_blocks():
+    texts = ["a" * 10, None, "b" * 25, "", "c", "d" * 9, "é" * 4]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], names=["doc_id", "text"])
+    blocks = list(text_blocks(batch, 10))
+    assert [b.column(1).to_pylist() for b in blocks] == [["a" * 10, None], ["b" * 25], ["", "c", "d" * 9], ["é" * 4]]
+    assert list(text_blocks(batch.slice(0, 0), 10)) == []
 
 
 def test_remainders(docs):
