@@ -6,8 +6,9 @@ source's target is then met by whole documents:
 
 1. documents are counted by source and exact length;
 2. the whole multiples of the source are taken for every document; of the rest,
-   each length gives its share rounded down, and a bounded-knapsack dynamic program
-   over lengths and counts left closes what remains of the budget;
+   each length gives its share in whole documents, what it leaves open going to the
+   next longer one. At most twice the longest document remains, and a bounded-knapsack
+   dynamic program over lengths and counts left closes it;
 3. of each length, as many documents as were chosen are selected in the order of a
    seeded hash of doc_id.
 
@@ -21,6 +22,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +34,6 @@ WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 MOST = 2.0
 SEED = 20240607
-#: The dynamic program runs once the rest of a budget is at most this many words.
-KNAPSACK_WORDS = 32_768
 
 _SRC, _SIZE, _HASH, _CELL = "__mix_src", "__mix_size", "__mix_hash", "__mix_cell"
 
@@ -61,51 +61,50 @@ def fit_lengths(lengths: dict[int, int], target: float) -> tuple[int, dict[int,
     budget = 0 if copies == MOST else round(target - copies * total)
     left = {size: n for size, n in sorted(lengths.items()) if size > 0}
     chosen: dict[int, int] = {}
-
-    def take(size: int, n: int) -> None:
-        chosen[size] = chosen.get(size, 0) + n
-        left[size] -= n
-
-    rest = budget
-    for size, n in list(left.items()):
-        if share := n * budget // total:
-            take(size, share)
-            rest -= size * share
-    while rest > KNAPSACK_WORDS:
-        before = rest
-        for size in sorted(left, reverse=True):
-            if left[size] and size <= rest and rest > KNAPSACK_WORDS:
-                take(size, 1)
-                rest -= size
-        if rest == before:
-            break
-    for size, n in _knapsack({s: n for s, n in left.items() if n and s <= rest}, rest).items():
-        take(size, n)
+    seen = taken = 0
+    for size, n in left.items():
+        seen += size * n
+        # what shorter lengths left open counts here, so that less than one document stays open
+        chosen[size] = (budget * seen // total - taken) // size
+        taken += chosen[size] * size
+    rest = budget - taken
+    longest = max(left)
+    for size in left:  # one document back from short lengths, so that the program has a choice
+        if chosen[size] and rest + size <= 2 * longest:
+            chosen[size] -= 1
+            rest += size
+    for size, n in _knapsack({s: n - chosen[s] for s, n in left.items() if s <= rest}, rest).items():
+        chosen[size] += n
     return copies, {size: n for size, n in chosen.items() if n}
 
 
 def _knapsack(left: dict[int, int], budget: int) -> dict[int, int]:
     """Bounded knapsack over lengths: the largest reachable sum within the budget.
 
-    Reachable sums are the bits of an integer; counts go in as powers of two. It
-    ends at the first length that makes the budget reachable.
+    Counts go in as powers of two. For each sum the step that first reached it is
+    kept, which takes 5 bytes a word of the budget. It ends at the first length that
+    makes the budget reachable.
     """
-    reach, full, steps = 1, (1 << budget + 1) - 1, []
+    reached = np.zeros(budget + 1, dtype=bool)
+    reached[0] = True
+    by_step = np.full(budget + 1, -1, dtype=np.int32)
+    steps: list[tuple[int, int]] = []
     for size, n in left.items():
         n, part = min(n, budget // size), 1
-        while n > 0 and not reach >> budget & 1:
+        while n > 0 and not reached[budget]:
             part = min(part, n)
-            steps.append((size, part, reach))
-            reach = (reach | reach << size * part) & full
+            fresh = size * part + np.flatnonzero(reached[: budget + 1 - size * part] & ~reached[size * part :])
+            reached[fresh], by_step[fresh] = True, len(steps)
+            steps.append((size, part))
             n, part = n - part, part * 2
-        if reach >> budget & 1:
+        if reached[budget]:
             break
-    at = reach.bit_length() - 1
+    at = int(np.flatnonzero(reached)[-1])
     out: dict[int, int] = {}
-    for size, part, before in reversed(steps):
-        if not before >> at & 1:
-            out[size] = out.get(size, 0) + part
-            at -= size * part
+    while at:
+        size, part = steps[by_step[at]]
+        out[size] = out.get(size, 0) + part
+        at -= size * part
     return out
 
 

@@ -109,6 +109,31 @@ def test_fit_lengths_meets_the_budget():
         assert taken <= target + 1 and (len(lengths) < 12 or target - taken <= 30)
 
 
+def test_knapsack_equals_brute_force():
+    rng = random.Random(12)
+    for _ in range(300):
+        left = {rng.randint(1, 40): rng.randint(0, 6) for _ in range(rng.randint(0, 8))}
+        budget = rng.randint(0, 200)
+        sums = {0}
+        for size, n in left.items():
+            sums = {s + size * k for s in sums for k in range(n + 1) if s + size * k <= budget}
+        got = mixing._knapsack(left, budget)
+        assert all(0 < n <= left[size] for size, n in got.items())
+        assert sum(size * n for size, n in got.items()) == max(sums)
+
+
+def test_long_documents_leave_no_more_than_the_knapsack_must():
+    # a rest of many thousand words, which only the dynamic program closes
+    lengths = {70_001: 3, 250_000: 2, 1_000: 60, 37: 400}
+    total = sum(s * n for s, n in lengths.items())
+    for target in (0.4 * total, 1.37 * total, 0.9999 * total):
+        copies, more = mixing.fit_lengths(lengths, target)
+        taken = sum(s * n * copies + s * more.get(s, 0) for s, n in lengths.items())
+        assert 0 <= round(target) - taken < 37 and all(more.get(s, 0) <= n for s, n in lengths.items())
+    assert mixing.fit_lengths({90_000: 1}, 50_000) == (0, {})
+    assert mixing.fit_lengths({90_000: 4}, 200_000) == (0, {90_000: 2})
+
+
 def brute_targets(sizes):
     order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
     weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
