@@ -69,10 +69,10 @@ def fit_lengths(lengths: dict[int, int], target: float) -> tuple[int, dict[int,
         taken += chosen[size] * size
     rest = budget - taken
     longest = max(left)
-    for size in left:  # one document back from short lengths, so that the program has a choice
-        if chosen[size] and rest + size <= 2 * longest:
-            chosen[size] -= 1
-            rest += size
+    for size in left:  # short documents are given back, so that the program has a choice
+        back = min(chosen[size], (2 * longest - rest) // size)
+        chosen[size] -= back
+        rest += size * back
     for size, n in _knapsack({s: n - chosen[s] for s, n in left.items() if s <= rest}, rest).items():
         chosen[size] += n
     return copies, {size: n for size, n in chosen.items() if n}
