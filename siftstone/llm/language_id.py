@@ -23,13 +23,14 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import held, release
 
 SAMPLE_ROWS = 120
 DICT_BYTES = 65_536
-#: Bytes of one row that go into a dictionary, so that many rows share it.
-ROW_BYTES = 2_048
+#: Sampled texts are cut into pieces of so many bytes, so that many rows share a dictionary.
+SAMPLE_PIECE = 1_024
 #: So many languages have a whole sample and dictionary.
 FULL_LANGS = 64
 LEAST_ROWS, LEAST_BYTES = 8, 1_024
@@ -49,14 +50,33 @@ def normalised(text: str) -> bytes:
     return b" " + b" ".join(words) + b" "
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, text) as (lang, place, piece): normalised whole texts cut into pieces, in hash order."""
+    import xxhash
+
+    for batch in batches:
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            raw = normalised(text.as_py())
+            pieces = [raw[i : i + SAMPLE_PIECE] for i in range(0, len(raw), SAMPLE_PIECE)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * len(pieces), pa.string()),
+                    pa.array([xxhash.xxh3_64_intdigest(p, i) >> 1 for i, p in enumerate(pieces)], pa.int64()),
+                    pa.array(pieces, pa.binary()),
+                ],
+                names=["lang", "place", "piece"],
+            )
+
+
 def learn_dictionaries(docs: DataFrame, learn: Column) -> tuple[tuple[str, bytes], ...]:
     """(language, dictionary) pairs, the most frequent language first.
 
     Only rows where ``learn`` holds and text and lang are not null are looked at.
-    The sample is the rows with the smallest hash of doc_id, so reruns agree.
+    The sample is the rows with the smallest hash of doc_id, so reruns agree. Their
+    whole texts are cut into pieces, and pieces in hash order fill the dictionary.
     """
     rows = docs.filter(learn & F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
-        F.col("lang").alias("lang"), F.xxhash64("doc_id").alias("h"), "text"
+        F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id").alias("h"), "text"
     )
     top = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not top:
@@ -67,17 +87,18 @@ def learn_dictionaries(docs: DataFrame, learn: Column) -> tuple[tuple[str, bytes
     # A hash threshold a language that lets through about four times the sample.
     share = {r["lang"]: min(1.0, 4.0 * n_rows / r["count"]) for r in top}
     cut = F.create_map(*[F.lit(x) for k, v in share.items() for x in (k, v)])[F.col("lang")]
-    some = rows.filter((F.col("h") / F.lit(2.0**64) + 0.5) < cut).collect()
+    some = rows.filter((F.col("h") / F.lit(2.0**64) + 0.5) < cut)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
+    some = some.withColumn("rank", rank).filter(F.col("rank") <= n_rows).select("lang", "text")
+    pieces = some.mapInArrow(_cut, "lang string, place long, piece binary")
+    order = Window.partitionBy("lang").orderBy("place", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.octet_length("piece")).over(order), F.lit(0))
+    pieces = pieces.withColumn("before", before).filter(F.col("before") < n_bytes)
+    # What a dictionary holds and a piece more at most, by language.
     by: dict[str, list] = defaultdict(list)
-    for r in sorted(some, key=lambda r: (r["lang"], r["h"], r["text"])):
-        by[r["lang"]].append(r["text"])
-    out = []
-    for r in top:
-        made = bytearray()
-        for text in by[r["lang"]][:n_rows]:
-            made += normalised(text)[:ROW_BYTES]
-        out.append((r["lang"], bytes(made[-n_bytes:])))
-    return tuple(out)
+    for r in sorted(pieces.collect(), key=lambda r: (r["lang"], r["before"])):
+        by[r["lang"]].append(r["piece"])
+    return tuple((r["lang"], b"".join(by[r["lang"]])[:n_bytes]) for r in top)
 
 
 class LanguageModel:
