@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,12 +58,12 @@ ORDER_CONTEXT = r"order|#|\bbl[\s-]?\d{6}"
 
 def _hits(text: Column, words: tuple[str, ...]) -> Column:
     """How many different words the text contains."""
-    return reduce(lambda a, b: a + b, [F.contains(text, F.lit(w)).cast("int") for w in words])
+    return F.size(F.filter(F.array(*map(F.lit, words)), lambda word: F.contains(text, word)))
 
 
-def _first(table: dict[str, tuple[str, ...]], hits: dict[str, Column], default: str) -> Column:
+def _first(names, hits: Column, default: str) -> Column:
     chain = F.lit(default)
-    for name in reversed(table):
+    for name in reversed(names):
         chain = F.when(hits[name] > 0, name).otherwise(chain)
     return chain
 
@@ -76,36 +74,23 @@ def order_id(text: Column) -> Column:
     return F.when(F.rlike(text, F.lit(f"(?iU){ORDER_CONTEXT}")) & (digits != ""), F.concat(F.lit("BL-"), digits))
 
 
-def _signals(text: Column) -> Column:
-    """What the keywords of a text say, as a struct of plain values."""
-    lowered = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
-    intents = {k: _hits(lowered, w) for k, w in INTENT_WORDS.items()}
-    won = F.lit(0)
-    for name in reversed(INTENT_WORDS):
-        won = F.when(intents[name] > 0, intents[name]).otherwise(won)
-    return F.struct(
-        _first(INTENT_WORDS, intents, "other").alias("intent"),
-        _first(PRODUCT_WORDS, {k: _hits(lowered, w) for k, w in PRODUCT_WORDS.items()}, "none").alias("product_area"),
-        won.alias("won"),
-        _hits(lowered, NEGATIVE_WORDS).alias("negative"),
-        _hits(lowered, POSITIVE_WORDS).alias("positive"),
-        _hits(lowered, HIGH_URGENCY_WORDS).alias("high"),
-        order_id(text).alias("order_id"),
-    )
+#: Keywords by what they count for.
+_COUNTED = {**INTENT_WORDS, **PRODUCT_WORDS, "negative": NEGATIVE_WORDS, "positive": POSITIVE_WORDS, "high": HIGH_URGENCY_WORDS}
 
 
-def _decided(s: Column, strict_urgency: bool) -> Column:
-    intent, product, number = s["intent"], s["product_area"], s["order_id"]
+def _decided(hits: Column, number: Column, strict_urgency: bool) -> Column:
+    intent, product = _first(INTENT_WORDS, hits, "other"), _first(PRODUCT_WORDS, hits, "none")
+    won = F.coalesce(*[F.nullif(hits[name], F.lit(0)) for name in INTENT_WORDS], F.lit(0))
     sentiment = (
-        F.when(s["negative"] > s["positive"], "negative").when(s["positive"] > s["negative"], "positive").otherwise("neutral")
+        F.when(hits["negative"] > hits["positive"], "negative").when(hits["positive"] > hits["negative"], "positive").otherwise("neutral")
     )
     low = intent.isin(*LOW_URGENCY_INTENTS)
-    urgency = F.when(s["high"] >= (2 if strict_urgency else 1), "high").when(low, "low").otherwise("medium")
+    urgency = F.when(hits["high"] >= (2 if strict_urgency else 1), "high").when(low, "low").otherwise("medium")
     words = lambda c: F.replace(c, F.lit("_"), F.lit(" "))
     about = F.when(product == "none", "").otherwise(F.concat(F.lit(" about their "), words(product)))
     order = F.coalesce(F.concat(F.lit(" (order "), number, F.lit(")")), F.lit(""))
     summary = F.concat(F.lit("Customer has a "), words(intent), F.lit(" request"), about, order, F.lit("."))
-    sure = F.least(F.lit(1.0), 0.35 + 0.2 * s["won"] + F.when(product != "none", 0.1).otherwise(0.0))
+    sure = F.least(F.lit(1.0), 0.35 + 0.2 * won + F.when(product != "none", 0.1).otherwise(0.0))
     return F.struct(
         intent.alias("intent"),
         urgency.alias("urgency"),
@@ -121,9 +106,12 @@ def with_keyword_triage(df: DataFrame, text: Column, strict_urgency: bool = Fals
     """Adds struct<intent, urgency, sentiment, product_area, order_id, summary, confidence>.
 
     Strict urgency asks for two urgent words instead of one; the second of the
-    offline teachers uses it. The struct is made in two generate steps, so that the
-    planner does not copy the long keyword chains into everything built on them.
+    offline teachers uses it. The struct is made in three generate steps, so that the
+    planner copies neither the lowered text nor the counts into what is built on them.
     """
     kept = [F.col(f"`{c}`") for c in df.columns]
-    said = df.select(*kept, F.explode(F.array(_signals(text))).alias("__said"))
-    return said.select(*kept, F.explode(F.array(_decided(F.col("__said"), strict_urgency))).alias(name))
+    made = F.struct(F.concat(F.lit(" "), F.lower(text), F.lit(" ")).alias("lowered"), order_id(text).alias("number"))
+    read = df.select(*kept, F.explode(F.array(made)).alias("__read"))
+    counts = F.struct(*[_hits(F.col("__read.lowered"), words).alias(k) for k, words in _COUNTED.items()])
+    said = read.select(*kept, F.col("__read.number").alias("__number"), F.explode(F.array(counts)).alias("__hits"))
+    return said.select(*kept, F.explode(F.array(_decided(F.col("__hits"), F.col("__number"), strict_urgency))).alias(name))

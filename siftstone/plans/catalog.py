@@ -718,12 +718,16 @@ def parse_answers(spark, sf_dir):
        WHEN doc_id % 10 = 3 THEN 'intent: not an allowed value' END AS error FROM documents"""
 )
 def parse_batch(spark, sf_dir):
-    """Batch answers with repeated, unknown, invalid and missing items."""
+    """Batch answers with repeated, unknown, invalid and missing items, the id first, within or last."""
     rows = batching.with_batches(examples(spark, sf_dir), 12)
     whole = triage_json(F.col("triage"))
-    body = F.concat(F.lit('{"id": "'), F.col("id"), F.lit('", '), F.substring(whole, F.lit(2), F.length(whole)))
+    d, named = F.col("pos"), F.concat(F.lit('"id": "'), F.col("id"), F.lit('"'))
+    body = (
+        F.when(d % 3 == 0, F.concat(F.lit("{"), named, F.lit(", "), F.substring(whole, F.lit(2), F.length(whole))))
+        .when(d % 3 == 1, F.replace(whole, F.lit('"sentiment"'), F.concat(named, F.lit(', "sentiment"'))))
+        .otherwise(F.concat(F.substring(whole, F.lit(1), F.length(whole) - 1), F.lit(", "), named, F.lit("}")))
+    )
     bad = F.replace(body, F.lit('"intent": "'), F.lit('"intent": "no '))
-    d = F.col("pos")
     items = F.when(d % 10 == 7, F.array()).when(d % 10 == 3, F.array(bad)).when(d % 10 == 5, F.array(bad, body)).otherwise(F.array(body, bad))
     stray = F.array(F.lit('{"id": "stray"}'))
     each = rows.select("batch", F.explode(F.concat(items, stray)).alias("item"))
@@ -746,10 +750,14 @@ def _sql_keyword(source: str) -> str:
 
     low = ", ".join(f"'{i}'" for i in h.LOW_URGENCY_INTENTS)
     won = "CASE " + " ".join(f"WHEN {_sql_hits(w)} > 0 THEN {_sql_hits(w)}" for w in h.INTENT_WORDS.values()) + " ELSE 0 END"
-    return f"""WITH l AS (SELECT id, ' ' || lower(text) || ' ' AS l FROM ({source})), k AS (SELECT id, {_sql_first(h.INTENT_WORDS, 'other')} AS intent,
+    digits = r"(?:#\s*)?(?:^|[^0-9A-Za-z_])(?:[Bb][Ll][\s-]?)?(\d{6})(?:[^0-9A-Za-z_]|$)"
+    order = f"CASE WHEN regexp_matches(l, 'order|#|(^|[^0-9a-z_])bl[\\s-]?\\d{{6}}') THEN 'BL-' || nullif(regexp_extract(l, '{digits}', 1), '') END"
+    return f"""WITH l AS (SELECT id, ' ' || lower(text) || ' ' AS l FROM ({source})), k AS (SELECT id, {order} AS order_id, {_sql_first(h.INTENT_WORDS, 'other')} AS intent,
         {_sql_first(h.PRODUCT_WORDS, 'none')} AS product_area, {_sql_hits(h.NEGATIVE_WORDS)} AS neg, {_sql_hits(h.POSITIVE_WORDS)} AS pos_,
         {_sql_hits(h.HIGH_URGENCY_WORDS)} AS high, {won} AS won FROM l)
-        SELECT id, intent, product_area, CASE WHEN neg > pos_ THEN 'negative' WHEN pos_ > neg THEN 'positive' ELSE 'neutral' END AS sentiment,
+        SELECT id, intent, product_area, order_id, 'Customer has a ' || replace(intent, '_', ' ') || ' request'
+        || CASE WHEN product_area = 'none' THEN '' ELSE ' about their ' || replace(product_area, '_', ' ') END
+        || coalesce(' (order ' || order_id || ')', '') || '.' AS summary, CASE WHEN neg > pos_ THEN 'negative' WHEN pos_ > neg THEN 'positive' ELSE 'neutral' END AS sentiment,
         CASE WHEN high >= 1 THEN 'high' WHEN intent IN ({low}) THEN 'low' ELSE 'medium' END AS urgency,
         round(least(1.0::DOUBLE, 0.35::DOUBLE + 0.2::DOUBLE * won + CASE WHEN product_area <> 'none' THEN 0.1::DOUBLE ELSE 0 END), 3) AS confidence FROM k"""
 
@@ -771,7 +779,7 @@ def keyword_triage_docs(spark, sf_dir):
     )
     rows = table(spark, sf_dir, "documents").select(d.alias("id"), F.concat("text", tail).alias("text"))
     made = with_keyword_triage(rows, F.col("text"))
-    return made.select("id", "k.intent", "k.product_area", "k.sentiment", "k.urgency", "k.confidence")
+    return made.select("id", "k.intent", "k.product_area", "k.order_id", "k.summary", "k.sentiment", "k.urgency", "k.confidence")
 
 
 QUERIES["keyword_triage"] = QUERIES.pop("keyword_triage_docs")

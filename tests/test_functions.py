@@ -1,10 +1,12 @@
 """Scalar functions against small tables of cases."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
 from siftstone.functions import pii, text
-from siftstone.functions.contract import answer_items, check_triage, first_json, normalize_order_id, triage_json
+from siftstone.functions.contract import answer_values, check_triage, identified, normalize_order_id, triage_json
 from siftstone.functions.heuristics import with_keyword_triage
 from siftstone.schemas import TRIAGE
 
@@ -16,18 +18,16 @@ def one(spark, column, *values):
 
 
 def test_order_ids(spark):
-    same = ["BL-482913", "#BL-482913", "bl482913", "bl 482913", "482913", "  #482913 "]
-    assert one(spark, normalize_order_id(F.col("v")), *same) == ["BL-482913"] * 6
-    assert one(spark, normalize_order_id(F.col("v")), "null", "", "n/a", None) == [None] * 4
-    assert one(spark, normalize_order_id(F.col("v")), "BL-12345", "order-123456") == ["BL-12345", "ORDER-123456"]
+    read = {"104477": "BL-104477", "\t# 104477": "BL-104477", "Bl104477": "BL-104477", "#bl - 104477\n": "BL-104477", "None": None, " NULL ": None, "bl-1044": "BL-1044", "x104477": "X104477"}
+    assert one(spark, normalize_order_id(F.col("v")), *read, None) == [*read.values(), None]
 
 
 def test_pii(spark):
-    hit = ["a@b.org", "call +1 415 555 0134 now", "(030) 1234-5678", "4111 1111 1111 1111"]
-    assert one(spark, pii.scrub(F.col("v")), *hit) == ["[EMAIL]", "call [PHONE] now", "[PHONE]", "[CARD]"]
-    clean = ["BL-123456", "14°C", "3.2.1", "$249.00 on 2026-09-28", ""]
+    hit = ["to kim.l@mail.example", "ring (212) 555-0188 please", "5500 0000 0000 0004", "q@r.io / 212-555-0188"]
+    assert one(spark, pii.scrub(F.col("v")), *hit) == ["to [EMAIL]", "ring [PHONE] please", "[CARD]", "[EMAIL] / [PHONE]"]
+    clean = ["order BL-777001", "70 °F at 9:30", "release 10.4", "18.50 EUR", " "]
     assert one(spark, pii.scrub(F.col("v")), *clean) == clean
-    assert one(spark, pii.counts(F.col("v")), "a@b.org c@d.org", "x") == [{"email": 2}, {}]
+    assert one(spark, pii.counts(F.col("v")), "q@r.io s@t.io", "none") == [{"email": 2}, {}]
 
 
 def test_text(spark):
@@ -46,14 +46,40 @@ def test_text(spark):
 
 
 def test_json_in_answers():
-    value = {"a": 1}
-    for answer in ('{"a": 1}', '```json\n{"a": 1}\n```', 'Sure: {"a": 1} done', '{"a": 1} {"b": 2}'):
-        assert first_json(answer) == value
-    with pytest.raises(ValueError):
-        first_json("no json { here")
-    assert [x["id"] for x in answer_items('{"items": [{"id": "a"}, {"id": "b"}, {"id": "c", "te')] == ["a", "b"]
-    assert answer_items('{"items": []}') == []
-    assert answer_items("nothing") is None
+    found = {
+        ' [3, {"k": "é"}]\n': [3, {"k": "é"}],
+        "```JSON [1]```": [1],
+        "```\n\"x\"\n```": "x",
+        "null": None,
+        'Well {this} is {"k": [1]} and {"k": 2}': {"k": [1]},
+    }
+    for answer, value in found.items():
+        assert answer_values(answer) == [value]
+    assert answer_values("{ } }") == [{}] and answer_values("[1, 2") == answer_values("plain words {") == answer_values("") == []
+
+
+def test_items_of_batch_answers():
+    assert identified('{"items": [{"k": 1, "id": "a"}, 5, {"id": 7}, {"k": 2}]}') == [("a", {"k": 1}), ("7", {}), ("", {"k": 2})]
+    assert identified('[{"id": "b", "x": {"id": "c"}}]') == [("b", {"x": {"id": "c"}})]
+    cut = 'So: {"items": [{"id": "a", "x": {"id": "in"}}, {"id": broken}, {"id": "b"}, {"id": "c", "x'
+    assert identified(cut) == [("a", {"x": {"id": "in"}}), ("b", {})]
+    assert identified('{"items": []}') == [] and identified("no answer") is None and identified('{"k": 1}') is None
+
+
+def test_batches_take_the_id_anywhere(spark):
+    from siftstone.operators.teacher import MISSING, UNREADABLE, parse_batches
+
+    fields = {"intent": "other", "urgency": "low", "sentiment": "neutral", "product_area": "none", "order_id": None, "summary": "Some words here."}
+    good = json.dumps(fields)
+    first, last = '{"id": "a", ' + good[1:], good[:-1] + ', "id": "b"}'
+    wrong = json.dumps({"intent": "x", "id": "c", **{k: v for k, v in fields.items() if k != "intent"}})
+    answers = [(1, f"[{wrong}, {first}, {last}, {wrong.replace('neutral', 'odd')}]"), (2, "nothing")]
+    ids = [(1, i) for i in "abcd"] + [(2, "e"), (3, "f")]
+    frames = spark.createDataFrame(answers, "batch int, text string"), spark.createDataFrame(ids, "batch int, id string")
+    got = {r.id: (r.triage is not None, r.error) for r in parse_batches(*frames).collect()}
+    assert got["a"] == got["b"] == (True, None)
+    assert got["c"] == (False, "intent: not an allowed value; sentiment: not an allowed value")
+    assert got["d"] == (False, MISSING) and got["e"] == got["f"] == (False, UNREADABLE)
 
 
 def test_contract(spark):
