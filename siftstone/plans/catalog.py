@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import pii, text
-from ..functions.contract import exact_match, normalize_order_id, triage_json, valid_order_id, valid_request, valid_summary
+from ..functions.contract import exact_match, let, normalize_order_id, triage_json, valid_order_id, valid_request, valid_summary
 from ..functions.heuristics import with_keyword_triage
 from ..operators import agreement, batching, cost, dataset, funnel, metrics, near_dup, router, student, teacher
 from ..schemas import ENUMS, INTENTS, LABEL, STRUCTURED, TRIAGE, enum_dimension
@@ -720,15 +720,20 @@ def parse_answers(spark, sf_dir):
 def parse_batch(spark, sf_dir):
     """Batch answers with repeated, unknown, invalid and missing items, the id first, within or last."""
     rows = batching.with_batches(examples(spark, sf_dir), 12)
-    whole = triage_json(F.col("triage"))
     d, named = F.col("pos"), F.concat(F.lit('"id": "'), F.col("id"), F.lit('"'))
-    body = (
-        F.when(d % 3 == 0, F.concat(F.lit("{"), named, F.lit(", "), F.substring(whole, F.lit(2), F.length(whole))))
-        .when(d % 3 == 1, F.replace(whole, F.lit('"sentiment"'), F.concat(named, F.lit(', "sentiment"'))))
-        .otherwise(F.concat(F.substring(whole, F.lit(1), F.length(whole) - 1), F.lit(", "), named, F.lit("}")))
-    )
-    bad = F.replace(body, F.lit('"intent": "'), F.lit('"intent": "no '))
-    items = F.when(d % 10 == 7, F.array()).when(d % 10 == 3, F.array(bad)).when(d % 10 == 5, F.array(bad, body)).otherwise(F.array(body, bad))
+
+    def with_id(whole):
+        return (
+            F.when(d % 3 == 0, F.concat(F.lit("{"), named, F.lit(", "), F.substring(whole, F.lit(2), F.length(whole))))
+            .when(d % 3 == 1, F.replace(whole, F.lit('"sentiment"'), F.concat(named, F.lit(', "sentiment"'))))
+            .otherwise(F.concat(F.substring(whole, F.lit(1), F.length(whole) - 1), F.lit(", "), named, F.lit("}")))
+        )
+
+    def answered(body):
+        bad = F.replace(body, F.lit('"intent": "'), F.lit('"intent": "no '))
+        return F.when(d % 10 == 7, F.array()).when(d % 10 == 3, F.array(bad)).when(d % 10 == 5, F.array(bad, body)).otherwise(F.array(body, bad))
+
+    items = let(let(triage_json(F.col("triage")), with_id), answered)
     stray = F.array(F.lit('{"id": "stray"}'))
     each = rows.select("batch", F.explode(F.concat(items, stray)).alias("item"))
     answers = each.groupBy("batch").agg(F.concat(F.lit('{"items": ['), F.array_join(F.collect_list("item"), ", "), F.lit("]}")).alias("text"))
