@@ -45,7 +45,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links user turns, as calls, with the assistant turns that answer them."""
+    """Links user and system turns, as calls, with the assistant turns that answer them."""
     calls, results = turns_as_calls(read_table(spark, sf_dir, "conversations"))
     linked = link_tool_calls(spark, calls, results, reply_tools(spark))
     errors = F.array_join("errors", ",").alias("errors")
@@ -131,23 +131,45 @@ ORACLE_SQL: dict[str, str] = {
         FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN ids USING (doc_id)
     """,
     "op4_tool_calls": """
-        WITH c AS (
-          SELECT DISTINCT conv_id, turn, role, text FROM conversations
-        ), r AS (
-          SELECT conv_id, turn - 1 AS call_turn, text FROM c WHERE role = 'assistant'
+        WITH RECURSIVE c AS (
+          SELECT DISTINCT conv_id, turn, role, text, coalesce(length(text), 0) AS chars, conv_id % 15 AS way FROM conversations
+        ), k AS (
+          SELECT * FROM c WHERE role IN ('user', 'system')
         ), f AS (
-          SELECT conv_id, call_turn, min(text) AS text FROM r GROUP BY ALL
+          SELECT conv_id, turn - 1 AS call_turn, min(text) AS text FROM c WHERE role = 'assistant' GROUP BY ALL
+        ), reach AS (
+          SELECT DISTINCT conv_id, turn AS t, turn AS u FROM k WHERE way % 3 = 0 OR way = 2
+          UNION
+          SELECT r.conv_id, r.t, k.turn FROM reach AS r JOIN k ON k.conv_id = r.conv_id AND k.turn = r.u + 2
+        ), ahead AS (
+          SELECT conv_id, t, CAST((max(u) - t) // 2 AS INTEGER) AS n FROM reach GROUP BY conv_id, t
+        ), e AS (
+          SELECT k.*, f.conv_id IS NOT NULL AS answered, f.text AS result,
+                 CASE WHEN way % 3 = 0 THEN n
+                      WHEN way = 2 AND (n > 0 OR EXISTS (FROM k AS p WHERE p.conv_id = k.conv_id AND p.turn = k.turn - 2)) THEN NULL
+                      ELSE 0 END AS level,
+                 chars % 5 = 0 AS quoted, chars % 7 <> 0 AS has_meta, chars % 11 = 0 AS has_note, chars % 13 = 0 AS cut,
+                 CASE WHEN k.text IS NULL THEN 0 ELSE len(string_split(k.text, ' ')) END AS words
+          FROM k LEFT JOIN ahead ON k.conv_id = ahead.conv_id AND k.turn = ahead.t
+          LEFT JOIN f ON k.conv_id = f.conv_id AND k.turn = f.call_turn
+        ), m AS (
+          SELECT *, coalesce(CAST(to_json(role) AS VARCHAR), 'null') AS r FROM e
         )
-        SELECT c.conv_id, 'c' || c.turn AS call_id, c.turn, 0 AS level,
-               CASE WHEN f.conv_id IS NOT NULL THEN c.turn + 1 END AS result_turn,
-               CASE WHEN f.conv_id IS NULL THEN 'pending' ELSE 'linked' END AS status,
-               '' AS errors,
-               '{"arguments":{"text":' || coalesce(CAST(to_json(c.text) AS VARCHAR), 'null') || ',"turn":' || c.turn
-               || '},"id":"c' || c.turn || '","name":"reply","result":'
-               || coalesce(CAST(to_json(f.text) AS VARCHAR), 'null')
-               || CASE WHEN f.conv_id IS NULL THEN ',"status":"pending"}' ELSE ',"status":"linked"}' END AS json
-        FROM c LEFT JOIN f ON c.conv_id = f.conv_id AND c.turn = f.call_turn
-        WHERE c.role = 'user'
+        SELECT conv_id, 'c' || turn AS call_id, turn, level, CASE WHEN answered THEN turn + 1 END AS result_turn,
+               CASE WHEN answered THEN 'linked' ELSE 'pending' END AS status,
+               CASE WHEN role <> 'user' THEN 'unknown-tool' ELSE concat_ws(',', CASE WHEN has_note THEN 'extra:note' END,
+                    CASE WHEN has_meta AND cut THEN 'json:meta' END, CASE WHEN NOT has_meta THEN 'missing:meta' END,
+                    CASE WHEN text IS NULL THEN 'type:text' END, CASE WHEN quoted THEN 'type:turn' END) END AS errors,
+               '{"arguments":{'
+               || CASE WHEN NOT has_meta THEN ''
+                       WHEN cut THEN '"meta":' || CAST(to_json('{ "words": ' || words || ', "by": {"role":' || r || ', "chars" : ' || chars || ' } ') AS VARCHAR) || ','
+                       ELSE '"meta":{"by":{"chars":' || chars || ',"role":' || r || '},"words":' || words || '},' END
+               || CASE WHEN has_note THEN '"note":null,' ELSE '' END
+               || '"text":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"turn":' || CASE WHEN quoted THEN '"' || turn || '"' ELSE '' || turn END
+               || '},"id":"c' || turn || '","name":"' || CASE WHEN role = 'user' THEN 'reply' ELSE 'instruct' END || '","result":'
+               || coalesce(CAST(to_json(result) AS VARCHAR), 'null')
+               || CASE WHEN answered THEN ',"status":"linked"}' ELSE ',"status":"pending"}' END AS json
+        FROM m
     """,
     "op5_jaccard_join": f"""
         WITH RECURSIVE d AS (

@@ -3,7 +3,9 @@
 Calls and results meet by a hash join on (conversation, call id). Arguments are
 checked against the tool's schema, calls are put in topological order (a call after
 those whose results its arguments refer to), and each linked call is serialised as
-canonical JSON: keys in code-point order at every depth, no white space, nulls written.
+canonical JSON: keys in code-point order at every depth, no white space, strings with
+the least escapes, numbers as they are spelt, nulls written. What is no JSON becomes a
+JSON string of its raw text, so that the whole is JSON whatever the arguments hold.
 
 Rows are calls, never whole conversations, so a conversation of any length spreads
 over tasks. No Python runs on the executors.
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch
 
-#: JSON types that a schema may name, with a test on the raw JSON of the value.
+#: JSON types that a schema may name, with a test on a value that is known to be JSON.
 JSON_TYPES = {
     "string": "^\"",
     "integer": r"^-?\d+$",
@@ -45,17 +47,49 @@ def canonical_object(fields: dict[str, Column]) -> Column:
 
 
 #: Strings (without escapes), numbers and the rest of JSON.
-_TOKEN = r'"[^"]*"|-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null|[\[\]{}:,]'
+_NUMBER = r"-?(?:0|[1-9]\d*)(?:\.\d+)?(?:[eE][+-]?\d+)?"
+_TOKEN = rf'"[^"]*"|{_NUMBER}|true|false|null|[\[\]{{}}:,]'
+
+
+def trimmed(value: Column) -> Column:
+    """Raw JSON without JSON's white space around it."""
+    return F.regexp_replace(value, r"^[ \t\r\n]+|[ \t\r\n]+$", "")
+
+
+def canonical_json(value: Column) -> Column:
+    """One raw JSON value with sorted keys and without white space; null for anything else.
+
+    JSON is what Spark's variant can hold: no repeated keys, and a bounded size.
+    """
+    bare = trimmed(value)
+    # the variant does not mind what comes after a value, so that the end is looked for too
+    ended = F.rlike(_unescaped(bare), F.lit(r'^"[^"]*"$'))
+    string = F.try_variant_get(F.try_parse_json(bare), "$", "string")
+    return (
+        F.when(bare.startswith('"'), F.when(ended & string.isNotNull(), json_text(string)))
+        .when(F.rlike(bare, F.lit(r"^[\[{]")), _sorted_keys(bare))
+        .when(F.rlike(bare, F.lit(rf"^(?:{_NUMBER}|true|false|null)$")), bare)
+    )
 
 
 def canonical_value(value: Column) -> Column:
-    """A raw JSON object or array with sorted keys and no white space; all else as it is.
+    """canonical_json, or a JSON string of what is no JSON."""
+    return F.when(value.isNotNull(), F.coalesce(canonical_json(value), json_text(value)))
+
+
+def _unescaped(value: Column) -> Column:
+    """Raw JSON with control characters in place of escaped backslashes and quotes."""
+    return F.regexp_replace(F.replace(value, F.lit("\\\\"), F.lit("\x01")), r'\\"', "\x02")
+
+
+def _sorted_keys(value: Column) -> Column:
+    """A JSON object or array with sorted keys and no white space; null for what does not parse.
 
     Spark's variant parses and sorts. To keep numbers as written and keys in code-point
     order it is given strings only: ``n`` and a number, or ``s`` and the hex of a string's
-    UTF-8. What does not parse, repeated keys included, stays as it is.
+    UTF-8.
     """
-    text = F.regexp_replace(F.replace(value, F.lit("\\\\"), F.lit("\x01")), r'\\"', "\x02")
+    text = _unescaped(value)
 
     def literal(token: Column) -> Column:
         raw = F.replace(F.replace(token, F.lit("\x02"), F.lit('\\"')), F.lit("\x01"), F.lit("\\\\"))
@@ -75,8 +109,9 @@ def canonical_value(value: Column) -> Column:
     whole = F.rlike(F.regexp_replace(text, _TOKEN, ""), F.lit(r"^[ \t\r\n]*$")) & ~F.rlike(value, F.lit("[\x01\x02]"))
     # a space between tokens, so that none join: [1 2] is no JSON
     made = F.to_json(F.try_parse_json(F.array_join(F.transform(tokens, packed), " ", "?")))
-    built = F.array_join(F.transform(F.regexp_extract_all(made, F.lit(_TOKEN), F.lit(0)), unpacked), "")
-    return F.when(F.rlike(value, F.lit(r"^[ \t\r\n]*[\[{]")) & whole, F.coalesce(built, value)).otherwise(value)
+    again = F.regexp_extract_all(made, F.lit(_TOKEN), F.lit(0))
+    # what comes after a value is not parsed, and its tokens would be missing
+    return F.when(whole & (F.size(again) == F.size(tokens)), F.array_join(F.transform(again, unpacked), ""))
 
 
 def canonical_arguments(arguments: Column) -> Column:
@@ -90,8 +125,10 @@ def argument_errors(arguments: Column, schema: Column) -> Column:
     """Sorted messages where arguments break their schema; empty if they hold.
 
     ``schema`` is an array of structs (name, type, required). A tool without schema
-    (null) is unknown. Values are raw JSON; an absent type accepts any value.
+    (null) is unknown. Values are raw JSON, and one that is none is an error of its own;
+    an absent type accepts any value. Null arguments are none at all.
     """
+    arguments = F.coalesce(arguments, F.create_map().cast("map<string,string>"))
     known = F.transform(schema, lambda s: s["name"])
     missing = F.transform(
         F.filter(schema, lambda s: s["required"] & ~F.map_contains_key(arguments, s["name"])),
@@ -101,11 +138,13 @@ def argument_errors(arguments: Column, schema: Column) -> Column:
 
     def mistyped(s: Column) -> Column:
         value = F.try_element_at(arguments, s["name"])
-        checks = [(s["type"] == name) & ~F.rlike(value, F.lit(pattern)) for name, pattern in JSON_TYPES.items()]
-        return value.isNotNull() & F.coalesce(reduce(lambda a, b: a | b, checks), F.lit(False))
+        checks = [(s["type"] == name) & ~F.rlike(trimmed(value), F.lit(pattern)) for name, pattern in JSON_TYPES.items()]
+        return canonical_json(value).isNotNull() & F.coalesce(reduce(lambda a, b: a | b, checks), F.lit(False))
 
     wrong = F.transform(F.filter(schema, mistyped), lambda s: F.concat(F.lit("type:"), s["name"]))
-    return F.when(schema.isNull(), F.array(F.lit("unknown-tool"))).otherwise(F.array_sort(F.concat(missing, extra, wrong)))
+    broken = F.filter(F.map_keys(arguments), lambda k: arguments[k].isNotNull() & canonical_json(arguments[k]).isNull())
+    broken = F.transform(broken, lambda k: F.concat(F.lit("json:"), k))
+    return F.when(schema.isNull(), F.array(F.lit("unknown-tool"))).otherwise(F.array_sort(F.concat(missing, extra, wrong, broken)))
 
 
 def order_levels(spark: SparkSession, calls: DataFrame) -> DataFrame:
@@ -157,14 +196,19 @@ def link_tool_calls(spark: SparkSession, calls: DataFrame, results: DataFrame, t
 
     ``calls``: conv_id, call_id, turn, tool, arguments map<string, raw JSON>, refs
     array<string>. ``results``: conv_id, call_id, turn, content. ``tools``: tool,
-    schema array<struct<name, type, required>>, one row a tool.
+    schema array<struct<name, type, required>>. Only these columns are read and kept,
+    whatever others there are; texts and results may be of any length.
 
     Adds result_turn, result, status (``linked``, ``pending`` without a result,
     ``early`` with a result no later than the call), errors, level and json. A call
     whose id is null links with nothing. Of several results with one id the first
     counts (least turn, then least content); repeated calls with one id each link
-    with it. Results that answer no call are left out (see ``orphan_results``).
+    with it. Results that answer no call are left out (see ``orphan_results``). Of
+    several schemas of one tool the least counts. An empty table of calls gives an
+    empty result, one of results or tools calls that are pending or unknown.
     """
+    calls = calls.select("conv_id", "call_id", "turn", "tool", "arguments", "refs")
+    schemas = tools.filter(F.col("tool").isNotNull()).groupBy("tool").agg(F.min("schema").alias("tool_schema"))
     first = (
         results.filter(F.col("call_id").isNotNull())
         .groupBy("conv_id", "call_id")
@@ -172,7 +216,7 @@ def link_tool_calls(spark: SparkSession, calls: DataFrame, results: DataFrame, t
         .select("conv_id", "call_id", F.col("r.turn").alias("result_turn"), F.col("r.content").alias("result"))
     )
     linked = order_levels(spark, calls).join(first, ["conv_id", "call_id"], "left")
-    linked = linked.join(tools.select("tool", F.col("schema").alias("tool_schema")), "tool", "left")
+    linked = linked.join(schemas, "tool", "left")
     status = (
         F.when(F.col("result_turn").isNull(), "pending").when(F.col("result_turn") <= F.col("turn"), "early").otherwise("linked")
     )
@@ -193,23 +237,48 @@ def orphan_results(calls: DataFrame, results: DataFrame) -> DataFrame:
 
 
 def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Plain conversations as calls and results: each user turn asks the assistant.
-
-    A user turn is a call of the tool ``reply`` with its text and turn; the assistant
-    turn right after it is its result. A call refers to the call two turns before it,
-    whose result it follows. A conversation has each turn once: rows equal in conv_id,
-    turn, role and text are one turn, however often the table repeats them, and so one
-    call or result. ``link_tool_calls`` itself collapses nothing.
+    """Plain conversations as calls and results: each user or system turn asks the assistant.
+
+    Every turn counts: a user turn is a call of the tool ``reply``, a system turn one of
+    ``instruct``, and an assistant turn the result of the turn right before it. Arguments
+    are the text, the turn and ``meta``, a nested object. So that linking has work, they
+    are spelt with white space and unsorted keys, and by the length of the text some break
+    the schema: the turn is a string (a multiple of 5), ``meta`` is absent (of 7), a
+    ``note`` is too much (of 11), or ``meta`` is cut off (of 13). By conv_id modulo 15,
+    calls refer to the call two turns later (0, 3, 6, 9, 12), two turns earlier
+    (1, 4, 7, 10, 13), both, which is a cycle (2), or none.
+
+    A conversation has each turn once: rows equal in conv_id, turn, role and text are one
+    turn, however often the table repeats them, and so one call or result.
+    ``link_tool_calls`` itself collapses nothing.
     """
     rows = conversations.select("conv_id", "turn", "role", "text").distinct()
     name = lambda turn: F.concat(F.lit("c"), turn.cast("string"))
-    calls = rows.filter("role = 'user'").select(
+    turn, chars = F.col("turn").cast("string"), F.coalesce(F.length("text"), F.lit(0))
+    words = F.coalesce(F.size(F.split("text", " ")), F.lit(0)).cast("string")
+    of = lambda n: chars % n == 0
+    meta = F.concat(
+        F.lit('{ "words": '), words, F.lit(', "by": {"role":'), json_text(F.col("role")), F.lit(', "chars" : '), chars.cast("string"), F.lit(" } }")
+    )
+    given = [
+        (F.lit(True), "text", json_text(F.col("text"))),
+        (F.lit(True), "turn", F.when(of(5), F.concat(F.lit('"'), turn, F.lit('"'))).otherwise(F.concat(F.lit(" "), turn, F.lit(" ")))),
+        (~of(7), "meta", F.when(of(13), F.substring(meta, F.lit(1), F.length(meta) - 1)).otherwise(meta)),
+        (of(11), "note", F.lit("null")),
+    ]
+    entries = [F.when(there, F.struct(F.lit(k).alias("key"), v.alias("value"))) for there, k, v in given]
+    way = F.pmod(F.col("conv_id"), F.lit(15))
+    refs = F.array(
+        F.when((way % 3 == 0) | (way == 2), name(F.col("turn") + 2)),
+        F.when((way % 3 == 1) | (way == 2), name(F.col("turn") - 2)),
+    )
+    calls = rows.filter("role IN ('user', 'system')").select(
         "conv_id",
         name(F.col("turn")).alias("call_id"),
         "turn",
-        F.lit("reply").alias("tool"),
-        F.create_map(F.lit("text"), json_text(F.col("text")), F.lit("turn"), F.col("turn").cast("string")).alias("arguments"),
-        F.array(name(F.col("turn") - 2)).alias("refs"),
+        F.when(F.col("role") == "user", "reply").otherwise("instruct").alias("tool"),
+        F.map_from_entries(F.array_compact(F.array(*entries))).alias("arguments"),
+        F.array_compact(refs).alias("refs"),
     )
     results = rows.filter("role = 'assistant'").select(
         "conv_id", name(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content")
@@ -218,6 +287,6 @@ def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def reply_tools(spark: SparkSession) -> DataFrame:
-    """The schema of the tool that ``turns_as_calls`` names."""
-    row = ("reply", [("text", "string", True), ("turn", "integer", True)])
+    """The schema of the tool ``reply`` of ``turns_as_calls``; ``instruct`` has none."""
+    row = ("reply", [("text", "string", True), ("turn", "integer", True), ("meta", "object", True)])
     return spark.createDataFrame([row], "tool string, schema array<struct<name:string,type:string,required:boolean>>")

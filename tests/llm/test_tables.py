@@ -275,7 +275,12 @@ def test_nested_arguments_are_canonical(spark):
         return v.raw if isinstance(v, Number) else json.dumps(v, ensure_ascii=False)
 
     want = [brute(json.loads(v, parse_int=number, parse_float=number)) for v in values]
-    assert [got[i] for i in range(len(rows))] == want + broken + scalars
+    spelt = [json.dumps(v, ensure_ascii=False) for v in broken]  # no JSON is a string of its raw text
+    assert [got[i] for i in range(len(rows))] == want + spelt + scalars
+    odd = {" 7": "7", '{bad': '"{bad"', '\t"\\u0062" ': '"b"', "1e2": "1e2", "": '""', "01": '"01"', "true false": '"true false"', "[1] [2]": '"[1] [2]"', '"a" 1': '"\\"a\\" 1"', "1], [2": '"1], [2"', None: None}
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(odd)], "i int, v string").repartition(2)
+    got = {r.i: r.c for r in df.select("i", tool_calls.canonical_value(F.col("v")).alias("c")).collect()}
+    assert [got[i] for i in range(len(odd))] == list(odd.values())
     calls = spark.createDataFrame([(1, {"q": values[0]}), (2, {"q": '{"a":{"c":"x y","d":[1,{"y":true,"z":null}]},"b":1}'})], "i int, a map<string,string>")
     assert calls.select(tool_calls.canonical_arguments(F.col("a"))).distinct().count() == 1
 
@@ -283,6 +288,59 @@ def test_nested_arguments_are_canonical(spark):
 def test_repeated_turns_are_one_call(spark):
     turns = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 1, "assistant", "b"), (1, 0, "user", "c"), (2, 0, "user", None), (2, 0, "user", None)]
     calls, results = tool_calls.turns_as_calls(spark.createDataFrame(turns, "conv_id long, turn int, role string, text string"))
-    assert calls.count() == 3 and results.count() == 1
+    assert calls.count() == 3 and results.count() == 1  # two texts of one turn are two calls
     linked = tool_calls.link_tool_calls(spark, calls.unionAll(calls), results, tool_calls.reply_tools(spark))
     assert linked.count() == 6  # one row a call row
+
+
+def test_calls_with_odd_tools_columns_and_long_texts(spark):
+    long = "é\\" * 100_000
+    calls = spark.createDataFrame(
+        [
+            (1, "a", 1, "find", {"q": " 7", "o": "{bad", "s": None}, [], "x", 5, "y", "z"),
+            (1, "a", 1, "find", {"q": " 7", "o": "{bad", "s": None}, [], "x", 5, "y", "z"),
+            (1, "b", 2, "find", {"q": '"%s"' % long.replace("\\", "\\\\"), "o": ' {"k":1}'}, None, "x", 5, "y", "z"),
+            (1, "c", 3, None, {}, ["a", None], "x", 5, "y", "z"),
+        ],
+        "conv_id long, call_id string, turn long, tool string, arguments map<string,string>, refs array<string>, level string, result_turn int, status string, json string",
+    )
+    results = spark.createDataFrame([(1, "b", 4, long, 1)], "conv_id long, call_id string, turn long, content string, result int")
+    schema = [("q", "integer", True), ("o", "object", False)]
+    tools = spark.createDataFrame(
+        [("find", schema, 1), ("find", [*schema, ("z", "string", True)], 2), ("find", schema, 3), (None, schema, 4)],
+        "tool string, schema array<struct<name:string,type:string,required:boolean>>, tool_schema int",
+    )
+    got = tool_calls.link_tool_calls(spark, calls, results, tools).collect()
+    assert len(got) == 4
+    by = {r.call_id: r for r in got}
+    assert by["a"].errors == ["extra:s", "json:o"] and by["a"].level == 0 and by["a"].status == "pending"
+    assert by["a"].json == '{"arguments":{"o":"{bad","q":7,"s":null},"id":"a","name":"find","result":null,"status":"pending"}'
+    assert by["b"].errors == ["type:q"] and by["b"].result == long
+    import json
+
+    read = json.loads(by["b"].json)
+    assert read["arguments"] == {"q": long, "o": {"k": 1}} and read["result"] == long
+    assert by["c"].errors == ["unknown-tool"]
+    assert tool_calls.link_tool_calls(spark, calls, results.limit(0), tools.limit(0)).filter("errors[0] = 'unknown-tool' AND status = 'pending'").count() == 4
+
+
+def test_levels_equal_brute_force(spark):
+    rng = random.Random(14)
+    rows = []
+    for conv in range(30):
+        n = rng.randint(1, 7)
+        rows += [(conv, f"k{i}", i, [f"k{j}" for j in rng.sample(range(n + 1), rng.randint(0, 2))]) for i in range(n)]
+    calls = spark.createDataFrame(rows, "conv_id long, call_id string, turn long, refs array<string>")
+    want = {}
+    for conv in range(30):
+        own = {c: [r for r in refs if any(x[0] == conv and x[1] == r for x in rows)] for v, c, _, refs in rows if v == conv}
+        turn = {c: t for v, c, t, _ in rows if v == conv}
+        if all(turn[r] < turn[c] for c, refs in own.items() for r in refs):
+            want |= {(conv, c): 0 for c in own}
+            continue
+        level = {}
+        while free := [c for c in own if c not in level and all(r in level for r in own[c])]:
+            level |= {c: 1 + max((level[r] for r in own[c]), default=-1) for c in free}
+        want |= {(conv, c): level.get(c) for c in own}
+    got = {(r.conv_id, r.call_id): r.level for r in tool_calls.order_levels(spark, calls).collect()}
+    assert got == want and {None, 0, 1} <= set(got.values())
