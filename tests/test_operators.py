@@ -130,6 +130,57 @@ def test_near_duplicate_queries_see_every_length(spark, tmp_path):
         assert {(r.of, r.pos) for r in catalog.QUERIES[name](spark, str(tmp_path)).collect()} == near
 
 
+def test_near_duplicates_equal_a_sequential_pass(spark):
+    rng = random.Random(40)
+    bases = ["".join(rng.choices("abcdefgh ", k=60)) for _ in range(6)]
+
+    def edited(t):
+        for _ in range(rng.randint(0, 5)):
+            at = rng.randrange(len(t))
+            t = t[:at] + rng.choice("abcdefgh") + t[at + 1 :]
+        return t
+
+    texts = [rng.choice((edited, str.upper, str))(rng.choice(bases)) for _ in range(90)] + [None, "", "a"]
+    norm = [re.sub(" +", " ", re.sub("[^a-z0-9 ]+", " ", (t or "").lower())).strip() for t in texts]
+    sets = [{s[i : i + 5] for i in range(max(len(s) - 4, 1))} for s in norm]
+    kept, want = [], {}
+    for j, s in enumerate(sets):
+        near = [(len(s & sets[i]) / len(s | sets[i]), -i) for i in kept if len(s & sets[i]) >= 0.7 * len(s | sets[i])]
+        if near:
+            want[j] = (-max(near)[1], pytest.approx(max(near)[0]))
+        else:
+            kept.append(j)
+    rows = spark.createDataFrame(list(enumerate(texts)), "pos long, text string")
+    assert {r.pos: (r.of, r.similarity) for r in near_dup.near_duplicates(spark, rows).collect()} == want
+    found = {r.pos for r in near_dup.near_duplicates(spark, rows, mode="lsh").collect()}
+    assert len(found ^ set(want)) <= 0.1 * len(want)
+
+
+def test_copies_cost_no_pairs(spark):
+    rows = spark.createDataFrame([(i, "the very same text again and again") for i in range(400)], "pos long, text string")
+    sets = near_dup.with_shingles(rows)
+    members = near_dup.with_classes(sets)
+    assert near_dup.with_copies(near_dup.exact_pairs(near_dup.representatives(sets, members)), members).count() == 399
+    got = near_dup.near_duplicates(spark, rows, mode="lsh")
+    assert got.count() == 399 and got.filter("of = 0 AND similarity = 1.0").count() == 399
+
+
+def test_signatures_equal_whole_number_arithmetic():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    factors, offsets = (x.tolist() for x in near_dup._family(128))
+    for n in (1, 40, 2500):
+        features = rng.integers(0, 1 << 32, n)
+        want = [min((f * a + b) % (1 << 64) % ((1 << 61) - 1) % (1 << 32) for f in features.tolist()) for a, b in zip(factors, offsets, strict=True)]
+        assert near_dup.minhash(features).tolist() == want
+
+
+def test_bands():
+    assert [near_dup.bands_for(t) for t in (0.5, 0.7, 0.9)] == [32, 16, 8]
+    assert near_dup.pair_probability(0.7, 0.7) == pytest.approx(1 - (1 - 0.7**8) ** 16)
+
+
 def test_split_sizes(spark):
     sizes = {"a": 20, "b": 10, "c": 2, "d": 1}
     rows = [(f"{g}{i}", g) for g, n in sizes.items() for i in range(n)]
