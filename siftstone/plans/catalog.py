@@ -301,10 +301,8 @@ def _texts(spark, sf_dir):
 
 @query(
     f"""WITH n AS (SELECT doc_id, {_SQL_NORMAL} AS s FROM documents WHERE {_SQL_LENGTH} IS NULL),
-        e AS (SELECT DISTINCT doc_id, s[i : i + 4] AS w FROM n, unnest(range(1, greatest(length(s) - 4, 1) + 1)) AS u(i)),
-        l AS (SELECT doc_id, list(w ORDER BY w) AS ws FROM e GROUP BY doc_id),
-        m AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY ws) AS rep FROM l),
-        g AS (SELECT e.* FROM e JOIN m USING (doc_id) WHERE doc_id = rep),
+        m AS (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY s) AS rep FROM n),
+        g AS (SELECT DISTINCT doc_id, s[i : i + 4] AS w FROM m, unnest(range(1, greatest(length(s) - 4, 1) + 1)) AS u(i) WHERE doc_id = rep),
         k AS (SELECT doc_id, count(*) AS k FROM g GROUP BY doc_id),
         c AS (SELECT a.doc_id AS i, b.doc_id AS j, count(*) AS c FROM g AS a JOIN g AS b ON a.w = b.w AND a.doc_id < b.doc_id GROUP BY ALL)
         SELECT i, j, c / CAST(x.k + y.k - c AS DOUBLE) AS similarity FROM c JOIN k AS x ON i = x.doc_id JOIN k AS y ON j = y.doc_id
@@ -314,7 +312,7 @@ def _texts(spark, sf_dir):
 def neardup_pairs(spark, sf_dir):
     """Pairs behind the length gate, as its SQL has them; ``neardup_all_pairs`` has those of all texts.
 
-    Texts with equal shingles are a class: pairs are between the first of each, and
+    Texts that are equal once normalised are a class: pairs are between the first of each, and
     each further text of a class is paired with the first.
     """
     gated = _texts(spark, sf_dir).filter(funnel.length_reason(F.col("text")).isNull())
@@ -323,9 +321,10 @@ def neardup_pairs(spark, sf_dir):
 
 def _class_pairs(spark, texts):
     scratch = Scratch(spark, "neardup-pairs")
-    sets = scratch.save(near_dup.with_shingles(near_dup.spread(texts)), "sets")
-    members = scratch.save(near_dup.with_classes(sets), "members")
-    return near_dup.with_copies(near_dup.exact_pairs(near_dup.representatives(sets, members)), members)
+    norms = scratch.save(near_dup.normalised(near_dup.spread(texts)), "norms")
+    members = scratch.save(near_dup.with_classes(norms), "members")
+    sets = scratch.save(near_dup.with_shingles(near_dup.representatives(norms, members)), "sets")
+    return near_dup.with_copies(near_dup.exact_pairs(sets), members)
 
 
 @query()

@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -158,9 +159,10 @@ def test_near_duplicates_equal_a_sequential_pass(spark):
 
 def test_copies_cost_no_pairs(spark):
     rows = spark.createDataFrame([(i, "the very same text again and again") for i in range(400)], "pos long, text string")
-    sets = near_dup.with_shingles(rows)
-    members = near_dup.with_classes(sets)
-    assert near_dup.with_copies(near_dup.exact_pairs(near_dup.representatives(sets, members)), members).count() == 399
+    norms = near_dup.normalised(rows)
+    members = near_dup.with_classes(norms)
+    sets = near_dup.with_shingles(near_dup.representatives(norms, members))
+    assert sets.count() == 1 and near_dup.with_copies(near_dup.exact_pairs(sets), members).count() == 399
     got = near_dup.near_duplicates(spark, rows, mode="lsh")
     assert got.count() == 399 and got.filter("of = 0 AND similarity = 1.0").count() == 399
 
@@ -170,6 +172,9 @@ def test_signatures_equal_whole_number_arithmetic():
 
     rng = np.random.default_rng(5)
     factors, offsets = (x.tolist() for x in near_dup._family(128))
+    for text in ("", "ab", "abcde", "abcdef", "the cat 00 " * 40):
+        cut = {text[i : i + 5] for i in range(max(len(text) - 4, 1))}
+        assert near_dup.features(text).tolist() == sorted({zlib.crc32(c.encode()) for c in cut})
     for n in (1, 40, 2500):
         features = rng.integers(0, 1 << 32, n)
         want = [min((f * a + b) % (1 << 64) % ((1 << 61) - 1) % (1 << 32) for f in features.tolist()) for a, b in zip(factors, offsets, strict=True)]
