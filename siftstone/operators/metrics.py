@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..functions.contract import exact_match
 from ..functions.text import rouge_l
@@ -39,11 +40,11 @@ def class_counts(pairs: DataFrame, gold: str, predicted: str) -> DataFrame:
     """(label, tp, n_gold, n_pred) of every class on either side.
 
     Each row is counted under its gold and its predicted class, so one partial
-    aggregation over classes does and rows never meet. A null is a class, "None".
+    aggregation over classes does and rows never meet. A null is a class of its own.
     """
-    g, p = F.coalesce(F.col(gold), F.lit("None")), F.coalesce(F.col(predicted), F.lit("None"))
+    g, p = F.col(gold), F.col(predicted)
     sides = F.array(
-        F.struct(g.alias("label"), (g == p).cast("int").alias("tp"), F.lit(1).alias("g"), F.lit(0).alias("p")),
+        F.struct(g.alias("label"), g.eqNullSafe(p).cast("int").alias("tp"), F.lit(1).alias("g"), F.lit(0).alias("p")),
         F.struct(p.alias("label"), F.lit(0).alias("tp"), F.lit(0).alias("g"), F.lit(1).alias("p")),
     )
     return (
@@ -116,12 +117,14 @@ def counted_by(df: DataFrame, key: str, pos: str = "pos") -> DataFrame:
 def matched(gold: DataFrame, predictions: DataFrame) -> DataFrame:
     """Gold rows with their prediction by id; each side must have each id once.
 
-    Ids on one side only raise, as two lists of unequal length would.
+    Ids on one side only raise, as two lists of unequal length would, and so do ids
+    that a side repeats.
     """
-    p = predictions.select("id", *[F.col(c).alias(f"p_{c}") for c in predictions.columns if c != "id"], F.lit(True).alias("p_here"))
-    joined = gold.withColumn("g_here", F.lit(True)).join(p, "id", "full_outer")
-    whole = F.col("g_here").isNotNull() & F.col("p_here").isNotNull()
-    checked = F.when(whole, True).otherwise(F.raise_error(F.concat(F.lit("gold and predictions differ at id "), F.col("id"))))
+    places = F.count("*").over(Window.partitionBy("id"))
+    p = predictions.select("id", *[F.col(c).alias(f"p_{c}") for c in predictions.columns if c != "id"], places.alias("p_here"))
+    joined = gold.withColumn("g_here", places).join(p, "id", "full_outer")
+    once = F.coalesce((F.col("g_here") == 1) & (F.col("p_here") == 1), F.lit(False))
+    checked = F.when(once, True).otherwise(F.raise_error(F.concat(F.lit("gold and predictions differ at id "), F.coalesce("id", F.lit("null")))))
     return joined.filter(checked).drop("g_here", "p_here")
 
 

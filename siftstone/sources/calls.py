@@ -12,10 +12,12 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import LEDGER, schema
+from ..schemas import LEDGER
+from .scratch import Scratch
 from .tables import exists
 
 # The longest waits in seconds and the spread of a wait.
@@ -25,6 +27,10 @@ FREE = ":free"
 RETRYABLE = frozenset({408, 409, 429})
 
 
+#: Columns of the ledger but its time, in order.
+LEDGER_COLUMNS = [column.split()[0] for column in LEDGER.split(", ")][1:]
+
+
 def cache_key(provider: Column, system: Column, user: Column, schema_text: Column, extra: Column) -> Column:
     """Hex sha256 of the request, keys in order."""
     request = F.struct(extra.alias("extra"), provider.alias("provider"), schema_text.alias("schema"), system.alias("system"), user.alias("user"))
@@ -48,19 +54,24 @@ def backoff(attempt: int, base: float, retry_after: float | None, rng: random.Ra
     return min(base * 2**attempt, BACKOFF_CAP) * rng.uniform(*JITTER)
 
 
-def ask_remote(requests: DataFrame, make_client: Callable, spacing: float, retries: int, base: float, budget: int) -> DataFrame:
+def ask_remote(
+    requests: DataFrame, make_client: Callable, spacing: float, retries: int, base: float, budget: int, tasks: int = 4
+) -> DataFrame:
     """Ask a client for each request (key, stage, task, provider, system, user, items).
 
     ``make_client`` runs once a task and returns a function (system, user) to
     (text, model, tokens_in, tokens_out), raising an error with ``status`` and
-    ``retry_after``. The budget is shared out among partitions beforehand; starts
-    within a partition keep ``spacing`` seconds apart. Errors become rows.
+    ``retry_after``. Requests are dealt to ``tasks`` tasks, or fewer where the budget has
+    fewer calls, and the whole budget is shared out among them; starts within a task
+    keep ``spacing`` seconds apart. Errors become rows, and so do requests beyond the budget.
     """
-    parts = max(1, requests.rdd.getNumPartitions())
-    share = budget // parts
+    parts = max(1, min(tasks, budget))
+    columns = ["key", "text", *LEDGER_COLUMNS]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client, left, last, rng = make_client(), share, 0.0, random.Random(0)
+        part = TaskContext.get().partitionId()
+        left = budget // parts + (part < budget % parts)
+        client, last, rng = make_client(), 0.0, random.Random(part)
         for batch in batches:
             out = []
             for r in batch.itertuples():
@@ -83,13 +94,30 @@ def ask_remote(requests: DataFrame, make_client: Callable, spacing: float, retri
                     else:
                         out.append((r.key, text, r.stage, r.task, r.provider, model, "ok", time.monotonic() - last, n_in, n_out, r.items, None))
                         break
-            yield pd.DataFrame(out, columns=["key", "text", *[f.name for f in schema(LEDGER).fields if f.name != "ts"]])
+            yield pd.DataFrame(out, columns=columns)
 
-    return requests.mapInPandas(run, "key string, text string, " + LEDGER.removeprefix("ts string, "))
+    return requests.repartition(parts).mapInPandas(run, "key string, text string, " + LEDGER.removeprefix("ts string, "))
 
 
 def append_ledger(calls: DataFrame, path: str, now: str) -> None:
-    calls.select(F.lit(now).alias("ts"), *[f.name for f in schema(LEDGER).fields if f.name != "ts"]).write.mode("append").json(path)
+    calls.select(F.lit(now).alias("ts"), *LEDGER_COLUMNS).write.mode("append").json(path)
+
+
+def asked_once(spark: SparkSession, requests: DataFrame, make_client: Callable, folder: str, now: str, budget: int, **pace) -> DataFrame:
+    """(key, text) of requests, from the cache of a folder or else from the client.
+
+    What the client answers goes to the cache before the ledger, and what it is asked
+    counts against the budget; a request whose call failed has no row.
+    """
+    cache, ledger = f"{folder}/cache", f"{folder}/ledger"
+    known = spark.read.schema("key string, text string").json(cache) if exists(spark, cache) else None
+    unique = requests.dropDuplicates(["key"])
+    misses = unique if known is None else split_cached(unique, known.dropDuplicates(["key"]))[1]
+    made = Scratch(spark, "calls").save(ask_remote(misses, make_client, budget=calls_left(spark, ledger, budget), **pace), "made")
+    made.filter("status = 'ok'").select("key", "text").write.mode("append").json(cache)
+    append_ledger(made, ledger, now)
+    every = spark.read.schema("key string, text string").json(cache).dropDuplicates(["key"])
+    return requests.select("key").join(every, "key")
 
 
 def calls_left(spark: SparkSession, path: str, budget: int) -> int:
@@ -117,6 +145,16 @@ def ledger_view(ledger: DataFrame) -> DataFrame:
     )
 
 
+def ledger_counts(ledger: DataFrame) -> DataFrame:
+    """(kind, name, count): calls by served model and by stage, the most frequent first."""
+    names = F.array(
+        F.struct(F.lit("model").alias("kind"), F.coalesce("served_model", F.lit("-")).alias("name")),
+        F.struct(F.lit("stage").alias("kind"), F.col("stage").alias("name")),
+    )
+    counted = ledger.select(F.explode(names).alias("n")).groupBy("n.kind", "n.name").agg(F.count("*").alias("count"))
+    return counted.orderBy("kind", F.desc("count"), "name")
+
+
 def check_free(models: list[str], always_paid: tuple[str, ...] = ("anthropic", "openai")) -> None:
     """Raise unless every provider/model id ends in the free suffix."""
     paid = [m for m in models if not m.endswith(FREE) or m.split("/", 1)[0] in always_paid]

@@ -13,11 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is the one named in ``spark.checkpoint.dir``. Only where that is unset, as
-    in tests on one machine, a temporary folder is made and set.
+    It is the one named in ``spark.checkpoint.dir``. Only where that is unset and all
+    runs on one machine, as in tests, a temporary folder is made and set; a cluster
+    without it is an error, as its executors would write where no other one reads.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that {master} shares")
         found = "file://" + tempfile.mkdtemp(prefix="siftstone-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -63,3 +67,7 @@ class Scratch:
         for step in steps:
             if path := self.paths.pop(step, None):
                 delete(self.spark, path)
+
+    def clear(self, keep: str = "") -> None:
+        """Delete all steps but one."""
+        self.drop(*[step for step in self.paths if step != keep])

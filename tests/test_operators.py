@@ -221,6 +221,21 @@ def test_simulation(spark):
     assert router.simulate(df.limit(0), 0.5).first()["exact_match"] == 0.0
 
 
+def test_nulls_are_a_class_of_their_own(spark):
+    rows = spark.createDataFrame([("None", None), ("None", "None"), (None, None), ("a", "a")], "g string, p string")
+    got = {r.label: (r.tp, r.n_gold, r.n_pred) for r in metrics.class_counts(rows, "g", "p").collect()}
+    assert got == {"None": (1, 2, 1), None: (1, 1, 2), "a": (1, 1, 1)}
+
+
+def test_predictions_match_one_to_one(spark):
+    gold = spark.createDataFrame([("a", 1), ("b", 2)], "id string, label int")
+    one = lambda *ids: spark.createDataFrame([(i, 0) for i in ids], "id string, triage int")
+    assert metrics.matched(gold, one("b", "a")).count() == 2
+    for wrong in (one("a"), one("a", "b", "c"), one("a", "b", "b")):
+        with pytest.raises(Exception, match="differ at id"):
+            metrics.matched(gold, wrong).collect()
+
+
 def test_cost(spark):
     row = spark.range(1)
     take = lambda c: row.select(c).first()[0]

@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from siftstone.sources import tables
+from siftstone.sources import calls, tables
 from siftstone.streaming import routing
 
 
@@ -52,3 +52,72 @@ def test_stream_of_texts(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert got == {"1": "student", "2": "none"}
+
+
+def scripted():
+    """Makes clients that are busy at first and then answer; texts with "bad" fail for good."""
+
+    def make():
+        tried = []
+
+        def failure(status, text):
+            error = Exception(text)
+            error.status, error.retry_after = status, 0.0
+            return error
+
+        def ask(system, user):
+            tried.append(user)
+            if "bad" in user:
+                raise failure(404, "no such model")
+            if user.startswith("busy") and tried.count(user) < 3:
+                raise failure(503, "try again")
+            return user.upper(), "m:free", 3, 2
+
+        return ask
+
+    return make
+
+
+REQUEST = "key string, stage string, task string, provider string, system string, user string, items int"
+
+
+def requests(spark, *users):
+    return spark.createDataFrame([(u, "label", "label", "p:free", "s", u, 1) for u in users], REQUEST)
+
+
+def test_remote_calls_retry_and_keep_to_the_budget(spark):
+    ask = lambda users, budget, tasks=2: calls.ask_remote(requests(spark, *users), scripted(), 0.0, 3, 0.0, budget, tasks).collect()
+    made = ask(["a", "busy b", "bad c"], 20)
+    assert sorted((r.key, r.text, r.status) for r in made if r.status != "retryable_error") == [
+        ("a", "A", "ok"), ("bad c", None, "error"), ("busy b", "BUSY B", "ok"),
+    ]
+    assert sum(r.status == "retryable_error" for r in made) == 2
+    for budget in (0, 1, 3, 7):
+        rows = ask([f"u{i}" for i in range(12)], budget, 3)
+        assert len(rows) == 12 and sum(r.status == "ok" for r in rows) == budget
+        assert all(r.error == "budget is used up" for r in rows if r.status == "error")
+
+
+def test_answers_are_cached_and_counted(spark, tmp_path):
+    pace = {"spacing": 0.0, "retries": 1, "base": 0.0}
+    once = lambda budget, *users: {
+        r.key: r.text for r in calls.asked_once(spark, requests(spark, *users), scripted(), str(tmp_path), "now", budget, **pace).collect()
+    }
+    assert once(10, "a", "b", "a", "bad") == {"a": "A", "b": "B"}
+    assert calls.calls_left(spark, f"{tmp_path}/ledger", 10) == 7
+    got = once(4, "b", "c", "d")  # one call is left, for one of the two that are new
+    assert got["b"] == "B" and len(got) == 2
+    ledger = spark.read.schema(calls.LEDGER).json(f"{tmp_path}/ledger")
+    assert {(r.kind, r.name): r["count"] for r in calls.ledger_counts(ledger).collect()}[("model", "m:free")] == 3
+    assert calls.ledger_view(ledger).first().all_free
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from siftstone.sources.scratch import shared_dir
+
+    unset = SimpleNamespace(get=lambda key, default: default)
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(SimpleNamespace(conf=unset, sparkContext=SimpleNamespace(master=master)))
