@@ -1,14 +1,15 @@
-"""Shared pieces: scratch tables in the cluster's shared folder and word rules."""
+"""Shared pieces: scratch tables in the cluster's shared folder, word rules and what workers keep."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
 from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.scratch import Scratch, scratch_path
+
+__all__ = ["SPACE_CLASS", "Scratch", "held", "lowered", "read_table", "release", "scratch_path"]
+
 #: Bytes that separate words in the white-space rule: space and \x09-\x0D.
 #: ``bytes.split()`` without arguments splits on exactly these.
 SPACE_CLASS = "\\x20\\x09-\\x0D"
@@ -21,66 +22,6 @@ def lowered(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER)
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    It is the one named in ``spark.checkpoint.dir``. Only where that is unset, as
-    in tests on one machine, a temporary folder is made and set.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="siftstone-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    """Remove a scratch path through Hadoop's file system."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def scratch_path(spark: SparkSession, name: str, keep: bool = False) -> str:
-    """A new path in the shared folder, deleted when the driver ends unless kept."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    if not keep:
-        atexit.register(_at_exit, spark, path)
-    return path
-
-
-def _at_exit(spark: SparkSession, path: str) -> None:
-    with suppress(Exception):  # the session may be gone; the folder is scratch
-        delete(spark, path)
-
-
-class Scratch:
-    """Tables written to the shared folder to cut lineage.
-
-    A lost executor costs only the tasks that ran on it: what was written before
-    is read again from the shared folder.
-    """
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.name, self.paths = spark, name, {}
-
-    def save(self, df: DataFrame, step: str) -> DataFrame:
-        path = scratch_path(self.spark, f"{self.name}-{step}")
-        df.write.parquet(path)
-        self.paths[step] = path
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self, *steps: str) -> None:
-        """Delete steps that nothing reads any more."""
-        for step in steps:
-            if path := self.paths.pop(step, None):
-                delete(self.spark, path)
-
-    def clear(self, keep: str = "") -> None:
-        """Delete all steps but one."""
-        self.drop(*[step for step in self.paths if step != keep])
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
