@@ -152,10 +152,14 @@ def order_levels(spark: SparkSession, calls: DataFrame) -> DataFrame:
 
     Calls are (conv_id, call_id, turn, refs array<string>). Where every reference of
     a conversation is to a call of an earlier turn, turns are the order and the level
-    is 0. Only the other conversations are peeled: level 0 has the calls without
-    references, and each round places those whose references are all placed. A call
-    in a cycle, or behind one, gets null. A reference to a call that does not exist
-    in the conversation is ignored; of calls that repeat an id the first turn counts.
+    is 0. In the other conversations a call without references has level 0, any other
+    one more than the highest level it refers to. A call in a cycle, or behind one,
+    gets null. A reference to a call that does not exist in the conversation is
+    ignored; of calls that repeat an id the first turn counts.
+
+    Calls with one reference form chains, which are followed by doubling: a chain of n
+    calls takes about log2(n) rounds. Only calls with several references are then placed
+    in rounds, as many as such calls lie behind one another.
     """
     scratch = Scratch(spark, "tool-order")
     at = calls.groupBy("conv_id", "call_id").agg(F.min("turn").alias("at"))
@@ -166,31 +170,70 @@ def order_levels(spark: SparkSession, calls: DataFrame) -> DataFrame:
     peeled = scratch.save(forward.select("conv_id").distinct(), "peeled")
     if peeled.isEmpty():
         return calls.withColumn("level", F.lit(0))
-    keys = calls.join(peeled, "conv_id", "left_semi").select("conv_id", "call_id").distinct()
-    edges = edges.join(peeled, "conv_id", "left_semi").select("conv_id", "call_id", "ref")
-    edges = scratch.save(edges, "edges-0")
-    waiting = edges.select("conv_id", "call_id").distinct()
-    placed = keys.join(waiting, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0))
-    levels = [scratch.save(placed, "level-0")]
-    step = 0
-    while not edges.isEmpty():
-        last = levels[-1].select("conv_id", F.col("call_id").alias("ref"))
-        rest = scratch.save(edges.join(last, ["conv_id", "ref"], "left_anti"), f"edges-{step + 1}")
-        still = rest.select("conv_id", "call_id").distinct()
-        free = edges.select("conv_id", "call_id").distinct().join(still, ["conv_id", "call_id"], "left_anti")
-        step += 1
-        free = scratch.save(free.withColumn("level", F.lit(step)), f"level-{step}")
-        scratch.drop(f"edges-{step - 1}")
-        if free.isEmpty():
-            break  # what is left is a cycle or waits for one
-        levels.append(free)
-        edges = rest
-    every = reduce(DataFrame.unionByName, levels)
+    edges = scratch.save(edges.join(peeled, "conv_id", "left_semi").select("conv_id", "call_id", "ref"), "edges")
+    keys = scratch.save(at.join(peeled, "conv_id", "left_semi").select("conv_id", "call_id"), "keys")
+    degree = edges.groupBy("conv_id", "call_id").agg(F.count("*").alias("n"), F.min("ref").alias("to"))
+    chains = _chain_ends(scratch, degree.filter("n = 1").select("conv_id", "call_id", "to"), keys)
+    several = edges.join(degree.filter("n > 1").select("conv_id", "call_id"), ["conv_id", "call_id"], "left_semi")
+    hubs = keys.join(degree.select("conv_id", "call_id"), ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0))
+    hubs = _placed(scratch, _over_chains(several, chains), scratch.save(hubs, "level-0"))
+    ends = hubs.select("conv_id", F.col("call_id").alias("to"), F.col("level").alias("base"))
+    linked = chains.filter("NOT endless").join(ends, ["conv_id", "to"])
+    linked = linked.select("conv_id", "call_id", (F.col("dist") + F.col("base")).cast("int").alias("level"))
+    every = scratch.save(hubs.unionByName(linked), "levels")
     found = peeled.withColumn("__peeled", F.lit(True))
     joined = calls.join(every, ["conv_id", "call_id"], "left").join(found, "conv_id", "left")
     return joined.withColumn("level", F.when(F.col("__peeled"), F.col("level")).otherwise(0)).drop("__peeled")
 
 
+def _chain_ends(scratch: Scratch, single: DataFrame, keys: DataFrame) -> DataFrame:
+    """(conv_id, call_id, to, dist, endless): where chains of single references end.
+
+    Each round a call takes over where its target points, which doubles the distance. A
+    distance above the number of calls of the conversation is a walk in circles.
+    """
+    sizes = keys.groupBy("conv_id").agg(F.count("*").alias("most"))
+    hop = single.join(sizes, "conv_id").select("conv_id", "call_id", "to", F.lit(1).cast("long").alias("dist"), "most", F.lit(True).alias("moved"))
+    hop, step = scratch.save(hop, "hop-0"), 0
+    while not hop.filter("moved AND dist <= most").isEmpty():
+        further = hop.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("next"), F.col("dist").alias("more"))
+        joined = hop.join(further, ["conv_id", "to"], "left")
+        step += 1
+        made = joined.select(
+            "conv_id", "call_id", F.coalesce("next", "to").alias("to"), (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist"), "most",
+            F.col("next").isNotNull().alias("moved"),
+        )
+        hop = scratch.save(made, f"hop-{step}")
+        scratch.drop(f"hop-{step - 1}")
+    return hop.select("conv_id", "call_id", "to", "dist", F.col("moved").alias("endless"))
+
+
+def _over_chains(edges: DataFrame, chains: DataFrame) -> DataFrame:
+    """(conv_id, call_id, to, weight): references led to the ends of chains; null where there is none."""
+    ends = chains.select("conv_id", F.col("call_id").alias("ref"), F.col("to").alias("end"), "dist", "endless")
+    joined = edges.join(ends, ["conv_id", "ref"], "left")
+    to = F.when(F.col("end").isNull(), F.col("ref")).when(~F.col("endless"), F.col("end"))
+    return joined.select("conv_id", "call_id", to.alias("to"), (F.coalesce("dist", F.lit(0)) + 1).cast("int").alias("weight"))
+
+
+def _placed(scratch: Scratch, edges: DataFrame, first: DataFrame) -> DataFrame:
+    """(conv_id, call_id, level) of the calls without references and all that wait for placed ones only."""
+    key = ["conv_id", "call_id"]
+    edges, levels, step = scratch.save(edges, "waits-0"), [first], 0
+    reached = first.limit(0)  # the highest level that a waiting call has met so far
+    while not edges.isEmpty() and not levels[-1].isEmpty():
+        last = levels[-1].select("conv_id", F.col("call_id").alias("to"), F.col("level").alias("base"))
+        met = edges.join(last, ["conv_id", "to"]).select(*key, (F.col("base") + F.col("weight")).alias("level"))
+        step += 1
+        rest = scratch.save(edges.join(last, ["conv_id", "to"], "left_anti"), f"waits-{step}")
+        best = reached.unionByName(met).groupBy(*key).agg(F.max("level").alias("level"))
+        best = scratch.save(best.join(rest.select(*key).distinct().withColumn("waits", F.lit(True)), key, "left"), f"met-{step}")
+        levels.append(scratch.save(best.filter("waits IS NULL").drop("waits"), f"level-{step}"))
+        reached, edges = best.filter("waits").drop("waits"), rest
+        scratch.drop(f"waits-{step - 1}", f"met-{step - 1}")
+    return reduce(DataFrame.unionByName, levels)
+
+
 def link_tool_calls(spark: SparkSession, calls: DataFrame, results: DataFrame, tools: DataFrame) -> DataFrame:
     """Link, order, check and serialise tool calls; one row per call row.
 

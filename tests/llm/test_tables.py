@@ -344,3 +344,16 @@ def test_levels_equal_brute_force(spark):
         want |= {(conv, c): level.get(c) for c in own}
     got = {(r.conv_id, r.call_id): r.level for r in tool_calls.order_levels(spark, calls).collect()}
     assert got == want and {None, 0, 1} <= set(got.values())
+
+
+def test_a_long_chain_takes_few_rounds(spark):
+    n = 300
+    rows = [(1, f"k{i}", i, [f"k{i + 1}"]) for i in range(n)]  # forward to the last, which refers to none there is
+    rows += [(2, f"k{i}", i, [f"k{(i + 1) % 50}"]) for i in range(50)] + [(2, "tail", 60, ["k0"]), (2, "self", 61, ["self"]), (2, "free", 62, None)]
+    rows += [(3, "hub", 0, ["a", "z"]), *[(3, c, i, [chr(ord(c) + 1)]) for i, c in enumerate("abcdefgh", 1)], (3, "z", 20, []), (3, "top", 21, ["hub", "k"])]
+    calls = spark.createDataFrame(rows, "conv_id long, call_id string, turn long, refs array<string>")
+    got = {(r.conv_id, r.call_id): r.level for r in tool_calls.order_levels(spark, calls).collect()}
+    assert len(got) == len(rows)
+    assert all(got[1, f"k{i}"] == n - 1 - i for i in range(n))
+    assert {got[2, c] for c in [*(f"k{i}" for i in range(50)), "tail", "self"]} == {None} and got[2, "free"] == 0
+    assert got[3, "h"] == 0 and got[3, "a"] == 7 and got[3, "hub"] == 8 and got[3, "top"] == 9
