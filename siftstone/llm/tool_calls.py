@@ -56,20 +56,28 @@ def trimmed(value: Column) -> Column:
     return F.regexp_replace(value, r"^[ \t\r\n]+|[ \t\r\n]+$", "")
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def canonical_json(value: Column) -> Column:
     """One raw JSON value with sorted keys and without white space; null for anything else.
 
     JSON is what Spark's variant can hold: no repeated keys, and a bounded size.
     """
-    bare = trimmed(value)
-    # the variant does not mind what comes after a value, so that the end is looked for too
-    ended = F.rlike(_unescaped(bare), F.lit(r'^"[^"]*"$'))
-    string = F.try_variant_get(F.try_parse_json(bare), "$", "string")
-    return (
-        F.when(bare.startswith('"'), F.when(ended & string.isNotNull(), json_text(string)))
-        .when(F.rlike(bare, F.lit(r"^[\[{]")), _sorted_keys(bare))
-        .when(F.rlike(bare, F.lit(rf"^(?:{_NUMBER}|true|false|null)$")), bare)
-    )
+
+    def read(bare: Column) -> Column:
+        # the variant does not mind what comes after a value, so that the end is looked for too
+        ended = F.rlike(_unescaped(bare), F.lit(r'^"[^"]*"$'))
+        string = F.when(ended, F.try_variant_get(F.try_parse_json(bare), "$", "string"))
+        return (
+            F.when(bare.startswith('"'), _once(string, lambda s: F.when(s.isNotNull(), json_text(s))))
+            .when(F.rlike(bare, F.lit(r"^[\[{]")), _sorted_keys(bare))
+            .when(F.rlike(bare, F.lit(rf"^(?:{_NUMBER}|true|false|null)$")), bare)
+        )
+
+    return _once(trimmed(value), read)
 
 
 def canonical_value(value: Column) -> Column:
@@ -114,37 +122,53 @@ def _sorted_keys(value: Column) -> Column:
     return F.when(whole & (F.size(again) == F.size(tokens)), F.array_join(F.transform(again, unpacked), ""))
 
 
+def read_arguments(arguments: Column) -> Column:
+    """array<struct<key, raw, json>> of map<string, raw JSON>, keys in code-point order.
+
+    ``json`` is the canonical value, null for what is no JSON. Null arguments are none.
+    """
+    entries = F.map_entries(F.coalesce(arguments, F.create_map().cast("map<string,string>")))
+    order = lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
+    return F.transform(
+        F.array_sort(entries, order),
+        lambda e: F.struct(e["key"].alias("key"), e["value"].alias("raw"), canonical_json(e["value"]).alias("json")),
+    )
+
+
+def canonical_object_of(read: Column) -> Column:
+    """A canonical object of read arguments; what is no JSON is a string of its raw text."""
+    value = lambda e: F.coalesce(e["json"], json_text(e["raw"]))
+    pairs = F.transform(read, lambda e: F.concat(json_text(e["key"]), F.lit(":"), value(e)))
+    return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+
+
 def canonical_arguments(arguments: Column) -> Column:
     """Arguments as a canonical object from map<string, string> of raw JSON values."""
-    entries = F.array_sort(F.map_entries(arguments), lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0))
-    pairs = F.transform(entries, lambda e: F.concat(json_text(e["key"]), F.lit(":"), F.coalesce(canonical_value(e["value"]), F.lit("null"))))
-    return F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+    return canonical_object_of(read_arguments(arguments))
 
 
-def argument_errors(arguments: Column, schema: Column) -> Column:
-    """Sorted messages where arguments break their schema; empty if they hold.
+def argument_errors(read: Column, schema: Column) -> Column:
+    """Sorted messages where read arguments break their schema; empty if they hold.
 
     ``schema`` is an array of structs (name, type, required). A tool without schema
-    (null) is unknown. Values are raw JSON, and one that is none is an error of its own;
-    an absent type accepts any value. Null arguments are none at all.
+    (null) is unknown. A value that is no JSON is an error of its own; null and an
+    absent type accept any value.
     """
-    arguments = F.coalesce(arguments, F.create_map().cast("map<string,string>"))
+    named = lambda e, kind: F.concat(F.lit(kind), e["key"])
+    keys = F.transform(read, lambda e: e["key"])
+    missing = F.filter(schema, lambda s: s["required"] & ~F.array_contains(keys, s["name"]))
+    missing = F.transform(missing, lambda s: F.concat(F.lit("missing:"), s["name"]))
     known = F.transform(schema, lambda s: s["name"])
-    missing = F.transform(
-        F.filter(schema, lambda s: s["required"] & ~F.map_contains_key(arguments, s["name"])),
-        lambda s: F.concat(F.lit("missing:"), s["name"]),
-    )
-    extra = F.transform(F.array_except(F.map_keys(arguments), known), lambda k: F.concat(F.lit("extra:"), k))
+    extra = F.transform(F.array_except(keys, known), lambda k: F.concat(F.lit("extra:"), k))
 
-    def mistyped(s: Column) -> Column:
-        value = F.try_element_at(arguments, s["name"])
-        checks = [(s["type"] == name) & ~F.rlike(trimmed(value), F.lit(pattern)) for name, pattern in JSON_TYPES.items()]
-        return canonical_json(value).isNotNull() & F.coalesce(reduce(lambda a, b: a | b, checks), F.lit(False))
+    def mistyped(s: Column, e: Column) -> Column:
+        checks = [(s["type"] == name) & ~F.rlike(e["json"], F.lit(pattern)) for name, pattern in JSON_TYPES.items()]
+        return (s["name"] == e["key"]) & F.coalesce(reduce(lambda a, b: a | b, checks), F.lit(False))
 
-    wrong = F.transform(F.filter(schema, mistyped), lambda s: F.concat(F.lit("type:"), s["name"]))
-    broken = F.filter(F.map_keys(arguments), lambda k: arguments[k].isNotNull() & canonical_json(arguments[k]).isNull())
-    broken = F.transform(broken, lambda k: F.concat(F.lit("json:"), k))
-    return F.when(schema.isNull(), F.array(F.lit("unknown-tool"))).otherwise(F.array_sort(F.concat(missing, extra, wrong, broken)))
+    wrong = F.filter(read, lambda e: e["json"].isNotNull() & F.exists(schema, lambda s: mistyped(s, e)))
+    broken = F.filter(read, lambda e: e["raw"].isNotNull() & e["json"].isNull())
+    told = F.concat(missing, extra, F.transform(wrong, lambda e: named(e, "type:")), F.transform(broken, lambda e: named(e, "json:")))
+    return F.when(schema.isNull(), F.array(F.lit("unknown-tool"))).otherwise(F.array_sort(told))
 
 
 def order_levels(spark: SparkSession, calls: DataFrame) -> DataFrame:
@@ -263,15 +287,16 @@ def link_tool_calls(spark: SparkSession, calls: DataFrame, results: DataFrame, t
     status = (
         F.when(F.col("result_turn").isNull(), "pending").when(F.col("result_turn") <= F.col("turn"), "early").otherwise("linked")
     )
-    linked = linked.withColumns({"status": status, "errors": argument_errors(F.col("arguments"), F.col("tool_schema"))})
+    linked = linked.withColumns({"status": status, "__read": read_arguments(F.col("arguments"))})
+    linked = linked.withColumn("errors", argument_errors(F.col("__read"), F.col("tool_schema")))
     fields = {
-        "arguments": canonical_arguments(F.col("arguments")),
+        "arguments": canonical_object_of(F.col("__read")),
         "id": json_text(F.col("call_id")),
         "name": json_text(F.col("tool")),
         "result": json_text(F.col("result")),
         "status": json_text(F.col("status")),
     }
-    return linked.withColumn("json", canonical_object(fields)).drop("tool_schema")
+    return linked.withColumn("json", canonical_object(fields)).drop("tool_schema", "__read")
 
 
 def orphan_results(calls: DataFrame, results: DataFrame) -> DataFrame:
