@@ -244,6 +244,61 @@ def test_pipeline_stages(spark, tmp_path):
     assert corpus_pipeline.run(spark, sf).count() == docs.count()
 
 
+def test_pipeline_stages_equal_brute_force(spark):
+    """Each stage on its own input, judged by a plain program over the collected rows."""
+    import re
+
+    import corpus_pipeline
+    import public_tokenizers
+    from siftstone.llm import language_id
+    from tokenizers import Tokenizer
+
+    sf = "/root/testdata/sf0.001"
+    stages = dict(corpus_pipeline.STAGES)
+    scratch = Scratch(spark, "pipeline-test")
+    source = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = {r.doc_id: r for r in source.collect()}
+    run = lambda name, df: scratch.save(stages[name](spark, df, sf), name)
+    ids = lambda df: sorted(r.doc_id for r in df.select("doc_id").collect())
+
+    model = language_id.LanguageModel(language_id.learn_dictionaries(source, language_id.remainder(4) != 2))
+    told = run("language_id", source)
+    sure = lambda t: (got := model.predict(t))[0] != "und" and got[1] >= language_id.NARROW
+    assert ids(told) == sorted(i for i, r in rows.items() if sure(r.text))
+
+    single = run("near_copies", told)
+    groups = brute_components([(i, rows[i].text) for i in ids(told)], corpus_pipeline.NEAR)
+    assert ids(single) == sorted({root for _, _, root in groups})
+
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    grams = lambda w, n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+    items = [word.findall(lower(r.text)) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    by_size = defaultdict(set)
+    for w in filter(None, items):
+        by_size[min(10, len(w))] |= grams(w, min(10, len(w)))
+    clean = run("decontamination", single)
+    hit = lambda t: any(grams(word.findall(lower(t)), n) & windows for n, windows in by_size.items())
+    assert ids(clean) == [i for i in ids(single) if not hit(rows[i].text)]
+
+    mixed = run("mixture", clean)
+    copies, sizes, taken = Counter(ids(mixed)), Counter(), Counter()
+    for i in ids(clean):
+        n = len([w for w in re.split(r"[\x20\x09-\x0D]+", rows[i].text or "") if w])
+        sizes[rows[i].source] += n
+        taken[rows[i].source] += n * copies[i]
+    longest = max(len((rows[i].text or "").split()) for i in ids(clean))
+    want = brute_targets(dict(sizes))
+    assert set(copies.values()) <= {1, 2} and set(copies) <= set(ids(clean))
+    assert all(-1 <= want[s] - taken[s] <= longest for s in want)
+
+    real, at, index = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), 0, []
+    for i in sorted(copies.elements()):
+        tokens = [*real.encode(rows[i].text or "", add_special_tokens=False).ids, 0]
+        index.append((i, at, len(tokens), zlib.crc32(np.array(tokens, "<u4").tobytes())))
+        at += len(tokens)
+    assert sorted(map(tuple, run("token_files", mixed).collect()), key=lambda r: r[1]) == index
+
+
 def test_nested_arguments_are_canonical(spark):
     import json
     from pyspark.sql import functions as F
