@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.contract import check_triage, triage_json
-from ..functions.text import hash_order, word_count
+from ..functions.text import word_count
 from ..schemas import ENUMS
 from .metrics import percentile
+from .quota import first_of_groups
 
 SYSTEM_PROMPT = (
     "You triage customer tickets. Answer with one JSON object with the keys intent, urgency, sentiment, "
@@ -28,15 +29,13 @@ def stratified_split(examples: DataFrame, group: Column, fraction: float, seed:
     """
     if not 0 <= fraction < 0.5:
         raise ValueError("the fraction must be at least 0 and below a half")
-    named = examples.withColumn("__group", group)
-    sizes = Window.partitionBy("__group")
-    order = sizes.orderBy(hash_order(seed, F.col(key)), key)
-    n = F.count("*").over(sizes)
-    share = F.bround(n * F.lit(float(fraction)), 0).cast("long")
-    wanted = F.when((n >= 2) & F.lit(fraction > 0), F.greatest(share, F.lit(1).cast("long"))).otherwise(share)
-    ranked = named.withColumns({"__wanted": wanted, "__rank": F.row_number().over(order)})
-    split = F.when(F.col("__rank") <= F.col("__wanted"), "val").otherwise("train")
-    return ranked.withColumn("split", split).drop("__group", "__wanted", "__rank")
+
+    def wanted(n: Column) -> Column:
+        share = F.bround(n * F.lit(float(fraction)), 0).cast("long")
+        return F.when((n >= 2) & F.lit(fraction > 0), F.greatest(share, F.lit(1).cast("long"))).otherwise(share)
+
+    split = F.when(F.col("__val"), "val").otherwise("train")
+    return first_of_groups(examples, group, wanted, seed, key, "__val").withColumn("split", split).drop("__val")
 
 
 def chat_records(examples: DataFrame, system: str = SYSTEM_PROMPT) -> DataFrame:

@@ -11,15 +11,14 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions import pii
 from ..functions.contract import ERROR_CHARS
-from ..functions.text import hash_order
 from ..schemas import FUNNEL_STEP, STRUCTURED
 from ..sources.scratch import Scratch
 from .agreement import disagreements, first_invalid
 from .near_dup import near_duplicates
+from .quota import first_of_groups
 
 # The default limits.
 MIN_CHARS, MAX_CHARS, CAP, SEED = 20, 1500, 80, 42
@@ -66,8 +65,7 @@ def schema_reason(labels: Column) -> Column:
 
 def balance_cap(df: DataFrame, group: str, cap: int, seed: int = SEED, key: str = "id") -> DataFrame:
     """Adds ``kept``: whether a row is among the first ``cap`` of its group in hash order."""
-    order = Window.partitionBy(group).orderBy(hash_order(seed, F.col(key)), key)
-    return df.withColumn("kept", F.row_number().over(order) <= cap)
+    return first_of_groups(df, F.col(group), lambda n: F.lit(cap), seed, key, "kept")
 
 
 def _capped_ids(alive: DataFrame, cap: int, seed: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from ..functions.contract import exact_match
 from ..schemas import STRUCTURED
+from ..sources.scratch import Scratch
 from .metrics import share
 
 # No threshold accepts anything; the fewest rows a calibration trusts;
@@ -34,18 +35,26 @@ def calibrate(rows: DataFrame, target: float, confidence: str = "confidence", co
 
     Rows are sorted by confidence, ties by place. The first row above 0 whose suffix
     has enough rows and a mean at the target gives its confidence; else 1.01. The
-    suffix is one of rows, so among equal confidences a later row can decide. The
-    frame needs all rows in one order; a calibration set is a small held-out split.
+    suffix is one of rows, so among equal confidences a later row can decide. Rows are
+    range-partitioned in that order, ties included; a suffix is the rest of its own
+    range and the totals of the ranges after it. Nulls are least, and a null flag is
+    no vote.
     """
-    order = Window.orderBy(F.col(confidence), F.col(pos))
-    suffix = order.rowsBetween(0, Window.unboundedFollowing)
-    judged = rows.select(
-        F.col(confidence).alias("c"),
-        F.col(pos).alias("p"),
-        F.avg(F.col(correct).cast("int")).over(suffix).alias("mean"),
-        F.count("*").over(suffix).alias("n"),
+    told = rows.select(F.col(confidence).alias("c"), F.col(pos).alias("p"), F.col(correct).cast("int").alias("y"))
+    dealt = told.repartitionByRange("c", "p").withColumn("part", F.spark_partition_id())
+    # the ranges are drawn from a sample, so they are written once and read by both sides
+    dealt = Scratch(rows.sparkSession, "calibration").save(dealt, "ranges")
+    sums = [F.coalesce(F.sum("y"), F.lit(0)).alias("s"), F.count("y").alias("v"), F.count("*").alias("n")]
+    after = Window.orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    ranges = dealt.groupBy("part").agg(*sums).select("part", *[F.coalesce(F.sum(x).over(after), F.lit(0)).alias(f"{x}_after") for x in "svn"])
+    suffix = Window.partitionBy("part").orderBy("c", "p").rowsBetween(0, Window.unboundedFollowing)
+    judged = dealt.join(F.broadcast(ranges), "part").select(
+        "c",
+        (F.coalesce(F.sum("y").over(suffix), F.lit(0)) + F.col("s_after")).alias("s"),
+        (F.count("y").over(suffix) + F.col("v_after")).alias("v"),
+        (F.count("*").over(suffix) + F.col("n_after")).alias("n"),
     )
-    good = judged.filter((F.col("c") > 0) & (F.col("n") >= min_accepted) & (F.col("mean") >= target))
+    good = judged.filter((F.col("c") > 0) & (F.col("n") >= min_accepted) & (F.try_divide("s", "v") >= target))
     return good.agg(F.coalesce(F.min("c"), F.lit(NEVER)).alias("threshold"))
 
 

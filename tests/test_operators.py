@@ -1,5 +1,6 @@
 """Operators on hand-made tables, with the numbers worked out by hand."""
 
+import hashlib
 import random
 import re
 import zlib
@@ -209,6 +210,46 @@ def test_calibration(spark):
     assert router.calibrate(tie, 1.0, min_accepted=9).first()[0] == 1.01
 
 
+def test_calibration_equals_one_pass_over_sorted_rows(spark):
+    rng = random.Random(5)
+    for trial in range(3):
+        steps = (4, 40, 4000)[trial]
+        made = [(i, rng.choice([None, *(k / steps for k in range(steps + 1))]), rng.random() < 0.7 or None) for i in range(600)]
+        made += [(600 + i, 0.5, rng.random() < 0.6) for i in range(300)]  # a third ties
+        rng.shuffle(made)
+        df = spark.createDataFrame(made, "pos long, confidence double, correct boolean").repartition(5)
+        order = sorted(made, key=lambda r: (r[1] is not None, r[1] or 0.0, r[0]))
+        for target in (0.6, 0.75, 0.99):
+            want = 1.01
+            for i, (_, c, _k) in enumerate(order):
+                votes = [k for _, _, k in order[i:] if k is not None]
+                if c is not None and c > 0 and len(order) - i >= 5 and votes and sum(votes) / len(votes) >= target:
+                    want = c
+                    break
+            assert router.calibrate(df, target).first()[0] == want
+    assert router.calibrate(df.limit(0), 0.5).first()[0] == 1.01
+
+
+def test_first_of_groups_equals_sorting(spark):
+    """A group of a third of all rows, a null group, repeated and null keys, no rows."""
+    rng = random.Random(9)
+    made = [(f"k{i}", "hot" if i % 3 == 0 else rng.choice(["a", "b", None]), i) for i in range(20_000)]
+    made += [("same", "dup", i) for i in range(7)] + [(None, "nul", i) for i in range(3)]
+    df = spark.createDataFrame(made, "id string, g string, extra int").repartition(4)
+    for cap in (0, 1, 5, 900):
+        want = {}
+        for g in {g for _, g, _ in made}:
+            keys = [k for k, h, _ in made if h == g]
+            keys.sort(key=lambda k: hashlib.sha256(f"42:{k}".encode()).hexdigest() if k else "")
+            want[g] = sorted(map(str, keys[:cap]))
+        got = funnel.balance_cap(df, "g", cap)
+        assert got.columns == ["id", "g", "extra", "kept"]
+        out = got.collect()
+        assert len(out) == len(made)
+        assert {g: sorted(str(r.id) for r in out if r.g == g and r.kept) for g in want} == want
+    assert funnel.balance_cap(df.limit(0), "g", 3).count() == 0
+
+
 def test_simulation(spark):
     right, wrong = triage(), triage(intent="other")
     ddl = EXAMPLE.split("triage ")[1].rsplit(", source", 1)[0]
