@@ -24,6 +24,17 @@ class RunConfig:
     repairs: int = 1
     scrub_before_teacher: bool = True
     require_free_models: bool = False
+    generator: str = "offline-writer"
+    fallback_models: tuple[str, ...] = ()
+    reasoning_effort: str | None = None
+    max_tokens: int = 4096
+    timeout_seconds: float = 120.0
+    max_calls: int = 200
+    max_retries: int = 4
+    retry_seconds: float = 2.0
+    seconds_between_calls: float = 3.0
+    call_tasks: int = 4
+    cache_dir: str | None = None
     val_fraction: float = 0.12
     student: str = "keyword"
     min_confidence: float | str = "auto"
@@ -42,7 +53,13 @@ class RunConfig:
         if self.student not in ("keyword", "baseline"):
             raise ValueError("student is keyword or baseline")
         if self.require_free_models:
-            check_free([t for t in self.teachers if not t.startswith("offline")])
+            check_free([m for m in self.remote_models() if not m.startswith("openrouter/")])
+            # an endpoint's own name is not part of its model's
+            check_free([m.removeprefix("openrouter/") for m in (*self.remote_models(), *self.fallback_models)])
+
+    def remote_models(self) -> list[str]:
+        """Models that are asked over the network, as kind/model."""
+        return [m for m in (*self.teachers, self.generator) if not m.startswith("offline")]
 
     def show(self) -> str:
         return json.dumps(asdict(self), indent=2)

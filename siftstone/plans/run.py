@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.contract import exact_match
+from ..functions.contract import exact_match, triage_schema
+from ..functions.prompts import generation_schema
 from ..operators import batching, cost, dataset, router, student, teacher
 from ..operators.agreement import agreement_table, all_fields_agreement, teacher_validity
 from ..operators.funnel import run_funnel
 from ..operators.metrics import matched, score_system
 from ..schemas import CHAT, EXAMPLE, INTENTS, LABELED, PRICE, RAW, RunPaths
 from ..sources import tables
+from ..sources.providers import endpoint
+from ..sources.scratch import Scratch
 from .config import RunConfig
 from .report import render_html
 
@@ -35,7 +39,13 @@ class Run:
         if imports:
             new = tables.import_records(self.spark, imports)
         else:
-            new = teacher.write_tickets(batching.seed_matrix(self.spark, num, self.config.seed, topics, prefix))
+            seeds = batching.seed_matrix(self.spark, num, self.config.seed, topics, prefix)
+            c = self.config
+            if c.generator.startswith("offline"):
+                new = teacher.write_tickets(seeds, c.generator)
+            else:
+                remote = self.asker("generate", [c.generator], generation_schema())
+                new = teacher.ask_for_tickets(Scratch(self.spark, "generate").save(seeds, "seeds"), remote, c.generator, c.tickets_per_call)
         manifest = {"passes": []}
         if append and tables.exists(self.spark, self.at["generated"]):
             old = tables.read_raw(self.spark, self.at["generated"])
@@ -53,10 +63,27 @@ class Run:
         tables.write_document(self.spark, manifest, self.at["generation"])
         return new
 
+    def asker(self, stage: str, models, schema: dict | None = None) -> teacher.RemoteTeacher:
+        """Who answers for the models of a stage, with the run's cache, ledger, budget and pace.
+
+        Spacing holds for the whole run, so each of its tasks waits as many times longer.
+        """
+        c = self.config
+        settings = {"effort": c.reasoning_effort, "max_tokens": c.max_tokens, "timeout": c.timeout_seconds, "schema": schema or triage_schema(True)}
+        made = {}
+        for m in models:
+            if not m.startswith("offline"):
+                own = {"fallbacks": c.fallback_models} if m.startswith("openrouter/") else {}
+                made[m] = endpoint(m, free_only=c.require_free_models, **settings, **own)
+        pace = {"spacing": c.seconds_between_calls * c.call_tasks, "retries": c.max_retries, "base": c.retry_seconds, "tasks": c.call_tasks}
+        now = datetime.now(UTC).isoformat(timespec="seconds")
+        return teacher.RemoteTeacher(self.spark, made, stage, c.cache_dir or self.at["cache"], self.at["calls"], now, c.max_calls, **pace)
+
     def label(self) -> DataFrame:
         rows = tables.read_jsonl(self.spark, self._need("generated", "generate"), RAW)
         c = self.config
-        labeled = teacher.label_tickets(rows, list(c.teachers), c.label_batch, c.repairs, c.scrub_before_teacher)
+        ask = self.asker("label", c.teachers)
+        labeled = teacher.label_tickets(rows, list(c.teachers), c.label_batch, c.repairs, c.scrub_before_teacher, ask)
         tables.write_jsonl(labeled.select("pos", "id", "text", "source", "seed", "labels"), self.at["labeled"])
         labeled = tables.read_jsonl(self.spark, self.at["labeled"], LABELED)
         tables.write_document(self.spark, label_stats(labeled), self.at["label_stats"])
@@ -113,16 +140,19 @@ class Run:
 
         return student.baseline_student(PipelineModel.load(self._need("model", "train")), rows)
 
-    def evaluate(self, tokens: tuple[float, float] = (0.0, 0.0), student_seconds: float | None = None) -> dict:
+    def evaluate(self, tokens: tuple[float, float] | None = None, student_seconds: float | None = None) -> dict:
+        """Score teacher and student on gold; tokens an item are those measured unless they are given."""
         c = self.config
         gold = tables.load_gold(self.spark, c.gold_path, c.gold_limit)
         report: dict = {"systems": {}}
         own = self.predict(gold.select("pos", "id", "text"))
         tables.write_jsonl(own, self.paths.predictions("student"))
-        asked = teacher.label_tickets(gold.select("pos", "id", "text"), [c.teachers[0]], c.label_batch, c.repairs, c.scrub_before_teacher)
+        ask = self.asker("evaluate", c.teachers[:1])
+        asked = teacher.label_tickets(gold.select("pos", "id", "text"), [c.teachers[0]], c.label_batch, c.repairs, c.scrub_before_teacher, ask)
         label = F.get("labels", F.lit(0))["triage"]
         # a teacher answer is JSON exactly if it keeps the contract
-        answers = asked.select("pos", "id", label.alias("triage"), label.isNotNull().alias("json_valid"), F.lit(0.0).alias("latency_s"))
+        answers = asked.select("pos", "id", label.alias("triage"), label.isNotNull().alias("json_valid"))
+        answers = answers.join(self._waits(answers, ask), "pos", "left").fillna(0.0, ["latency_s"])
         tables.write_jsonl(answers, self.paths.predictions("teacher"))
         for name, predictions in (("teacher", answers), ("student", own)):
             rows = matched(gold, predictions.drop("pos"))
@@ -131,15 +161,28 @@ class Run:
             "pos", "id", "label", F.col("p_triage").alias("student"), F.col("p_json_valid").alias("json_valid"), F.col("p_confidence").alias("confidence")
         ).join(answers.select("id", F.col("triage").alias("teacher")), "id", "left")
         threshold = router.choose_threshold(c.min_confidence, self._calibration(), c.target_exact_match)
+        if ask.usage:
+            calls = reduce(DataFrame.unionByName, ask.usage)
+            used = cost.token_usage(calls).first()
+            report["teacher_usage"] = {"calls": calls.count(), **{k: round(v, 1) for k, v in used.asDict().items()}}
+            tokens = tokens or tuple(used)
         report["router"] = router.report_section(joined, threshold, True) | {"student_backend": c.student}
         prices = self.spark.createDataFrame([(*p, "") for p in c.prices], PRICE)
-        lines = cost.cost_table(self.spark, prices, *tokens, student_seconds, config=c.cost)
+        lines = cost.cost_table(self.spark, prices, *(tokens or (0.0, 0.0)), student_seconds, config=c.cost)
         report["cost"] = {"per_1k": [r.asDict() for r in lines.collect()]}
         routed = cost.routed_table(lines, report["router"]["gold"]["offload_rate"]).collect()
         report["cost"]["routed"] = [r.asDict() for r in routed]
         tables.write_document(self.spark, report, self.at["report"])
         return report
 
+    def _waits(self, rows: DataFrame, ask: teacher.RemoteTeacher) -> DataFrame:
+        """(pos, latency_s): the seconds of each row's first call, shared by the items of the call."""
+        if not ask.usage:
+            return rows.select("pos", F.lit(0.0).alias("latency_s"))
+        batch = F.floor(F.col("pos") / self.config.label_batch).cast("long").alias("batch")
+        each = ask.usage[0].select("batch", (F.col("latency_s") / F.col("items")).alias("latency_s"))
+        return rows.select("pos", batch).join(each, "batch").select("pos", "latency_s")
+
     def _calibration(self) -> DataFrame | None:
         if not tables.exists(self.spark, self.at["dataset_val"]):
             return None

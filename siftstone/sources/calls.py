@@ -61,7 +61,7 @@ def ask_remote(
 
     ``make_client`` runs once a task and returns a function (system, user) to
     (text, model, tokens_in, tokens_out), raising an error with ``status`` and
-    ``retry_after``. Requests are dealt to ``tasks`` tasks, or fewer where the budget has
+    ``retry_after``, or with ``final`` where another try can't help. Requests are dealt to ``tasks`` tasks, or fewer where the budget has
     fewer calls, and the whole budget is shared out among them; starts within a task
     keep ``spacing`` seconds apart. Errors become rows, and so do requests beyond the budget.
     """
@@ -85,7 +85,8 @@ def ask_remote(
                     try:
                         text, model, n_in, n_out = client(r.system, r.user)
                     except Exception as error:  # becomes a row, whatever the client raises
-                        again = is_retryable(getattr(error, "status", None)) and attempt < retries
+                        final = getattr(error, "final", False) or not is_retryable(getattr(error, "status", None))
+                        again = not final and attempt < retries
                         status = "retryable_error" if again else "error"
                         out.append((r.key, None, r.stage, r.task, r.provider, None, status, time.monotonic() - last, 0, 0, r.items, str(error)[:300]))
                         if not again:
@@ -103,21 +104,32 @@ def append_ledger(calls: DataFrame, path: str, now: str) -> None:
     calls.select(F.lit(now).alias("ts"), *LEDGER_COLUMNS).write.mode("append").json(path)
 
 
-def asked_once(spark: SparkSession, requests: DataFrame, make_client: Callable, folder: str, now: str, budget: int, **pace) -> DataFrame:
-    """(key, text) of requests, from the cache of a folder or else from the client.
+#: What the cache keeps of an answer.
+CACHED = "key string, text string, served_model string, latency_s double, input_tokens int, output_tokens int, items int"
+
+
+def asked(spark: SparkSession, requests: DataFrame, make_client: Callable, cache: str, ledger: str, now: str, budget: int, **pace) -> DataFrame:
+    """A row a request: what the cache has of it or else the client answers, and ``failure`` in place of an answer.
 
     What the client answers goes to the cache before the ledger, and what it is asked
-    counts against the budget; a request whose call failed has no row.
+    counts against the budget. Equal requests are asked once.
     """
-    cache, ledger = f"{folder}/cache", f"{folder}/ledger"
-    known = spark.read.schema("key string, text string").json(cache) if exists(spark, cache) else None
+    names = [c.split()[0] for c in CACHED.split(", ")]
+    known = spark.read.schema(CACHED).json(cache).dropDuplicates(["key"]) if exists(spark, cache) else None
     unique = requests.dropDuplicates(["key"])
-    misses = unique if known is None else split_cached(unique, known.dropDuplicates(["key"]))[1]
+    misses = unique if known is None else split_cached(unique, known)[1]
     made = Scratch(spark, "calls").save(ask_remote(misses, make_client, budget=calls_left(spark, ledger, budget), **pace), "made")
-    made.filter("status = 'ok'").select("key", "text").write.mode("append").json(cache)
+    made.filter("status = 'ok'").select(names).write.mode("append").json(cache)
     append_ledger(made, ledger, now)
-    every = spark.read.schema("key string, text string").json(cache).dropDuplicates(["key"])
-    return requests.select("key").join(every, "key")
+    answers = spark.read.schema(CACHED).json(cache).dropDuplicates(["key"])
+    failed = made.filter("status = 'error'").groupBy("key").agg(F.first("error").alias("failure"))
+    return requests.select("key").join(answers, "key", "left").join(failed, "key", "left")
+
+
+def asked_once(spark: SparkSession, requests: DataFrame, make_client: Callable, folder: str, now: str, budget: int, **pace) -> DataFrame:
+    """(key, text) of requests that have an answer, with cache and ledger in a folder."""
+    every = asked(spark, requests, make_client, f"{folder}/cache", f"{folder}/ledger", now, budget, **pace)
+    return every.filter("text IS NOT NULL").select("key", "text")
 
 
 def calls_left(spark: SparkSession, path: str, budget: int) -> int:
