@@ -43,7 +43,8 @@ def scrub_phone(text: Column) -> Column:
     def after(match: Column) -> Column:
         return F.coalesce(F.when(_is_phone(match), PLACEHOLDERS["phone"]).otherwise(match), F.lit(""))
 
-    return F.array_join(F.transform(between, lambda part, i: F.concat(part, after(F.get(found, i)))), "")
+    # side by side, so that the matches are found once a text and not once a part
+    return F.array_join(F.zip_with(between, found, lambda part, match: F.concat(part, after(match))), "")
 
 
 def scrub(text: Column) -> Column:

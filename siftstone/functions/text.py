@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def strip(text: Column) -> Column:
@@ -64,26 +65,27 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
 
 
-def rouge_l(reference: Column, candidate: Column) -> Column:
-    """ROUGE-L F1 over word tokens; 0 where either side has none in common.
+@F.udf(T.LongType(), useArrow=True)
+def common_subsequence(a: list, b: list):
+    """Length of the longest common subsequence of two arrays; null where either is null.
 
-    The longest common subsequence is a fold over the tokens of one side that
-    carries the last row of the table.
+    The row of the table is one integer: a bit of ``a`` is clear where the length grows.
     """
-    ref, cand = tokens(reference), tokens(candidate)
-
-    def row(last: Column, token: Column) -> Column:
-        first = F.array(F.lit(0))
+    if a is None or b is None:
+        return None
+    places: dict = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    whole = row = (1 << len(a)) - 1
+    for x in b:
+        hit = row & places.get(x, 0)
+        row = ((row + hit) | (row - hit)) & whole
+    return len(a) - row.bit_count()
 
-        def cell(done: Column, i: Column) -> Column:
-            hit = F.element_at(last, i) + 1
-            miss = F.greatest(F.element_at(last, i + 1), F.element_at(done, i))
-            return F.array_append(done, F.when(F.element_at(cand, i) == token, hit).otherwise(miss))
 
-        return F.aggregate(F.sequence(F.lit(1), F.size(cand)), first, cell)
-
-    start = F.transform(F.sequence(F.lit(0), F.size(cand)), lambda _: F.lit(0))
-    common = F.element_at(F.aggregate(ref, start, row), -1)
-    precision, recall = common / F.size(cand), common / F.size(ref)
-    score = F.when(common > 0, 2 * precision * recall / (precision + recall)).otherwise(0.0)
-    return F.when((F.size(ref) == 0) | (F.size(cand) == 0), 0.0).otherwise(score)
+def rouge_l(reference: Column, candidate: Column) -> Column:
+    """ROUGE-L F1 over word tokens; 0 where either side has none in common, null for a null text."""
+    ref, cand = tokens(reference), tokens(candidate)
+    common = common_subsequence(ref, cand)
+    # 2pr / (p + r) with p and r the shares of common words
+    return F.when(common > 0, 2.0 * common / (F.size(ref) + F.size(cand))).when(common == 0, 0.0)

@@ -15,7 +15,7 @@ from ..functions import pii, text
 from ..functions.contract import exact_match, let, normalize_order_id, triage_json, valid_order_id, valid_request, valid_summary
 from ..functions.heuristics import with_keyword_triage
 from ..operators import agreement, batching, cost, dataset, funnel, metrics, near_dup, router, student, teacher
-from ..schemas import ENUMS, INTENTS, LABEL, STRUCTURED, TRIAGE, enum_dimension
+from ..schemas import ENUMS, INTENTS, LABEL, PRODUCT_AREAS, STRUCTURED, TRIAGE, enum_dimension
 from ..sources import calls
 from ..sources.scratch import Scratch
 from ..streaming import routing
@@ -543,7 +543,14 @@ def served_model_mode(spark, sf_dir):
     return metrics.counted_by(ok, "served_model").limit(1).select("served_model")
 
 
-@query()
+@query(
+    r"""WITH RECURSIVE w AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS t FROM benchmark),
+        p AS (SELECT x.item_id, x.t AS a, y.t AS b FROM w x JOIN w y ON y.item_id = x.item_id + 1),
+        s AS (SELECT item_id, a, b, 0::BIGINT AS k, list_transform(range(len(b) + 1), lambda i: 0::BIGINT) AS row FROM p
+              UNION ALL SELECT item_id, a, b, k + 1, [0::BIGINT] || list_transform(range(1, len(b) + 1), lambda i: list_max(list_transform(
+                  range(1, i + 1), lambda j: CASE WHEN b[j] = a[k + 1] THEN row[j] + 1 ELSE row[j + 1] END))) FROM s WHERE k < len(a))
+        SELECT item_id, CASE WHEN row[-1] = 0 THEN 0.0::DOUBLE ELSE 2.0::DOUBLE * row[-1] / (len(a) + len(b)) END AS rouge_l FROM s WHERE k = len(a)"""
+)
 def rouge_l_self(spark, sf_dir):
     """ROUGE-L of each benchmark text against the one after it."""
     rows = table(spark, sf_dir, "benchmark")
@@ -847,7 +854,25 @@ def systematic_sample(spark, sf_dir):
     return batching.systematic_sample(table(spark, sf_dir, "documents").select("doc_id"), 12, "doc_id")
 
 
-@query()
+def _sql_uniform(axis: str) -> str:
+    return f"(('0x' || substr(sha256('42:{axis}:' || id), 1, 12))::BIGINT / {float(1 << 48)}::DOUBLE)"
+
+
+def _sql_pick(axis: str, values) -> str:
+    return f"([{', '.join(repr(v) for v in values)}])[floor({_sql_uniform(axis)} * {len(values)})::INT + 1]"
+
+
+_SQL_SEEDS = f"""WITH i AS (SELECT 's' || lpad(n::VARCHAR, 5, '0') AS id, ([{', '.join(repr(t) for t in INTENTS)}])[n % {len(INTENTS)} + 1] AS topic FROM range(1000) r(n)),
+    d AS (SELECT *, CASE {' '.join(f"WHEN topic = '{t}' THEN {_sql_pick('product', p)}" for t, p in batching.TOPIC_PRODUCTS.items())}
+        ELSE {_sql_pick('product', [p for p in PRODUCT_AREAS if p != 'none'])} END AS product, {_sql_pick('tone', batching.TONES)} AS drawn FROM i)
+    SELECT row_number() OVER (ORDER BY sha256('42:' || id)) - 1 AS pos, id, topic, product,
+        CASE WHEN topic = 'feedback' AND drawn = 'neutral' THEN {_sql_pick('tone-again', ('happy', 'frustrated'))} ELSE drawn END AS tone,
+        {_sql_pick('length', [v for v, n in batching.LENGTHS for _ in range(n)])} AS length, {_sql_pick('style', batching.STYLES)} AS style,
+        {_sql_uniform('order')} < CASE WHEN topic IN ({', '.join(repr(t) for t in batching.ORDER_TOPICS)}) THEN {batching.ORDER_SHARE} ELSE {batching.OTHER_ORDER_SHARE} END AS order_number,
+        {_sql_uniform('contact')} < {batching.CONTACT_SHARE} AS contact_details FROM d"""
+
+
+@query(_SQL_SEEDS)
 def seed_matrix(spark, sf_dir):
     return batching.seed_matrix(spark, 1000)
 
@@ -892,7 +917,11 @@ def metric_pivot(spark, sf_dir):
     return report.metric_table(wide, ["de", "en"])
 
 
-@query()
+@query(
+    f"""WITH {_SQL_ROUTED}, c AS (SELECT unnest(range(21)) / 20.0::DOUBLE AS threshold), t AS ({_sql_simulation('threshold', 'r, c')} GROUP BY threshold)
+        SELECT string_agg(CASE WHEN threshold = 0 THEN 'M' ELSE 'L' END || CAST(round_even(36 + threshold * 488, 1) AS VARCHAR) || ','
+        || CAST(round_even(36 + (1 - offload_rate) * 168, 1) AS VARCHAR), ' ' ORDER BY threshold) AS path FROM t"""
+)
 def curve_path(spark, sf_dir):
     return report.curve_path(router.tradeoff_curve(routed_rows(spark, sf_dir)), "offload_rate")
 

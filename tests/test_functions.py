@@ -1,6 +1,8 @@
 """Scalar functions against small tables of cases."""
 
 import json
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -106,3 +108,41 @@ def test_keyword_triage(spark):
     got = [r.k for r in df.orderBy("i").collect()]
     assert (got[0].intent, got[0].product_area, got[0].order_id, got[0].sentiment) == ("order_status", "camera", "BL-123456", "negative")
     assert (got[1].intent, got[1].confidence, got[1].urgency) == ("other", 0.35, "low")
+
+
+def test_rouge_l_equals_the_whole_table(spark):
+    rng = random.Random(3)
+    made = [tuple(" ".join(rng.choice("a b c d é 7".split()) for _ in range(rng.randrange(0, 90))) for _ in "ab") for _ in range(150)]
+    made += [("", "a"), ("a", "")]
+
+    def plain(a, b):
+        a, b = a.split(), b.split()
+        table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+        common = table[-1][-1]
+        return 2 * common / (len(a) + len(b)) if common else 0.0
+
+    df = spark.createDataFrame([(i, *ab) for i, ab in enumerate(made)] + [(-1, None, "a")], "i long, a string, b string")
+    got = {r.i: r.s for r in df.select("i", text.rouge_l(F.col("a"), F.col("b")).alias("s")).collect()}
+    assert got.pop(-1) is None
+    assert got == {i: pytest.approx(plain(*ab)) for i, ab in enumerate(made)}
+
+
+def test_scrubbing_equals_replacing_in_turn(spark):
+    """Texts of digits and signs, where matches touch each other and the ends."""
+    rng = random.Random(4)
+    parts = ["+49 ", "(030) ", "123", "45", "6789", " ", "-", ".", "x", "a@b.co ", "4111 1111 1111 1111", "\n", "é", "_"]
+    made = ["".join(rng.choice(parts) for _ in range(rng.randrange(0, 25))) for _ in range(600)]
+
+    def plain(value):
+        value = re.sub(pii.EMAIL, "[EMAIL]", value)
+        value = re.sub(pii.CARD, "[CARD]", value)
+        phone = lambda m: "[PHONE]" if sum(c.isdigit() for c in m[0]) >= pii.PHONE_DIGITS else m[0]
+        return re.sub(pii.PHONE, phone, value)
+
+    df = spark.createDataFrame(list(enumerate(made)), "i long, t string")
+    got = {r.i: r.s for r in df.select("i", pii.scrub(F.col("t")).alias("s")).collect()}
+    assert got == {i: plain(t) for i, t in enumerate(made)}
+    assert sum("[PHONE]" in t for t in got.values()) > 50
