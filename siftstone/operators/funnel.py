@@ -123,15 +123,18 @@ def run_funnel(spark: SparkSession, labeled: DataFrame, config: FunnelConfig | N
             "stage": F.when(repeat, "dedup").otherwise(F.col("stage")),
         }
     )
-    clean, found = (pii.scrub(F.col("text")), pii.counts(F.col("text"))) if config.scrub else (F.col("text"), F.lit(None).cast("map<string,bigint>"))
+    if config.scrub:
+        tagged = pii.with_scrubbed(tagged, "text", "scrubbed", "found")
+    else:
+        tagged = tagged.withColumns({"scrubbed": F.col("text"), "found": F.lit(None).cast("map<string,bigint>")})
     open_row = F.col("stage").isNull()
     tagged = tagged.withColumns(
         {
-            "clean": F.when(open_row, clean).otherwise(F.col("text")),
-            "pii": F.when(open_row, found),
+            "clean": F.when(open_row, F.col("scrubbed")).otherwise(F.col("text")),
+            "pii": F.when(open_row, F.col("found")),
             "triage": F.when(open_row, F.get("labels", F.lit(0))["triage"]),
         }
-    ).drop("of_id", "similarity", "differ", "labels")
+    ).drop("of_id", "similarity", "differ", "labels", "scrubbed", "found")
     tagged = scratch.save(tagged, "scrubbed")
     if config.cap is not None:
         over = _capped_ids(tagged.filter("stage IS NULL"), config.cap, config.seed).withColumn("over", F.lit(True))

@@ -272,8 +272,9 @@ def pii_phone(spark, sf_dir):
 @query()
 def pii_scrub(spark, sf_dir):
     """All kinds in order, with what was replaced."""
-    found = F.array_join(F.transform(F.map_entries(pii.counts(F.col("text"))), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
-    return table(spark, sf_dir, "documents").select("doc_id", pii.scrub(F.col("text")).alias("clean"), found.alias("found"))
+    made = pii.with_scrubbed(table(spark, sf_dir, "documents"), "text", "clean", "counts")
+    found = F.array_join(F.transform(F.map_entries("counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return made.select("doc_id", "clean", found.alias("found"))
 
 
 # --- near duplicates ---------------------------------------------------------

@@ -135,6 +135,7 @@ def test_scrubbing_equals_replacing_in_turn(spark):
     rng = random.Random(4)
     parts = ["+49 ", "(030) ", "123", "45", "6789", " ", "-", ".", "x", "a@b.co ", "4111 1111 1111 1111", "\n", "é", "_"]
     made = ["".join(rng.choice(parts) for _ in range(rng.randrange(0, 25))) for _ in range(600)]
+    made.append("a@b.co, 4111 1111 1111 1111 or +49 30 123 4567")
 
     def plain(value):
         value = re.sub(pii.EMAIL, "[EMAIL]", value)
@@ -146,3 +147,9 @@ def test_scrubbing_equals_replacing_in_turn(spark):
     got = {r.i: r.s for r in df.select("i", pii.scrub(F.col("t")).alias("s")).collect()}
     assert got == {i: plain(t) for i, t in enumerate(made)}
     assert sum("[PHONE]" in t for t in got.values()) > 50
+    both = pii.with_scrubbed(df.withColumn("want", pii.counts(F.col("t"))), "t", "clean", "found").collect()
+    assert {r.i: r.clean for r in both} == got and all(r.found == r.want for r in both)
+    kinds = {frozenset(r.found) for r in both}  # a map has no order
+    assert kinds >= {frozenset(k) for k in ((), ("email",), ("card",), ("phone",), ("email", "card", "phone"))}
+    none = pii.with_scrubbed(spark.createDataFrame([(None,)], "t string"), "t", "clean", "found").first()
+    assert none.clean is None and not none.found
