@@ -17,6 +17,8 @@ from .exact_dedup import exact_dedup
 from .jaccard_join import Rule, jaccard_components
 from .language_id import identify_language, learn_dictionaries, remainder
 from .mixing import mix_documents
+from .prefix_trie import ORACLE_SQL as _TRIE_SQL
+from .prefix_trie import conversation_trie
 from .quality import learn_quality, score_quality
 from .secret_scan import scan_secrets
 from .token_count import count_tokens
@@ -83,6 +85,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(spark, read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
@@ -94,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_token_count": op9_token_count,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -208,4 +215,5 @@ ORACLE_SQL: dict[str, str] = {
         SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, g.text_sha256
         FROM n JOIN g ON n.norm = g.norm
     """,
+    "op11_prefix_trie": _TRIE_SQL,
 }
