@@ -21,6 +21,8 @@ from .prefix_trie import ORACLE_SQL as _TRIE_SQL
 from .prefix_trie import conversation_trie
 from .quality import learn_quality, score_quality
 from .secret_scan import scan_secrets
+from .source_audit import ORACLE_SQL as _AUDIT_SQL
+from .source_audit import audit_sources
 from .token_count import count_tokens
 from .token_files import read_token_files, write_token_files
 from .tool_calls import link_tool_calls, reply_tools, turns_as_calls
@@ -89,6 +91,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(spark, read_table(spark, sf_dir, "conversations"))
 
 
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(spark, read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
@@ -101,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_count": op9_token_count,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_source_audit": op12_source_audit,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -216,4 +223,5 @@ ORACLE_SQL: dict[str, str] = {
         FROM n JOIN g ON n.norm = g.norm
     """,
     "op11_prefix_trie": _TRIE_SQL,
+    "op12_source_audit": _AUDIT_SQL,
 }
