@@ -23,6 +23,7 @@ from .quality import learn_quality, score_quality
 from .secret_scan import scan_secrets
 from .source_audit import ORACLE_SQL as _AUDIT_SQL
 from .source_audit import audit_sources
+from .super_minhash import near_duplicates
 from .token_count import count_tokens
 from .token_files import read_token_files, write_token_files
 from .tool_calls import link_tool_calls, reply_tools, turns_as_calls
@@ -95,6 +96,10 @@ def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_sources(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark, read_table(spark, sf_dir, "documents"), Rule(width=2, num=80, den=100))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_decontamination": op2_decontamination,
@@ -108,10 +113,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_source_audit": op12_source_audit,
+    "op13_minhash_dedup": op13_minhash_dedup,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+def _components_sql(width: int, num: int, kept: str = "") -> str:
+    """Components of documents whose sets of shingles of ``width`` words have num/100 in common."""
+    return f"""
+        WITH RECURSIVE d AS (
+          SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
+                                                     '[^\\x20\\x09-\\x0D]+'), []) AS w
+          FROM documents
+        ), s AS (
+          SELECT DISTINCT doc_id, array_to_string(w[i : i + least({width}, len(w)) - 1], ' ') AS words
+          FROM d, unnest(range(1, greatest(len(w) - {width}, 0) + 2)) AS u(i)
+          WHERE len(w) > 0
+        ), n AS (
+          SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), met AS (
+          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+          FROM s AS a JOIN s AS b ON a.words = b.words AND a.doc_id <> b.doc_id GROUP BY ALL
+        ), link AS (
+          SELECT a, b FROM met JOIN n AS na ON a = na.doc_id JOIN n AS nb ON b = nb.doc_id
+          WHERE 100 * c >= {num} * (na.n + nb.n - c)
+        ), reach AS (
+          SELECT doc_id, doc_id AS r FROM documents
+          UNION
+          SELECT reach.doc_id, link.b FROM reach JOIN link ON reach.r = link.a
+        )
+        SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r) AS component_id{kept}
+        FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+    """
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": f"""
         WITH b AS (
@@ -185,31 +220,7 @@ ORACLE_SQL: dict[str, str] = {
                || CASE WHEN answered THEN ',"status":"linked"}' ELSE ',"status":"pending"}' END AS json
         FROM m
     """,
-    "op5_jaccard_join": f"""
-        WITH RECURSIVE d AS (
-          SELECT doc_id, coalesce(regexp_extract_all(translate(text, '{_UPPER}', '{_LOWER}'),
-                                                     '[^\\x20\\x09-\\x0D]+'), []) AS w
-          FROM documents
-        ), s AS (
-          SELECT DISTINCT doc_id, array_to_string(w[i : i + least(3, len(w)) - 1], ' ') AS words
-          FROM d, unnest(range(1, greatest(len(w) - 3, 0) + 2)) AS u(i)
-          WHERE len(w) > 0
-        ), n AS (
-          SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
-        ), met AS (
-          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
-          FROM s AS a JOIN s AS b ON a.words = b.words AND a.doc_id <> b.doc_id GROUP BY ALL
-        ), link AS (
-          SELECT a, b FROM met JOIN n AS na ON a = na.doc_id JOIN n AS nb ON b = nb.doc_id
-          WHERE 100 * c >= 90 * (na.n + nb.n - c)
-        ), reach AS (
-          SELECT doc_id, doc_id AS r FROM documents
-          UNION
-          SELECT reach.doc_id, link.b FROM reach JOIN link ON reach.r = link.a
-        )
-        SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r) AS component_id
-        FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
-    """,
+    "op5_jaccard_join": _components_sql(3, 90),
     "op10_exact_dedup": """
         WITH n AS (
           SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -224,4 +235,5 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "op11_prefix_trie": _TRIE_SQL,
     "op12_source_audit": _AUDIT_SQL,
+    "op13_minhash_dedup": _components_sql(2, 80, ", coalesce(d.doc_id = min(r), true) AS kept"),
 }
