@@ -75,7 +75,7 @@ class Run:
             if not m.startswith("offline"):
                 own = {"fallbacks": c.fallback_models} if m.startswith("openrouter/") else {}
                 made[m] = endpoint(m, free_only=c.require_free_models, **settings, **own)
-        pace = {"spacing": c.seconds_between_calls * c.call_tasks, "retries": c.max_retries, "base": c.retry_seconds, "tasks": c.call_tasks}
+        pace = {"spacing": c.seconds_between_calls, "retries": c.max_retries, "base": c.retry_seconds, "tasks": c.call_tasks}
         now = datetime.now(UTC).isoformat(timespec="seconds")
         return teacher.RemoteTeacher(self.spark, made, stage, c.cache_dir or self.at["cache"], self.at["calls"], now, c.max_calls, **pace)
 

@@ -1,12 +1,17 @@
 """Tables on disk and the routed stream."""
 
 import json
+import sys
 
 import pytest
+from pyspark import cloudpickle
 
 from siftstone.sources import calls, tables
 from siftstone.streaming import routing
 
+# workers do not import tests, so the scripted clients travel with the tasks
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def test_jsonl_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(0, "a", None), (1, "é", "x")], "pos long, id string, note string")
@@ -85,23 +90,40 @@ def requests(spark, *users):
     return spark.createDataFrame([(u, "label", "label", "p:free", "s", u, 1) for u in users], REQUEST)
 
 
-def test_remote_calls_retry_and_keep_to_the_budget(spark):
-    ask = lambda users, budget, tasks=2: calls.ask_remote(requests(spark, *users), scripted(), 0.0, 3, 0.0, budget, tasks).collect()
-    made = ask(["a", "busy b", "bad c"], 20)
-    assert sorted((r.key, r.text, r.status) for r in made if r.status != "retryable_error") == [
+def made(spark, folder, users, budget, tasks=2, **pace):
+    """Ends of requests by key, and the calls in the journal."""
+    journal = calls.Journal(f"{folder}/{budget}-{tasks}")
+    pace = {"spacing": 0.0, "retries": 3, "base": 0.0} | pace
+    ends = calls.ask_remote(requests(spark, *users), scripted(), journal, "now", budget=budget, tasks=tasks, **pace).collect()
+    return {r.key: (r.status, r.error) for r in ends}, [c for p in range(tasks) for c in journal.records(p)]
+
+
+def test_remote_calls_retry_and_keep_to_the_budget(spark, tmp_path):
+    ends, journal = made(spark, tmp_path, ["a", "busy b", "bad c"], 20)
+    assert ends == {"a": ("ok", None), "bad c": ("error", "no such model"), "busy b": ("ok", None)}
+    assert sorted((c["key"], c.get("text"), c["status"]) for c in journal if c["status"] != "retryable_error") == [
         ("a", "A", "ok"), ("bad c", None, "error"), ("busy b", "BUSY B", "ok"),
     ]
-    assert sum(r.status == "retryable_error" for r in made) == 2
+    assert sum(c["status"] == "retryable_error" for c in journal) == 2
     for budget in (0, 1, 3, 7):
-        rows = ask([f"u{i}" for i in range(12)], budget, 3)
-        assert len(rows) == 12 and sum(r.status == "ok" for r in rows) == budget
-        assert all(r.error == "budget is used up" for r in rows if r.status == "error")
+        ends, journal = made(spark, tmp_path, [f"u{i}" for i in range(12)], budget, 3)
+        assert len(ends) == 12 and len(journal) == budget
+        assert sorted(ends.values(), key=str) == [("ok", None)] * budget + [("unasked", "budget is used up")] * (12 - budget)
+
+
+def test_shares_use_the_whole_budget():
+    assert calls.shares_of(7, [1, 9, 2]) == (1, 4, 2)
+    assert calls.shares_of(3, [5, 5, 5]) == (1, 1, 1)
+    assert calls.shares_of(20, [1, 0, 2]) == (7, 6, 7)
+    assert calls.shares_of(0, [3]) == (0,)
+
+
+PACE = {"spacing": 0.0, "retries": 1, "base": 0.0}
 
 
 def test_answers_are_cached_and_counted(spark, tmp_path):
-    pace = {"spacing": 0.0, "retries": 1, "base": 0.0}
     once = lambda budget, *users: {
-        r.key: r.text for r in calls.asked_once(spark, requests(spark, *users), scripted(), str(tmp_path), "now", budget, **pace).collect()
+        r.key: r.text for r in calls.asked_once(spark, requests(spark, *users), scripted(), str(tmp_path), "now", budget, **PACE).collect()
     }
     assert once(10, "a", "b", "a", "bad") == {"a": "A", "b": "B"}
     assert calls.calls_left(spark, f"{tmp_path}/ledger", 10) == 7
@@ -112,6 +134,97 @@ def test_answers_are_cached_and_counted(spark, tmp_path):
     assert calls.ledger_view(ledger).first().all_free
 
 
+def test_only_real_calls_count_against_a_budget_that_is_raised(spark, tmp_path):
+    users = [f"u{i}" for i in range(10)]
+    run = lambda budget: calls.asked(spark, requests(spark, *users), scripted(), f"{tmp_path}/cache", f"{tmp_path}/ledger", "now", budget, **PACE).collect()
+    for budget, answers in ((3, 3), (8, 8), (8, 8), (20, 10)):
+        rows = run(budget)
+        assert sum(r.text is not None for r in rows) == answers
+        assert all((r.text is None) == (r.failure == "budget is used up") for r in rows)
+        assert spark.read.schema(calls.LEDGER).json(f"{tmp_path}/ledger").filter("status = 'ok'").count() == answers
+        assert calls.calls_left(spark, f"{tmp_path}/ledger", budget) == budget - answers
+
+
+def noted(folder, dies_after=None):
+    """Makes clients that note each call with its time; one call may take its worker down."""
+
+    def make():
+        def ask(system, user):
+            import os
+            import time
+            import uuid
+
+            seen = os.listdir(folder)
+            if dies_after is not None and len(seen) >= dies_after and "died" not in seen:
+                open(f"{folder}/died", "w").close()
+                os._exit(1)
+            with open(f"{folder}/{uuid.uuid4().hex}", "w") as out:
+                out.write(f"{user} {time.time()}")
+            return user.upper(), "m:free", 1, 1
+
+        return ask
+
+    return make
+
+
+def notes(folder):
+    return [(u, float(t)) for u, t in (p.read_text().split() for p in folder.iterdir() if p.name != "died")]
+
+
+def test_a_lost_task_asks_nothing_twice(spark, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+    users = [f"u{i}" for i in range(12)]
+    run = lambda: calls.asked_once(spark, requests(spark, *users), noted(log, 5), f"{tmp_path}/run", "now", 12, tasks=1, **PACE).collect()
+    with pytest.raises(Exception, match="(?i)worker|crash"):  # one try a task on this master
+        run()
+    assert len(notes(log)) == 5
+    assert {r.key: r.text for r in run()} == {u: u.upper() for u in users}
+    assert sorted(u for u, _ in notes(log)) == sorted(users)
+    assert spark.read.schema(calls.LEDGER).json(f"{tmp_path}/run/ledger").count() == 12
+
+
+def test_a_task_that_runs_again_goes_on(tmp_path):
+    """A second attempt of a task replays its journal, its failures and its share of the budget."""
+    from types import SimpleNamespace
+
+    rows = [SimpleNamespace(key=u, stage="label", task="label", provider="p:free", system="s", user=u, items=1) for u in ("a", "bad", "b", "c", "d")]
+    asker = calls.Asker(scripted(), 0.0, 1, 0.0, (4,), calls.Journal(str(tmp_path)), 0, "now")
+    first = asker(0, iter(rows))
+    assert [next(first)[:2] for _ in range(2)] == [("a", "ok"), ("bad", "error")]
+    first.close()  # the executor is gone
+    ends = list(asker(0, iter(rows)))
+    assert [e[:2] for e in ends] == [("a", "ok"), ("bad", "error"), ("b", "ok"), ("c", "ok"), ("d", "unasked")]
+    assert sorted(r["key"] for r in asker.journal.records(0)) == ["a", "b", "bad", "c"]
+
+
+def test_starts_of_all_tasks_and_passes_keep_apart(spark, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+    for users in (range(8), range(4, 14)):
+        asking = requests(spark, *[f"u{i}" for i in users])
+        calls.asked_once(spark, asking, noted(log), f"{tmp_path}/run", "now", 99, tasks=4, **PACE | {"spacing": 0.3}).collect()
+    starts = sorted(t for _, t in notes(log))
+    assert len(starts) == 14
+    assert min(b - a for a, b in zip(starts, starts[1:])) >= 0.3 - 0.002  # the note is made after the start
+
+
+def test_slots_never_meet():
+    taken = {}
+    for part in range(3):
+        now, slot = 100.0 + part / 7, 10
+        for _ in range(40):
+            slot, wait = calls.next_slot(now, 0.5, part, 3, slot)
+            assert slot not in taken
+            now += wait
+            begin = slot * 0.5 * (1 + calls.GUARD)
+            assert begin <= now + 1e-9 and now <= begin + 0.5 * calls.GUARD + 1e-9
+            taken[slot] = now
+            now += 0.13 * part
+    starts = [taken[s] for s in sorted(taken)]
+    assert all(b - a >= 0.5 - 1e-9 for a, b in zip(starts, starts[1:]))
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     from types import SimpleNamespace
 
