@@ -31,7 +31,7 @@ class FunnelConfig:
     require_agreement: bool = True
     agreement_fields: tuple[str, ...] = STRUCTURED
     dedup_threshold: float = 0.7
-    dedup_mode: str = "exact"
+    dedup_mode: str = "lsh"
     shingle_size: int = 5
     cap: int | None = CAP
     scrub: bool = True

@@ -324,8 +324,8 @@ def _class_pairs(spark, texts):
     scratch = Scratch(spark, "neardup-pairs")
     norms = scratch.save(near_dup.normalised(near_dup.spread(texts)), "norms")
     members = scratch.save(near_dup.with_classes(norms), "members")
-    sets = scratch.save(near_dup.with_shingles(near_dup.representatives(norms, members)), "sets")
-    return near_dup.with_copies(near_dup.exact_pairs(sets), members)
+    reps = scratch.save(near_dup.representatives(norms, members), "reps")
+    return near_dup.with_copies(near_dup.exact_pairs(reps), members)
 
 
 @query()
