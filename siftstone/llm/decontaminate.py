@@ -7,9 +7,9 @@ consecutive words of an item, or the whole item where it is shorter.
 Any ten consecutive words of an item contain one of its five-word pieces that
 start at a multiple of five, so the automaton holds these pieces only (and short
 items whole): about as many nodes as the benchmark has bytes, not ten times as
-many. A document is scanned once; each piece found is extended to both sides, and
-a run that covers a window marks its words. Word positions map back to offsets in
-the original text.
+many. A document is scanned once; the windows around the pieces found are looked up
+among the distinct windows of all items, each once however often a text repeats it, and
+compared word by word. Word positions map back to offsets in the original text.
 """
 
 from __future__ import annotations
@@ -18,7 +18,9 @@ import hashlib
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,22 @@ _WORD = re.compile(rb"[^ ]+")
 _HITS = "n_words long, hits array<struct<first:long,last:long>>, spans array<struct<start:long,stop:long>>, items array<string>"
 
 
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def window_hashes(words: list[bytes], window: int) -> np.ndarray:
+    """A 64-bit hash of each run of ``window`` words."""
+    import xxhash
+
+    n = len(words) - window + 1
+    each = np.array([xxhash.xxh3_64_intdigest(w) for w in words], np.uint64)
+    out = np.zeros(n, np.uint64)
+    for k in range(window):
+        out = (out ^ each[k : k + n]) * _ODD
+        out ^= out >> np.uint64(29)
+    return out
+
+
 class Scanner:
     """Finds the windows of one block of items in texts."""
 
@@ -45,24 +63,35 @@ class Scanner:
         import ahocorasick
 
         self.window, self.piece = window, max(1, window // 2)
-        self.words: list[tuple[str, list[bytes]]] = []
-        at: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        self.ids: list[str] = []
+        self.words: list[list[bytes]] = []
+        short: dict[bytes, list[str]] = defaultdict(list)
+        pieces: set[bytes] = set()
+        made: list[tuple[np.ndarray, np.ndarray]] = []
         for item_id, text in items:
             words = text.encode("utf-8", "surrogatepass").translate(_WORDS).split()
-            k = len(self.words)
-            self.words.append((item_id, words))
             if 0 < len(words) < window:
-                at[b" ".join(words)].append((k, 0))
+                short[b" ".join(words)].append(item_id)
             elif words:
                 for p in range(0, len(words) - self.piece + 1, self.piece):
-                    at[b" ".join(words[p : p + self.piece])].append((k, p))
+                    pieces.add(b" ".join(words[p : p + self.piece]))
+                made.append(np.unique(window_hashes(words, window), return_index=True))
+                self.ids.append(item_id)
+                self.words.append(words)
+        # the distinct windows of each item: hash, item, place of the first
+        hashes = np.concatenate([h for h, _ in made]) if made else np.empty(0, np.uint64)
+        owner = np.repeat(np.arange(len(made), dtype=np.int32), [len(h) for h, _ in made])
+        places = np.concatenate([p for _, p in made]).astype(np.int32) if made else np.empty(0, np.int32)
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.owner, self.places = hashes[order], owner[order], places[order]
         self.automaton = ahocorasick.Automaton()
-        for key, places in at.items():
+        for key in pieces | short.keys():
             # one letter a byte; the spaces around it keep to whole words
-            self.automaton.add_word(f" {key.decode('latin-1')} ", (len(key), key.count(b" ") + 1, places))
-        if at:
+            value = (len(key), key.count(b" ") + 1, key in pieces, tuple(short.get(key, ())))
+            self.automaton.add_word(f" {key.decode('latin-1')} ", value)
+        self.empty = not (pieces or short)
+        if not self.empty:
             self.automaton.make_automaton()
-        self.empty = not at
 
     def scan(self, text: str | None) -> tuple[int, list[tuple[int, int]], list[str], bytes]:
         """Number of words, merged runs of hit words (end exclusive), items, normalised bytes."""
@@ -79,22 +108,30 @@ class Scanner:
             at += len(w) + 1
         runs: list[tuple[int, int]] = []
         items: set[str] = set()
-        done: dict[tuple[int, int], int] = {}
-        for end, (size, n, places) in found:
+        near = np.zeros(len(words) + 1, np.int32)  # where windows start that hold a piece
+        last = len(words) - self.window
+        for end, (size, n, piece, whole) in found:
             i = index[end - size]
-            for k, p in places:
-                if done.get((k, i - p), -1) > i:
-                    continue  # inside a run that has been extended already
-                item_id, own = self.words[k]
-                a, b, q, r = i, i + n, p, p + n
-                while a > 0 and q > 0 and words[a - 1] == own[q - 1]:
-                    a, q = a - 1, q - 1
-                while b < len(words) and r < len(own) and words[b] == own[r]:
-                    b, r = b + 1, r + 1
-                done[k, i - p] = b
-                if b - a >= min(self.window, len(own)):
-                    runs.append((a, b))
-                    items.add(item_id)
+            if whole:
+                runs.append((i, i + n))
+                items.update(whole)
+            if piece and last >= 0:
+                near[max(0, i + n - self.window)] += 1
+                near[min(i, last) + 1] -= 1
+        starts = np.flatnonzero(np.cumsum(near[:-1]) > 0)
+        starts = starts[starts <= last]
+        if len(starts):
+            values, first, which = np.unique(window_hashes(words, self.window)[starts], return_index=True, return_inverse=True)
+            hit = np.zeros(len(values), bool)
+            low, high = (np.searchsorted(self.hashes, values, side) for side in ("left", "right"))
+            for v in np.flatnonzero(high > low):
+                own = words[starts[first[v]] : starts[first[v]] + self.window]
+                for k in range(low[v], high[v]):
+                    p = self.places[k]
+                    if self.words[self.owner[k]][p : p + self.window] == own:
+                        hit[v] = True
+                        items.add(self.ids[self.owner[k]])
+            runs += [(int(w), int(w) + self.window) for w in starts[hit[which]]]
         return len(words), merged(runs), sorted(items), norm
 
 
@@ -114,16 +151,13 @@ def original_spans(norm: bytes, runs: list[tuple[int, int]]) -> list[tuple[int,
     if not runs:
         return []
     at = [(m.start(), m.end()) for m in _WORD.finditer(norm)]
-
-    def point(byte: int) -> int:
+    out, done, points = [], 0, 0
+    for byte in (b for first, last in runs for b in (at[first][0], at[last - 1][1])):
         # continuation bytes are those that start with the bits 10
-        head = norm[:byte]
-        return len(head) - sum(map(head.count, _CONTINUATION))
-
-    return [(point(at[a][0]), point(at[b - 1][1])) for a, b in runs]
-
-
-_CONTINUATION = [bytes([b]) for b in range(0x80, 0xC0)]
+        part = np.frombuffer(norm, np.uint8, byte - done, done)
+        done, points = byte, points + len(part) - int(np.count_nonzero((part & 0xC0) == 0x80))
+        out.append(points)
+    return list(zip(out[::2], out[1::2], strict=True))
 
 
 def _scanner(items: tuple[tuple[str, str], ...], window: int) -> Scanner:
@@ -149,7 +183,7 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> It
     yield tuple(block)
 
 
-def _scan_block(docs: DataFrame, items: tuple[tuple[str, str], ...], window: int, only_hits: bool) -> DataFrame:
+def _scan_block(docs: DataFrame, items: tuple[tuple[str, str], ...], window: int, offsets: bool) -> DataFrame:
     key = docs.columns[0]
     schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, {_HITS}"
 
@@ -159,12 +193,10 @@ def _scan_block(docs: DataFrame, items: tuple[tuple[str, str], ...], window: int
             keys, counts, hits, spans, ids = [], [], [], [], []
             for k, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 n, runs, found, norm = scanner.scan(text.as_py())
-                if only_hits and not runs:
-                    continue
                 keys.append(k)
                 counts.append(n)
                 hits.append([{"first": a, "last": b} for a, b in runs])
-                spans.append([{"start": a, "stop": b} for a, b in original_spans(norm, runs)])
+                spans.append([{"start": a, "stop": b} for a, b in original_spans(norm, runs if offsets else [])])
                 ids.append(found)
             pair = lambda a, b: pa.list_(pa.struct([(a, pa.int64()), (b, pa.int64())]))
             yield pa.RecordBatch.from_arrays(
@@ -181,12 +213,12 @@ def _scan_block(docs: DataFrame, items: tuple[tuple[str, str], ...], window: int
     return docs.mapInArrow(run, schema)
 
 
-def _merge_hits(spark: SparkSession, docs: DataFrame, blocks, window: int) -> DataFrame:
+def _merge_hits(spark: SparkSession, docs: DataFrame, blocks, window: int, offsets: bool) -> DataFrame:
     """The way for a benchmark of several blocks: scan by block, then merge by row."""
     scratch = Scratch(spark, "decontaminate")
     rows = scratch.save(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
     keyed = rows.select("_row", "text")
-    parts = [scratch.save(_scan_block(keyed, b, window, only_hits=False), f"block-{i}") for i, b in enumerate(blocks)]
+    parts = [scratch.save(_scan_block(keyed, b, window, offsets), f"block-{i}") for i, b in enumerate(blocks)]
     both = parts[0]
     for part in parts[1:]:
         both = both.unionByName(part.filter(F.size("hits") > 0))
@@ -214,25 +246,30 @@ def _union(column: str, first: str, last: str):
 
 
 def find_contamination(
-    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES
+    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, offsets: bool = True
 ) -> DataFrame:
     """One row per document row: doc_id, n_words, hits, spans, items.
 
     ``hits`` are runs of hit words (first, last exclusive), ``spans`` the same as
-    code points of the original text, ``items`` the ids (as sorted strings) of the
+    code points of the original text (empty without ``offsets``), ``items`` the ids (as sorted strings) of the
     items that have an occurring window. Null and empty texts have no words and no
     hits; an empty benchmark hits nothing; repeated rows and repeated items count as
     they are (an item id once); other columns are not read.
     """
-    blocks = list(benchmark_blocks(benchmark, block_bytes))
+    blocks = benchmark_blocks(benchmark, block_bytes)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    if len(blocks) == 1:
-        return _scan_block(keyed, blocks[0], window, only_hits=False)
-    return _merge_hits(spark, keyed, blocks, window)
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return _scan_block(keyed, first, window, offsets)
+    return _merge_hits(spark, keyed, chain((first, second), blocks), window, offsets)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of docs without any hit, all columns as they are."""
+    """The rows of docs without any hit, all columns as they are.
+
+    Null and empty texts have no words and stay, as do all rows where the benchmark is
+    empty; each of repeated rows is judged alone. Columns may have any names but ``text``.
+    """
     out = docs
     for items in benchmark_blocks(benchmark):
         out = _keep_clean(out, items, window)

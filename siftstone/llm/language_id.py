@@ -172,7 +172,11 @@ def identify_language(docs: DataFrame, dictionaries: tuple[tuple[str, bytes], ..
 
 
 def keep_identified(docs: DataFrame, dictionaries: tuple[tuple[str, bytes], ...]) -> DataFrame:
-    """The rows whose language is not rejected, all columns as they are."""
+    """The rows whose language is not rejected, all columns as they are.
+
+    Null texts and texts without letters are rejected; without any learned language all
+    rows are. Repeated rows are judged alike. Columns may have any names but ``text``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(dictionaries)

@@ -227,7 +227,11 @@ def mix_documents(spark: SparkSession, docs: DataFrame, seed: int = SEED) -> Dat
 
 
 def mixed_rows(spark: SparkSession, docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The rows of docs that the mix takes, repeated ones twice, all columns as they are."""
+    """The rows of docs that the mix takes, repeated ones twice, all columns as they are.
+
+    Rows without words (null, empty and blank texts) are not taken. A null source is a
+    source of its own. Rows with equal doc_id rank together; an empty table stays empty.
+    """
     scratch = Scratch(spark, "mixing")
     columns = docs.columns
     keyed = docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), "text")

@@ -11,7 +11,8 @@ For scoring, two neighbouring places are one table of byte pairs.
 
 Training is plain gradient descent (Adam) on the driver over a sample of whole labelled
 texts: the rows with the smallest hash of doc_id, ``SAMPLE_ROWS`` of them or as many as
-``SAMPLE_BYTES`` hold. Scoring reads every byte of every text.
+``SAMPLE_BYTES`` hold. Texts over ``LONG_BYTES`` come after all others, so that a few long
+ones don't use up the sample. Scoring reads every byte of every text.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql.window import Window
 
 CHUNK, OVERLAP = 512, 64
 FILTERS, WIDTH = 16, 6
-SAMPLE_ROWS, SAMPLE_BYTES, EPOCHS, BATCH = 4_000, 4 << 20, 8, 32
+SAMPLE_ROWS, SAMPLE_BYTES, LONG_BYTES, EPOCHS, BATCH = 4_000, 4 << 20, 1 << 16, 8, 32
 #: Chunks of a long text, and bytes of short ones, that are convolved at once.
 GROUP_CHUNKS, GROUP_BYTES = 128, 1 << 16
 SEED = 7
@@ -202,7 +203,8 @@ def learn_quality(docs: DataFrame, labels: DataFrame, learn: Column) -> ByteCnn:
     """Fit on labelled rows where ``learn`` (over doc_id) holds, up to the sample bound.
 
     The sample is the labelled rows with the smallest hash of doc_id. A doc_id with
-    several labels counts once, with the largest; null labels and ids are left out.
+    several labels counts once, with the largest; null labels and ids are left out, and
+    equal texts of one doc_id count once.
     Null texts are empty ones; other columns are not read, whatever their names.
     """
     known = (
@@ -216,11 +218,15 @@ def learn_quality(docs: DataFrame, labels: DataFrame, learn: Column) -> ByteCnn:
     keyed = docs.select(F.col("doc_id").alias("own_id"), F.coalesce("text", F.lit("")).alias("text"))
     # At most about one and a half times the sample bound, so broadcast.
     rows = keyed.join(F.broadcast(some), F.col("own_id") == F.col("label_id"))
-    order = Window.orderBy("h", "own_id", F.xxhash64("text"))
-    held = F.sum(F.octet_length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumns({"rank": F.row_number().over(order), "held": held})
+    content = F.xxhash64("text").alias("content")
+    sizes = rows.select("own_id", "h", content, F.octet_length("text").cast("long").alias("size")).distinct()
+    order = Window.orderBy(F.col("size") > LONG_BYTES, "h", "own_id", "content")
+    held = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    sizes = sizes.withColumns({"rank": F.row_number().over(order), "held": held})
     # the first row counts however long it is; the driver holds no more than the bound beside it
-    rows = rows.filter((F.col("rank") <= SAMPLE_ROWS) & ((F.col("rank") == 1) | (F.col("held") <= SAMPLE_BYTES)))
+    chosen = sizes.filter((F.col("rank") <= SAMPLE_ROWS) & ((F.col("rank") == 1) | (F.col("held") <= SAMPLE_BYTES)))
+    chosen = chosen.select("own_id", "content", "rank")
+    rows = rows.withColumn("content", content).join(F.broadcast(chosen), ["own_id", "content"]).dropDuplicates(["rank"])
     rows = sorted(rows.select("rank", "label", "text").collect(), key=lambda r: r["rank"])
     return train([r["text"].encode("utf-8", "surrogatepass") for r in rows], [r["label"] for r in rows])
 

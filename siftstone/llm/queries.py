@@ -42,7 +42,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
-    return contamination_digest(find_contamination(spark, docs, benchmark))
+    return contamination_digest(find_contamination(spark, docs, benchmark, offsets=False))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

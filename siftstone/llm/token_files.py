@@ -301,7 +301,9 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     """Read shards back: doc_id, start, n_tokens, ids_crc32 of every document.
 
-    ``start`` counts the ids of all documents before it over all shards.
+    ``start`` counts the ids of all documents before it over all shards. A document has its
+    end token at least, rows that repeat a doc_id are documents of their own, and no shards
+    give an empty table.
     """
     # One row a shard: bounded by the number of partitions that wrote.
     shards = manifest.orderBy("part").collect()

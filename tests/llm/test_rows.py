@@ -146,6 +146,37 @@ def test_spans_are_code_points():
     assert text[a:b] == "ONE, two\nthree"
 
 
+def test_spans_of_many_runs_are_code_points():
+    scanner = decontaminate.Scanner((("1", "döt"),), 10)
+    text = "é—".join(["x", "DöT", "—döt,", "ü", "döt"])
+    _, runs, _, norm = scanner.scan(text.replace("—", " "))
+    spans = decontaminate.original_spans(norm, runs)
+    assert [text.replace("—", " ")[a:b].lower() for a, b in spans] == ["döt"] * len(spans) and len(spans) >= 1
+
+
+def test_repeated_words_cost_no_more_than_others():
+    import time
+
+    item, text = " ".join(["word"] * 40_000), " ".join(["word"] * 40_000)
+    scanner = decontaminate.Scanner((("1", item), ("2", item)), 10)
+    began = time.perf_counter()
+    assert scanner.scan(text)[:3] == (40_000, [(0, 40_000)], ["1", "2"])
+    assert time.perf_counter() - began < 2.0  # quadratic work takes minutes
+
+
+def test_a_benchmark_of_several_automata(spark, docs):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefghijklmnop", k=7))
+    items = [(i, " ".join(word() for _ in range(120))) for i in range(4600)]
+    assert sum(len(t) for _, t in items) > decontaminate.BLOCK_BYTES
+    cut = lambda i, a, b: " ".join(items[i][1].split()[a:b])
+    rows = docs((1, cut(0, 5, 30) + " and " + cut(4599, 90, 120)), (2, cut(7, 0, 9)), (3, None), (4, cut(4000, 50, 60)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {r.doc_id: (r.n_words, [tuple(h) for h in r.hits], list(r["items"])) for r in decontaminate.find_contamination(spark, rows, bench).collect()}
+    assert found == {1: (56, [(0, 25), (26, 56)], ["0", "4599"]), 2: (9, [], []), 3: (0, [], []), 4: (10, [(0, 10)], ["4000"])}
+    assert {r.doc_id for r in decontaminate.drop_contaminated(spark, rows, bench).collect()} == {2, 3}
+
+
 def test_contamination_edges_and_blocks(spark, docs):
     rows = docs(*EDGES, (7, "x y z"), (8, "alpha beta"))
     bench = spark.createDataFrame([(1, "x"), (2, None), (3, ""), (10, "alpha beta"), (10, "alpha beta")], "item_id long, text string")
@@ -310,11 +341,28 @@ def test_held_out_quality(spark):
     assert np.mean([g > b for g in good for b in bad]) >= 0.97
 
 
+def test_long_labelled_texts_leave_the_sample_whole(spark, docs):
+    """Texts of 6 and 4 MB that come first in hash order push no other row out."""
+    from pyspark.sql import functions as F
+
+    ids = spark.range(220).select("id", F.xxhash64("id").alias("h")).orderBy("h").select("id").toPandas()["id"].tolist()
+    text = lambda i: ("plain words in a row " if i % 2 else "%% $$ ## @@ !! ") * (2 + i % 7)
+    made = {i: text(i) for i in ids[:200]}
+    made[ids[0]], made[ids[2]] = text(ids[0]) * 150_000, text(ids[2]) * 100_000
+    assert len(made[ids[0]]) > 6 << 20 and len(made[ids[2]]) > 4 << 20
+    labels = spark.createDataFrame([(i, i % 2) for i in made], "doc_id long, quality int")
+    net = quality.learn_quality(docs(*made.items()), labels, F.lit(True))
+    assert all((net.score(text(i).encode()) >= 0.5) == (i % 2 == 1) for i in ids[200:])
+    # where all are long the sample is what fits, one text at least
+    only = quality.learn_quality(docs((ids[0], made[ids[0]]), (ids[2], made[ids[2]])), labels, F.lit(True))
+    assert 0 <= only.score(b"abc") <= 1
+
+
 def test_learning_reads_no_clashing_columns(spark, docs):
     from pyspark.sql import functions as F
 
     rows = docs(*[(i, ("good " if i % 2 else "%%% ") * 30) for i in range(40)], (None, "x"), (41, None))
-    clash = rows.withColumns({c: F.lit("?") for c in ("h", "label", "label_id", "rank", "held", "quality", "own_id")})
+    clash = rows.withColumns({c: F.lit("?") for c in ("h", "label", "label_id", "rank", "held", "quality", "own_id", "content", "size")})
     labels = spark.createDataFrame([(i, i % 2, "x") for i in range(40)] + [(3, 0, "x"), (None, 1, "x"), (5, None, "x"), (41, 0, "x")], "doc_id long, quality int, text string")
     plain, other = (quality.learn_quality(d, labels, F.col("doc_id") < 50) for d in (rows, clash))
     assert np.array_equal(plain.table, other.table)

@@ -412,3 +412,30 @@ def test_a_long_chain_takes_few_rounds(spark):
     assert all(got[1, f"k{i}"] == n - 1 - i for i in range(n))
     assert {got[2, c] for c in [*(f"k{i}" for i in range(50)), "tail", "self"]} == {None} and got[2, "free"] == 0
     assert got[3, "h"] == 0 and got[3, "a"] == 7 and got[3, "hub"] == 8 and got[3, "top"] == 9
+
+
+def test_pipeline_on_an_empty_table_nulls_and_clashing_columns(spark, tmp_path):
+    """No crash; nulls of any column end as the stages say, and all columns but the last stage's pass through."""
+    import shutil
+
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    source = spark.read.parquet(f"{sf}/documents.parquet")
+    odd = spark.createDataFrame([(None, None, None, None, None), (900_001, None, "en", None, 3), (900_002, "", None, "web", 0)], source.schema)
+    long = odd.limit(0).unionAll(spark.createDataFrame([(900_003, "The same words go on and on. " * 40_000, "en", None, None)], source.schema))
+    clash = source.unionAll(odd).unionAll(long)
+    for c in ("label", "rank", "size", "_row", "items", "h", "key", "root", "n"):
+        clash = clash.withColumn(c, F.lit(1))
+    for name, docs in (("empty", source.limit(0)), ("clash", clash)):
+        folder = f"{tmp_path}/{name}"
+        docs.write.parquet(f"{folder}/documents.parquet")
+        shutil.copy(f"{sf}/benchmark.parquet", f"{folder}/benchmark.parquet")
+        got = corpus_pipeline.run(spark, folder)
+        assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+        ids = {r.doc_id for r in got.collect()}
+        assert not ids if name == "empty" else ids and not ids & {None, 900_001, 900_002}
+    kept = spark.read.parquet(f"{tmp_path}/clash/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, f"{tmp_path}/clash")
+        assert kept.columns == clash.columns
