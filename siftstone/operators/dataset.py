@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from ..functions.contract import check_triage, triage_json
 from ..functions.text import word_count
 from ..schemas import ENUMS
-from .metrics import percentile
+from .metrics import percentiles
 from .quota import first_of_groups
 
 SYSTEM_PROMPT = (
@@ -89,15 +89,17 @@ def share_of_field(distribution: DataFrame) -> DataFrame:
 def text_stats(df: DataFrame) -> DataFrame:
     """One row: rows, min, p50, p95 and max characters, p50 words; 0 without rows."""
     chars = F.length(F.coalesce("text", F.lit("")))
-    whole = lambda c: F.bround(c, 0).cast("long")
+    p50, p95 = percentiles(df, chars, [50, 95])
+    (words,) = percentiles(df, word_count(F.coalesce("text", F.lit(""))), [50])
+    whole = lambda value: F.lit(round(value)).cast("long")
     zero = F.lit(0)
     return df.agg(
         F.count("*").alias("total"),
         F.coalesce(F.min(chars), zero).cast("long").alias("min_chars"),
-        whole(percentile(chars, 50)).alias("p50_chars"),
-        whole(percentile(chars, 95)).alias("p95_chars"),
+        whole(p50).alias("p50_chars"),
+        whole(p95).alias("p95_chars"),
         F.coalesce(F.max(chars), zero).cast("long").alias("max_chars"),
-        whole(percentile(word_count(F.coalesce("text", F.lit(""))), 50)).alias("p50_words"),
+        whole(words).alias("p50_words"),
     )
 
 

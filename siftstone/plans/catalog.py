@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import pii, text
 from ..functions.contract import exact_match, let, normalize_order_id, triage_json, valid_order_id, valid_request, valid_summary
 from ..functions.heuristics import with_keyword_triage
-from ..operators import agreement, batching, cost, dataset, funnel, metrics, near_dup, router, student, teacher
+from ..operators import agreement, batching, cost, dataset, funnel, metrics, near_dup, router, student, teacher, training
 from ..schemas import ENUMS, INTENTS, LABEL, PRODUCT_AREAS, STRUCTURED, TRIAGE, enum_dimension
 from ..sources import calls
 from ..sources.scratch import Scratch
@@ -516,7 +516,9 @@ def confusions_topk(spark, sf_dir):
 
 @query("SELECT quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.95) AS p95 FROM events")
 def latency_percentiles(spark, sf_dir):
-    return table(spark, sf_dir, "events").agg(metrics.percentile(F.col("value"), 50).alias("p50"), metrics.percentile(F.col("value"), 95).alias("p95"))
+    events = table(spark, sf_dir, "events")
+    p50, p95 = metrics.percentiles(events, F.col("value"), [50, 95])
+    return events.agg(F.lit(p50).alias("p50"), F.lit(p95).alias("p95"))
 
 
 @query(
@@ -619,6 +621,34 @@ def compare_answers(spark, sf_dir):
     return made.select("pos", told.alias("differs"))
 
 
+# --- training examples ---------------------------------------------------------
+
+
+def _training_examples(spark, sf_dir):
+    import public_tokenizers  # where this machine has its vocabulary files
+
+    records = training.answered_conversations(table(spark, sf_dir, "conversations"))
+    return training.training_examples(records, public_tokenizers.path("byte_bpe_50k.json"), key="conv_id")
+
+
+@query()
+def training_examples(spark, sf_dir):
+    """Every conversation up to its last answer, in token ids with the prompt masked."""
+    made = _training_examples(spark, sf_dir)
+    digest = lambda c: F.md5(F.array_join(F.col(c).cast("array<string>"), ",").cast("binary"))
+    ids, labels = digest("input_ids").alias("ids_md5"), digest("labels").alias("labels_md5")
+    return made.select("conv_id", F.size("input_ids").alias("n_tokens"), "n_masked", "truncated", ids, labels)
+
+
+@query()
+def training_batches(spark, sf_dir):
+    """What the padded batches hold, by bucket of length."""
+    made = training.training_batches(_training_examples(spark, sf_dir), key="conv_id")
+    tokens = F.aggregate(F.flatten("attention_mask"), F.lit(0).cast("long"), lambda a, x: a + x)
+    sums = (F.sum(F.size("keys")).alias("examples"), F.max("width").alias("longest"), F.sum(tokens).alias("tokens"))
+    return made.groupBy("bucket").agg(*sums)
+
+
 # --- cost and calls ------------------------------------------------------------
 
 

@@ -43,10 +43,20 @@ def test_f1_and_kappa(spark):
     assert metrics.cohen_kappa(pairs.limit(0), "g", "p").first()["kappa"] == 0.0
 
 
-def test_percentile(spark):
-    df = spark.createDataFrame([(float(i),) for i in (4, 1, 3, 2)], "x double")
-    assert df.agg(metrics.percentile(F.col("x"), 50)).first()[0] == 2.5
-    assert df.limit(0).agg(metrics.percentile(F.col("x"), 50)).first()[0] == 0.0
+def test_percentiles(spark, monkeypatch):
+    import numpy as np
+
+    rng = random.Random(3)
+    values = [rng.choice([1.5, 2.0, rng.random() * 10, -rng.expovariate(0.2)]) for _ in range(5000)] + [7.0] * 3000
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+    wanted = [0, 3, 50, 62.5, 95, 99.99, 100]
+    for few in (metrics.EXACT_ROWS, 40, 1):  # all gathered; ranges narrowed; down to single values
+        monkeypatch.setattr(metrics, "EXACT_ROWS", few)
+        got = metrics.percentiles(df, F.col("x"), wanted if few != 1 else [50, 95])
+        assert got == pytest.approx(np.percentile(values, wanted if few != 1 else [50, 95]).tolist())
+    four = spark.createDataFrame([(float(v),) for v in (4, 1, 3, 2)], "x double")
+    assert metrics.percentiles(four, F.col("x"), [50]) == [2.5]
+    assert metrics.percentiles(four.limit(0), F.col("x"), [50, 95]) == [0.0, 0.0]
 
 
 def test_matched_needs_equal_ids(spark):
