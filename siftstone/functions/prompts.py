@@ -1,71 +1,55 @@
-"""What teachers and students are told, in this engine's own words."""
+"""Requests to teachers and students, built from the schema of their answers.
+
+What a label means is data of a run, not of the engine: a guide is a mapping of field and
+value to a text, read from a file that the settings name. Without one a teacher gets the
+schema alone.
+"""
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..schemas import ENUMS, PRODUCT_AREAS
+from ..schemas import ENUMS
+from .contract import triage_schema
 
 #: Characters of a rejected answer that a repair quotes.
 QUOTED = 4000
 
-#: What each label means.
-MEANING = {
-    "intent": {
-        "order_status": "an order that has not come yet, or its tracking",
-        "refund_request": "money back for goods or a service",
-        "return_exchange": "sending goods back, or other goods in their place; not money",
-        "billing_issue": "a charge, invoice or payment that is wrong, unknown or failed",
-        "cancellation": "stopping an order before it ships, or a plan",
-        "technical_issue": "something broke that had worked",
-        "setup_help": "a first installation, pairing or setting",
-        "account_access": "signing in, passwords, codes, a locked or stolen account",
-        "product_question": "features, stock, price or warranty before buying, or in general",
-        "feedback": "praise, ideas or a complaint that asks for nothing",
-        "other": "anything that is not support: offers, spam, applications",
-    },
-    "urgency": {
-        "low": "questions, praise and routine changes",
-        "medium": "something is broken, late, missing or wrong",
-        "high": "danger, no security or heating, a stolen account, a near deadline, legal threats or a third contact",
-    },
-    "sentiment": {
-        "negative": "anger, disappointment or sarcasm",
-        "neutral": "all else, thanks in advance included",
-        "positive": "plain praise",
-    },
-    "product_area": {area: f"about {area.replace('_', ' or ')}" for area in PRODUCT_AREAS[:-1]} | {"none": "no one product"},
-}
-
-
-def guide() -> str:
-    """The labelling guide: every value of every field with its meaning."""
-    lines = ["Triage support tickets of a smart-home shop. Give these fields for each ticket."]
-    for name, values in ENUMS.items():
-        lines.append(f"{name}, one of:")
-        lines += [f"  {value}: {MEANING[name][value]}" for value in values]
-    lines.append("order_id: BL- and the six digits of an order that the ticket names, else null; never made up.")
-    lines.append("summary: one neutral English sentence of up to 25 words on the problem and the wish.")
-    return "\n".join(lines)
-
-
-def label_system() -> str:
-    return guide() + "\nAnswer with JSON alone."
-
-
-def zero_shot_system(student_system: str) -> str:
-    """What an untrained student is told: the guide and then the form of its answer."""
-    return f"{guide()}\n{student_system}"
-
-
-def generation_system() -> str:
-    topics = "\n".join(f"  {k}: {v}" for k, v in MEANING["intent"].items())
-    return (
-        "Write support tickets for a smart-home shop as its customers would: concrete, no two alike, no gaps to fill in. Keep to the "
-        "topic, tone, length and style of each specification. An order number is BL- and six digits, spelt as customers spell "
-        f"it; contact details are invented. Do not label the tickets. Topics:\n{topics}"
-    )
+Guide = Mapping[str, Mapping[str, str]]
+
+
+def checked_guide(guide: Guide | None) -> Guide:
+    """The guide, if its fields and values are those of the schema; rules of free fields go under ``""``."""
+    guide = guide or {}
+    known = {**{f: {*v, ""} for f, v in ENUMS.items()}, "order_id": {""}, "summary": {""}}
+    for name, values in guide.items():
+        if wrong := set(values) - known.get(name, set()):
+            raise ValueError(f"the guide explains {name}: {', '.join(sorted(wrong))}, which the schema doesn't have")
+    return guide
+
+
+def explained(guide: Guide | None, names: tuple[str, ...]) -> str:
+    """What the guide says of these fields, a line a value; empty without a guide."""
+    lines = [f"{n}.{value}: {text}" if value else f"{n}: {text}" for n in names for value, text in checked_guide(guide).get(n, {}).items()]
+    return "".join(f"\n{line}" for line in lines)
+
+
+def label_system(guide: Guide | None = None) -> str:
+    schema = json.dumps(triage_schema(True))
+    return f"Triage support tickets. Answer with JSON of this schema only: {schema}{explained(guide, (*ENUMS, 'order_id', 'summary'))}"
+
+
+def zero_shot_system(student_system: str, guide: Guide | None = None) -> str:
+    """What an untrained student is told: what a teacher is, and then the form of its own answer."""
+    return f"{label_system(guide)}\n{student_system}"
+
+
+def generation_system(guide: Guide | None = None) -> str:
+    return f"Write support tickets as customers would. Answer with JSON of this schema only: {json.dumps(generation_schema())}{explained(guide, ('intent',))}"
 
 
 def ticket_blocks(items: Column) -> Column:
@@ -75,22 +59,20 @@ def ticket_blocks(items: Column) -> Column:
 
 
 def label_request(items: Column) -> Column:
-    """The user part of a batch."""
-    ask = '{"items": [...]} with one object a ticket, in order, its id first.\n'
-    return F.concat(F.lit("Triage these "), F.size(items).cast("string"), F.lit(" tickets as " + ask), ticket_blocks(items))
+    """The user part of a batch: its size and its tickets."""
+    return F.concat(F.lit("Tickets: "), F.size(items).cast("string"), F.lit("\n"), ticket_blocks(items))
 
 
 def repair_request(items: Column, errors: Column, answer: Column) -> Column:
-    """The batch of failed tickets again, with what was wrong and the answer that was."""
-    listed = F.array_join(F.transform(errors, lambda e: F.concat(F.lit("- "), e)), "\n")
+    """The batch of failed tickets again, with the errors of the last answer and that answer."""
+    listed = F.array_join(errors, "\n")
     quoted = F.substring(F.coalesce(answer, F.lit("")), 1, QUOTED)
-    return F.concat(label_request(items), F.lit("\nYour last answer broke these rules:\n"), listed, F.lit("\nIt was:\n"), quoted, F.lit("\nCorrect it for these tickets."))
+    return F.concat(label_request(items), F.lit("\nErrors of the last answer:\n"), listed, F.lit("\nLast answer:\n"), quoted)
 
 
 def generation_request(specs: Column) -> Column:
-    """The user part of a generation call from an array of specifications in JSON."""
-    form = 'Write one ticket a specification, as {"items": [{"id": ..., "text": ...}]} in order. short is 1 or 2 sentences, medium 3 to 5, long 6 to 10.\n'
-    return F.concat(F.lit(form), F.array_join(specs, "\n"))
+    """The user part of a generation call: one specification in JSON a line."""
+    return F.concat(F.lit("Specifications, one a ticket:\n"), F.array_join(specs, "\n"))
 
 
 def generation_schema() -> dict:

@@ -35,6 +35,7 @@ class RunConfig:
     seconds_between_calls: float = 3.0
     call_tasks: int = 4
     cache_dir: str | None = None
+    guide_path: str | None = None
     val_fraction: float = 0.12
     student: str = "keyword"
     min_confidence: float | str = "auto"

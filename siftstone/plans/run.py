@@ -64,10 +64,7 @@ class Run:
         return new
 
     def asker(self, stage: str, models, schema: dict | None = None) -> teacher.RemoteTeacher:
-        """Who answers for the models of a stage, with the run's cache, ledger, budget and pace.
-
-        Spacing holds for the whole run, so each of its tasks waits as many times longer.
-        """
+        """Who answers for the models of a stage, with the run's cache, ledger, budget, guide and pace."""
         c = self.config
         settings = {"effort": c.reasoning_effort, "max_tokens": c.max_tokens, "timeout": c.timeout_seconds, "schema": schema or triage_schema(True)}
         made = {}
@@ -77,7 +74,8 @@ class Run:
                 made[m] = endpoint(m, free_only=c.require_free_models, **settings, **own)
         pace = {"spacing": c.seconds_between_calls, "retries": c.max_retries, "base": c.retry_seconds, "tasks": c.call_tasks}
         now = datetime.now(UTC).isoformat(timespec="seconds")
-        return teacher.RemoteTeacher(self.spark, made, stage, c.cache_dir or self.at["cache"], self.at["calls"], now, c.max_calls, **pace)
+        guide = tables.read_document(self.spark, c.guide_path) if c.guide_path else None
+        return teacher.RemoteTeacher(self.spark, made, stage, c.cache_dir or self.at["cache"], self.at["calls"], now, c.max_calls, guide, **pace)
 
     def label(self) -> DataFrame:
         rows = tables.read_jsonl(self.spark, self._need("generated", "generate"), RAW)

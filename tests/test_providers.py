@@ -124,10 +124,17 @@ def test_http_errors():
     assert failed.value.status is None and not failed.value.final
 
 
-def test_the_guide_explains_every_label():
-    assert {f: set(v) for f, v in prompts.MEANING.items()} == {f: set(v) for f, v in ENUMS.items()}
-    for values in ENUMS.values():
-        assert all(f"  {v}: " in prompts.label_system() for v in values)
+def test_requests_follow_the_schema_and_the_guide():
+    plain = prompts.label_system()
+    assert all(f'"{v}"' in plain for values in ENUMS.values() for v in values)
+    guide = {"urgency": {"high": "a deadline is near", "": "one of three"}, "summary": {"": "one sentence"}}
+    told = prompts.label_system(guide)
+    assert told.startswith(plain) and told.endswith("\nurgency.high: a deadline is near\nurgency: one of three\nsummary: one sentence")
+    assert prompts.generation_system({"intent": {"other": "no request"}}).endswith("\nintent.other: no request")
+    assert prompts.generation_system(guide) == prompts.generation_system()
+    for wrong in ({"urgency": {"soon": "x"}}, {"mood": {"": "x"}}):
+        with pytest.raises(ValueError, match="the schema doesn't have"):
+            prompts.label_system(wrong)
 
 
 def scripted(url, headers, body, timeout):
@@ -135,12 +142,12 @@ def scripted(url, headers, body, timeout):
     system, user = (m["content"] for m in body["messages"])
     if "bomb" in user:
         raise CallFailed("400: not that", 400)
-    if "Write one ticket" in user:
+    if "Specifications" in user:
         specs = [json.loads(line) for line in user.splitlines() if line.startswith("{")]
         items = [{"id": s["id"], "text": f"I write about {s['topic']}"} for s in specs] + [{"id": "nobody", "text": "x"}, {"id": specs[0]["id"], "text": "again"}]
         items[-3]["text"] = " "
         return chat(json.dumps({"items": items}), "served:free")
-    repairing = "broke these rules" in user
+    repairing = "Errors of the last answer" in user
     if repairing:
         assert '"urgency": "soon"' in user and "urgency: not an allowed value" in user
     urgency = "low" if repairing else "soon"
