@@ -57,12 +57,14 @@ def both_valid(labeled: DataFrame) -> DataFrame:
 
 def agreement_table(labeled: DataFrame, fields: tuple[str, ...] = STRUCTURED) -> DataFrame:
     """(field, n, agreement, kappa) for each field, over rows valid for both."""
-    pairs = both_valid(labeled)
-    out = []
-    for field in fields:
-        one = pairs.select(F.col(f"a.{field}").alias("x"), F.col(f"b.{field}").alias("y"))
-        out.append(cohen_kappa(one, "x", "y").select(F.lit(field).alias("field"), "n", F.col("observed").alias("agreement"), "kappa"))
-    return reduce(DataFrame.unionByName, out)
+    # one row a field, so that one scan and one aggregation judge all fields
+    sides = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"a.{f}").alias("x"), F.col(f"b.{f}").alias("y")) for f in fields])
+    found = cohen_kappa(both_valid(labeled).select(F.inline(sides)), "x", "y", ("field",))
+    every = labeled.sparkSession.createDataFrame([(f,) for f in fields], "field string").join(found, "field", "left")
+    none = F.lit(0.0)
+    return every.select(
+        "field", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("observed", none).alias("agreement"), F.coalesce("kappa", none).alias("kappa")
+    )
 
 
 def all_fields_agreement(labeled: DataFrame, fields: tuple[str, ...] = STRUCTURED) -> DataFrame:

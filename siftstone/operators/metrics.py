@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,8 +88,8 @@ def latency_summary(df: DataFrame, values: Column) -> list[Column]:
     return [F.coalesce(F.avg(values), F.lit(0.0)).alias("mean"), F.lit(p50).alias("p50"), F.lit(p95).alias("p95")]
 
 
-def class_counts(pairs: DataFrame, gold: str, predicted: str) -> DataFrame:
-    """(label, tp, n_gold, n_pred) of every class on either side.
+def class_counts(pairs: DataFrame, gold: str, predicted: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, label, tp, n_gold, n_pred) of every class on either side.
 
     Each row is counted under its gold and its predicted class, so one partial
     aggregation over classes does and rows never meet. A null is a class of its own.
@@ -101,8 +100,8 @@ def class_counts(pairs: DataFrame, gold: str, predicted: str) -> DataFrame:
         F.struct(p.alias("label"), F.lit(0).alias("tp"), F.lit(0).alias("g"), F.lit(1).alias("p")),
     )
     return (
-        pairs.select(F.explode(sides).alias("s"))
-        .groupBy("s.label")
+        pairs.select(*by, F.explode(sides).alias("s"))
+        .groupBy(*by, "s.label")
         .agg(*[F.sum(f"s.{k}").alias(v) for k, v in (("tp", "tp"), ("g", "n_gold"), ("p", "n_pred"))])
     )
 
@@ -112,30 +111,31 @@ def _f1() -> Column:
     return F.coalesce(F.try_divide(2.0 * F.col("tp"), F.col("n_gold") + F.col("n_pred")), F.lit(0.0))
 
 
-def per_class_f1(pairs: DataFrame, gold: str, predicted: str, labels: DataFrame | None = None) -> DataFrame:
-    """(label, f1) of the given labels, or of those that occur in gold.
+def per_class_f1(pairs: DataFrame, gold: str, predicted: str, labels: DataFrame | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, label, f1) of the given labels, or of those that occur in gold.
 
-    A label without rows scores 0. ``labels`` has one column, label.
+    A label without rows scores 0. ``labels`` has the columns of ``by`` and label.
     """
-    counts = class_counts(pairs, gold, predicted)
+    counts, key = class_counts(pairs, gold, predicted, by), [*by, "label"]
     if labels is None:
-        return counts.filter("n_gold > 0").select("label", _f1().alias("f1"))
-    return labels.join(counts, "label", "left").select("label", F.coalesce(_f1(), F.lit(0.0)).alias("f1"))
+        return counts.filter("n_gold > 0").select(*key, _f1().alias("f1"))
+    return labels.join(counts, key, "left").select(*key, F.coalesce(_f1(), F.lit(0.0)).alias("f1"))
 
 
-def macro_f1(pairs: DataFrame, gold: str, predicted: str, labels: DataFrame | None = None) -> DataFrame:
-    """One row: the unweighted mean of the F1 scores."""
-    return per_class_f1(pairs, gold, predicted, labels).agg(F.coalesce(F.avg("f1"), F.lit(0.0)).alias("macro_f1"))
+def macro_f1(pairs: DataFrame, gold: str, predicted: str, labels: DataFrame | None = None, by: tuple[str, ...] = ()) -> DataFrame:
+    """The unweighted mean of the F1 scores: one row, or one a group of ``by``."""
+    scores = per_class_f1(pairs, gold, predicted, labels, by)
+    return scores.groupBy(*by).agg(F.coalesce(F.avg("f1"), F.lit(0.0)).alias("macro_f1"))
 
 
-def cohen_kappa(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """One row (n, observed, expected, kappa) for two annotators.
+def cohen_kappa(pairs: DataFrame, a: str, b: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, n, observed, expected, kappa) for two annotators: one row, or one a group of ``by``.
 
     Without rows kappa is 0. Where chance alone agrees on everything it is 1 if the
     annotators do, else 0.
     """
-    counts = class_counts(pairs, a, b)
-    total = counts.agg(
+    counts = class_counts(pairs, a, b, by)
+    total = counts.groupBy(*by).agg(
         F.coalesce(F.sum("n_gold"), F.lit(0)).alias("n"),
         F.coalesce(F.sum("tp"), F.lit(0)).alias("hits"),
         F.coalesce(F.sum(F.col("n_gold") * F.col("n_pred")), F.lit(0)).alias("chance"),
@@ -148,7 +148,7 @@ def cohen_kappa(pairs: DataFrame, a: str, b: str) -> DataFrame:
         .when(one(expected), F.when(one(observed), 1.0).otherwise(0.0))
         .otherwise((observed - expected) / (1 - expected))
     )
-    return total.select("n", observed.alias("observed"), expected.alias("expected"), kappa.alias("kappa"))
+    return total.select(*by, "n", observed.alias("observed"), expected.alias("expected"), kappa.alias("kappa"))
 
 
 def confusions(pairs: DataFrame, gold: str, predicted: str, top: int = 8, pos: str = "pos") -> DataFrame:
@@ -199,14 +199,12 @@ def score_system(spark: SparkSession, rows: DataFrame) -> dict:
     }
     aggs = [F.count("*").alias("items"), *[c.alias(k) for k, c in named.items()], *latency_summary(rows, F.col("p_latency_s"))]
     one = rows.agg(*aggs).first()
-    flat = rows.select("pos", *[x for f in ENUMS for x in (truth[f].alias(f"g_{f}"), predicted(f).alias(f"p_{f}"))])
-    dimension = enum_dimension(spark)
-    f1 = [
-        macro_f1(flat, f"g_{f}", f"p_{f}", dimension.filter(F.col("field") == f).select(F.col("value").alias("label"))).withColumn("field", F.lit(f))
-        for f in ENUMS
-    ]
-    f1 = {r["field"]: r["macro_f1"] for r in reduce(DataFrame.unionByName, f1).collect()}
-    wrong = confusions(flat, "g_intent", "p_intent").collect()
+    # one row a field, so that one scan scores all fields
+    sides = F.array(*[F.struct(F.lit(f).alias("field"), truth[f].alias("g"), predicted(f).alias("p")) for f in ENUMS])
+    flat = rows.select("pos", F.inline(sides))
+    classes = enum_dimension(spark).select("field", F.col("value").alias("label"))
+    f1 = {r["field"]: r["macro_f1"] for r in macro_f1(flat, "g", "p", classes, ("field",)).collect()}
+    wrong = confusions(rows.select("pos", truth["intent"].alias("g"), predicted("intent").alias("p")), "g", "p").collect()
     return {
         "items": one["items"],
         **{k: round(one[k], 4) for k in ("json_valid_rate", "schema_valid_rate", "exact_match", "summary_rouge_l")},

@@ -15,7 +15,7 @@ from ..functions import pii, text
 from ..functions.contract import exact_match, let, normalize_order_id, triage_json, valid_order_id, valid_request, valid_summary
 from ..functions.heuristics import with_keyword_triage
 from ..operators import agreement, batching, cost, dataset, funnel, metrics, near_dup, router, student, teacher, training
-from ..schemas import ENUMS, INTENTS, LABEL, PRODUCT_AREAS, STRUCTURED, TRIAGE, enum_dimension
+from ..schemas import ENUMS, FIELDS, INTENTS, LABEL, PRODUCT_AREAS, STRUCTURED, TRIAGE, enum_dimension
 from ..sources import calls
 from ..sources.scratch import Scratch
 from ..streaming import routing
@@ -803,7 +803,7 @@ def _sql_first(words: dict[str, tuple[str, ...]], default: str) -> str:
     return "CASE " + " ".join(f"WHEN {_sql_hits(w)} > 0 THEN '{k}'" for k, w in words.items()) + f" ELSE '{default}' END"
 
 
-def _sql_keyword(source: str) -> str:
+def _sql_keyword(source: str, high: int = 1) -> str:
     from ..functions import heuristics as h
 
     low = ", ".join(f"'{i}'" for i in h.LOW_URGENCY_INTENTS)
@@ -816,7 +816,7 @@ def _sql_keyword(source: str) -> str:
         SELECT id, intent, product_area, order_id, 'Customer has a ' || replace(intent, '_', ' ') || ' request'
         || CASE WHEN product_area = 'none' THEN '' ELSE ' about their ' || replace(product_area, '_', ' ') END
         || coalesce(' (order ' || order_id || ')', '') || '.' AS summary, CASE WHEN neg > pos_ THEN 'negative' WHEN pos_ > neg THEN 'positive' ELSE 'neutral' END AS sentiment,
-        CASE WHEN high >= 1 THEN 'high' WHEN intent IN ({low}) THEN 'low' ELSE 'medium' END AS urgency,
+        CASE WHEN high >= {high} THEN 'high' WHEN intent IN ({low}) THEN 'low' ELSE 'medium' END AS urgency,
         round(least(1.0::DOUBLE, 0.35::DOUBLE + 0.2::DOUBLE * won + CASE WHEN product_area <> 'none' THEN 0.1::DOUBLE ELSE 0 END), 3) AS confidence FROM k"""
 
 
@@ -917,13 +917,25 @@ def label_tickets(spark, sf_dir):
     return made.select("id", label(0).alias("first"), label(1).alias("second"), F.col("labels")[0]["repaired"].alias("repaired"))
 
 
-@query()
+# fields hold no character that JSON escapes
+_SQL_RAW = "'{' || " + " || ', ' || ".join(f"""'"{f}": ' || coalesce('"' || {f} || '"', 'null')""" for f in FIELDS) + " || '}'"
+
+
+@query(f"SELECT id, {_SQL_RAW} AS raw, confidence FROM ({_sql_keyword('SELECT CAST(doc_id AS VARCHAR) AS id, text FROM documents')})")
 def keyword_student(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), F.col("doc_id").cast("string").alias("id"), "text")
     return student.keyword_student(rows).select("id", "raw", "confidence")
 
 
-@query()
+_SQL_REQUESTS = "SELECT CAST(item_id AS VARCHAR) AS id, text FROM benchmark"
+
+
+@query(
+    f"""SELECT id, CASE WHEN s.confidence >= 0.6 THEN s.raw ELSE t.raw END AS answer, CASE WHEN s.confidence >= 0.6 THEN 'student' ELSE 'teacher' END AS source,
+        printf('confidence %.2f ', s.confidence) || CASE WHEN s.confidence >= 0.6 THEN 'at or above' ELSE 'below' END || ' 0.60' AS reason
+        FROM (SELECT id, {_SQL_RAW} AS raw, confidence FROM ({_sql_keyword(_SQL_REQUESTS)})) AS s
+        JOIN (SELECT id, {_SQL_RAW} AS raw FROM ({_sql_keyword(_SQL_REQUESTS, high=2)})) AS t USING (id)"""
+)
 def online_router(spark, sf_dir):
     """The online router on a batch of benchmark texts."""
     rows = table(spark, sf_dir, "benchmark").select(F.col("item_id").cast("string").alias("id"), "text")

@@ -51,10 +51,8 @@ class Run:
             old = tables.read_raw(self.spark, self.at["generated"])
             new = tables.append_records(old, new)
             manifest = tables.read_document(self.spark, self.at["generation"]) or manifest
-        staged = self.at["generated"] + ".new"
-        tables.write_jsonl(new, staged)
-        new = tables.read_raw(self.spark, staged)
         tables.write_jsonl(new, self.at["generated"])
+        new = tables.read_raw(self.spark, self.at["generated"])
         n = new.count()
         if imports:
             manifest["imported"] = n

@@ -5,7 +5,9 @@ import sys
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
+from siftstone.operators import teacher
 from siftstone.sources import calls, tables
 from siftstone.streaming import routing
 
@@ -26,6 +28,60 @@ def test_bad_lines_raise(spark, tmp_path):
         tables.read_jsonl(spark, str(tmp_path / "x.jsonl"), "id string").collect()
 
 
+def test_bad_lines_are_named_by_file_and_line(spark, tmp_path):
+    """In files that several tasks read, with blank lines and more than one bad one."""
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for name, bad in (("a", (700, 20)), ("b", ())):
+        lines = ["" if i % 7 == 3 else json.dumps({"id": f"é{i}"}, ensure_ascii=False) for i in range(1, 1001)]
+        for i in bad:
+            lines[i - 1] = "{bad"
+        (folder / f"{name}.jsonl").write_text("\n".join(lines) + "\n")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in kept:
+            spark.conf.set(k, "1000b" if "max" in k else "0b")
+        with pytest.raises(ValueError, match="a.jsonl:20: not a JSON record: {bad"):
+            tables.read_jsonl(spark, str(folder), "id string")
+        found = tables.bad_lines(spark, str(folder), "id string")
+        assert {(r.file.rsplit("/", 1)[-1], r.line, r.text) for r in found.collect()} == {("a.jsonl", 700, "{bad"), ("a.jsonl", 20, "{bad")}
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() > 10
+        (folder / "a.jsonl").unlink()
+        ids = [r.id for r in tables.read_jsonl(spark, str(folder), "id string").orderBy("pos").collect()]
+        assert ids == [f"é{i}" for i in range(1, 1001) if i % 7 != 3]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("line", ['[{"n": 1}]', "7", '"x"', '{"n": "x"}', '{"n": 1} more', '{"n": [1]}'])
+def test_lines_that_break_the_schema_raise(spark, tmp_path, line):
+    (tmp_path / "x.jsonl").write_text('{"n": 1}\n' + line + "\n")
+    with pytest.raises(ValueError, match="x.jsonl:2: not a JSON record"):
+        tables.read_jsonl(spark, str(tmp_path / "x.jsonl"), "n long")
+
+
+def test_a_failed_write_leaves_the_rows_of_before(spark, tmp_path):
+    path = f"file://{tmp_path}/t.jsonl"
+    tables.write_jsonl(spark.range(3), path)
+    half = spark.range(9, numPartitions=3).select(F.when(F.col("id") == 8, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        tables.write_jsonl(half, path)
+    rows = lambda: sorted(r.id for r in tables.read_jsonl(spark, path, "id long").collect())
+    assert rows() == [0, 1, 2]
+    assert [p.name for p in tmp_path.iterdir()] == ["t.jsonl"]
+    # a table may replace itself, and one whose swap did not end is read under its old name
+    tables.write_jsonl(spark.read.schema("id long").json(path).filter("id > 0"), path)
+    assert rows() == [1, 2]
+    (tmp_path / "t.jsonl").rename(tmp_path / "t.jsonl.old")
+    assert tables.exists(spark, path) and rows() == [1, 2]
+    tables.write_jsonl(spark.range(1), path)
+    assert rows() == [0] and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["t.jsonl"]
+    tables.write_document(spark, {"a": 1}, f"{path}.doc")
+    tables.write_document(spark, {"a": 2}, f"{path}.doc")
+    assert tables.read_document(spark, f"{path}.doc") == {"a": 2}
+
+
 def test_imports(spark, tmp_path):
     (tmp_path / "t.csv").write_text('id,text\n,"  one, with ""quotes"" "\nb,two\n')
     got = {r.pos: (r.id, r.text, r.source) for r in tables.import_records(spark, str(tmp_path / "t.csv")).collect()}
@@ -59,6 +115,54 @@ def test_stream_of_texts(spark, tmp_path):
     assert got == {"1": "student", "2": "none"}
 
 
+def failing(tickets, model, repairing):
+    """A teacher that is away."""
+    made = tickets.groupBy("batch").agg(F.lit(None).cast("string").alias("text"))
+    return made.withColumn("failure", F.lit("busy"))
+
+
+TEXTS = [("1", "Where is my order? The package is late"), ("2", "zzz"), ("3", "my bulb, my bulb, what a bulb")]
+
+
+def test_a_batch_that_comes_again_changes_nothing(spark, tmp_path):
+    folder = f"file://{tmp_path}/answers"
+    sink, texts = routing.batch_sink(folder), spark.createDataFrame(TEXTS, "id string, text string")
+    for number, rows in ((0, texts), (1, texts.filter("id = 2")), (0, texts)):
+        sink(routing.answer_batch(rows, 0.5, None), number)
+    got = routing.written_answers(spark, folder).collect()
+    assert sorted((r.batch, r.id) for r in got) == [(0, "1"), (0, "2"), (0, "3"), (1, "2")]
+    assert {r.id: r.triage.intent for r in got if r.triage}["1"] == "order_status"
+
+
+def test_a_teacher_that_fails_is_told(spark):
+    texts = spark.createDataFrame(TEXTS, "id string, text string")
+    got = {r.id: r for r in routing.answer_batch(texts, 0.5, "offline-a", failing).collect()}
+    assert got["1"].source == "student" and "teacher" not in got["1"].reason
+    assert got["2"].source == "none" and got["2"].triage is None and "; teacher error: " in got["2"].reason
+
+
+def test_comparison_asks_for_what_has_no_answer(spark):
+    from siftstone.schemas import TRIAGE
+
+    own = ("other", "high", "neutral", "none", None, "A text of three letters.")
+    rows = [(i, t, own if i == "2" else None) for i, t in TEXTS] + [("4", "", None)]
+    texts = spark.createDataFrame(rows, f"id string, text string, teacher {TRIAGE}")
+    seen = []
+
+    def ask(tickets, model, repairing):
+        seen.extend(r.id for r in tickets.select("id").collect())
+        return teacher.offline_answers(tickets, model, repairing)
+
+    got = {r.id: r for r in routing.compare_batch(texts, 0.5, "offline-b", ask).collect()}
+    assert sorted(set(seen)) == ["1", "3"] and sorted(got) == ["1", "2", "3"]  # a student's sure answer is asked for too
+    assert got["2"].differs == ["urgency", "summary"] and got["2"].teacher_model is None
+    assert got["1"].teacher_model == "offline-b" and got["1"].route == "student" and got["1"].teacher is not None
+    away = {r.id: r for r in routing.compare_batch(texts.drop("teacher"), 0.5, "offline-b", failing).collect()}
+    assert all(r.teacher is None and r.teacher_error and r.student is not None and r.differs == [] for r in away.values())
+    alone = routing.compare_batch(texts.drop("teacher"), 0.5, None).collect()
+    assert {r.teacher_error for r in alone} == {"no teacher"}
+
+
 def scripted():
     """Makes clients that are busy at first and then answer; texts with "bad" fail for good."""
 
