@@ -321,7 +321,7 @@ def neardup_pairs(spark, sf_dir):
 
 
 def _class_pairs(spark, texts):
-    scratch = Scratch(spark, "neardup-pairs")
+    scratch = Scratch(spark, "neardup-pairs", "zstd")
     norms = scratch.save(near_dup.normalised(near_dup.spread(texts)), "norms")
     members = scratch.save(near_dup.with_classes(norms), "members")
     reps = scratch.save(near_dup.representatives(norms, members), "reps")

@@ -200,18 +200,36 @@ def test_a_family_of_variants_costs_pairs_in_proportion(spark, monkeypatch):
         own[rng.randrange(40)] = word()
         rows.append((i, " ".join(own)))
     counted = []
-    plain = near_dup.similarities
 
-    def similarities(pairs, norms, size=near_dup.SHINGLE):
-        counted.append(pairs.count())
-        return plain(pairs, norms, size)
+    def counting(plain):
+        def compared(pairs, norms, size=near_dup.SHINGLE):
+            counted.append(pairs.count())
+            return plain(pairs, norms, size)
 
-    monkeypatch.setattr(near_dup, "similarities", similarities)
+        return compared
+
+    for name in ("similarities", "tiled_similarities"):
+        monkeypatch.setattr(near_dup, name, counting(getattr(near_dup, name)))
     got = near_dup.near_duplicates(spark, spark.createDataFrame(rows, "pos long, text string"), mode="lsh").collect()
     assert len(got) >= 0.99 * 4999 and all(r.of == 0 for r in got if r.similarity > 0.8)
     assert sum(counted) <= 4 * len(rows)
 
 
+def test_tiles_give_the_same_similarities(spark, monkeypatch):
+    """Whole components, components cut on both sides, and none."""
+    rows = [(i, " ".join(f"w{(i * 7 + k * k) % 23}" for k in range(30 + i % 5))) for i in range(40)]
+    norms = near_dup.normalised(spark.createDataFrame(rows, "pos long, text string"))
+    some = [(i, j) for i in range(40) for j in range(i + 1, 40) if (i + j) % 3 == 0 and (i < 20) == (j < 20)]
+    pairs = spark.createDataFrame(some, "i long, j long")
+    read = lambda df: sorted((r.i, r.j, r.similarity) for r in df.collect())
+    want = read(near_dup.similarities(pairs, norms))
+    assert len(want) == len(some)
+    for most in (near_dup.TILE_BYTES, 500):
+        monkeypatch.setattr(near_dup, "TILE_BYTES", most)
+        assert read(near_dup.tiled_similarities(pairs, norms)) == want
+    assert read(near_dup.tiled_similarities(pairs.limit(0), norms)) == []
+
+
 def test_lsh_recall_on_documents(spark):
     """Of the duplicates that the exact way finds in a table, nine of ten at least."""
     from siftstone.plans import catalog
