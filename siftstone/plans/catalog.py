@@ -219,7 +219,11 @@ def balance_cap(spark, sf_dir):
 @query()
 def funnel_steps(spark, sf_dir):
     """The whole funnel as its table of steps; near duplicates make it a loop."""
-    made = funnel.run_funnel(spark, tickets(spark, sf_dir)).funnel
+    return _funnel_table(funnel.run_funnel(spark, tickets(spark, sf_dir)))
+
+
+def _funnel_table(result: funnel.FunnelResult) -> DataFrame:
+    made = result.funnel
     reasons = F.array_join(F.transform(F.array_sort(F.map_entries("reasons")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ";")
     return made.select("ord", "name", "kept", "dropped", "modified", reasons.alias("reasons"))
 
@@ -264,12 +268,42 @@ def pii_counts(spark, sf_dir):
     return found.select("doc_id", n("email"), n("card"))
 
 
-@query()
+# RE2 looks neither back nor ahead: a mark follows each character that a number may follow. A match
+# takes the mark before it and the character after it, so that the next match still has its own mark.
+_RE_WORD = r"\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{200c}\x{200d}"
+_RE_GAP = r"(?:[\t-\r\x{85}\p{Z}.]\x01|-)?"
+_RE_PHONE = (
+    rf"\x01((?:\+\x01\p{{Nd}}{{1,3}}{_RE_GAP})?(?:\(\x01\p{{Nd}}{{2,4}}\)\x01{_RE_GAP})?"
+    rf"\p{{Nd}}{{2,4}}(?:{_RE_GAP}\p{{Nd}}{{2,4}}){{2,4}})($|[^{_RE_WORD}-])"
+)
+
+
+def _sql_phone(source: str) -> str:
+    """(doc_id, clean, phone) of rows (doc_id, text) without the character 1."""
+    return rf"""WITH marked AS (SELECT doc_id, chr(1) || regexp_replace(text, '([^{_RE_WORD}-])', '\1' || chr(1), 'g') AS t FROM ({source})),
+        cut AS (SELECT doc_id, string_split_regex(t, '{_RE_PHONE}') AS b, regexp_extract_all(t, '{_RE_PHONE}') AS m,
+                       regexp_extract_all(t, '{_RE_PHONE}', 1) AS number, regexp_extract_all(t, '{_RE_PHONE}', 2) AS behind FROM marked),
+        judged AS (SELECT *, [length(regexp_replace(x, '\P{{Nd}}', '', 'g')) >= {pii.PHONE_DIGITS} FOR x IN number] AS ok FROM cut)
+        SELECT doc_id, replace(array_to_string([b[i] || CASE WHEN i > len(m) THEN '' WHEN ok[i] THEN '[PHONE]' || behind[i] ELSE m[i] END
+                   FOR i IN range(1, len(b) + 1)], ''), chr(1), '') AS clean, len(list_filter(ok, lambda x: x)) AS phone FROM judged"""
+
+
+def _sql_scrub(source: str) -> str:
+    """(doc_id, clean, email, card, phone) of rows (doc_id, text): all kinds in order."""
+    return f"""WITH mail AS (SELECT doc_id, len(regexp_extract_all(text, '{_RE_EMAIL}')) AS email, regexp_replace(text, '{_RE_EMAIL}', '[EMAIL]', 'g') AS text FROM ({source})),
+        cards AS (SELECT doc_id, email, len(regexp_extract_all(text, '{_RE_CARD}')) AS card, regexp_replace(text, '{_RE_CARD}', '[CARD]', 'g') AS text FROM mail)
+        SELECT doc_id, clean, email, card, phone FROM ({_sql_phone('SELECT doc_id, text FROM cards')}) JOIN cards USING (doc_id)"""
+
+
+@query(f"SELECT doc_id, clean FROM ({_sql_phone('SELECT doc_id, text FROM documents')})")
 def pii_phone(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", pii.scrub_phone(F.col("text")).alias("clean"))
 
 
-@query()
+@query(
+    f"""SELECT doc_id, clean, concat_ws(',', CASE WHEN email > 0 THEN 'email=' || email END, CASE WHEN card > 0 THEN 'card=' || card END,
+               CASE WHEN phone > 0 THEN 'phone=' || phone END) AS found FROM ({_sql_scrub('SELECT doc_id, text FROM documents')})"""
+)
 def pii_scrub(spark, sf_dir):
     """All kinds in order, with what was replaced."""
     made = pii.with_scrubbed(table(spark, sf_dir, "documents"), "text", "clean", "counts")
@@ -333,7 +367,24 @@ def neardup_all_pairs(spark, sf_dir):
     return _class_pairs(spark, _texts(spark, sf_dir))
 
 
-@query()
+def _sql_greedy(source: str) -> str:
+    """Common tables for ``WITH RECURSIVE``, of which ``twins`` has (pos, of, similarity), one text after the other."""
+    return f"""normal AS (SELECT doc_id, {_SQL_NORMAL} AS s FROM {source}),
+        grams AS (SELECT DISTINCT doc_id, s[i : i + 4] AS w FROM normal, unnest(range(1, greatest(length(s) - 4, 1) + 1)) AS u(i)),
+        sized AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS k FROM grams),
+        met AS (SELECT a.doc_id AS i, b.doc_id AS j, a.k + b.k AS k, count(*) AS c FROM sized AS a JOIN sized AS b ON a.w = b.w AND a.doc_id < b.doc_id
+                AND least(a.k, b.k) >= 0.69 * greatest(a.k, b.k) GROUP BY ALL),
+        near AS (SELECT i, j, c / CAST(k - c AS DOUBLE) AS similarity FROM met WHERE c / CAST(k - c AS DOUBLE) >= 0.7),
+        later AS (SELECT j, list(i) AS earlier, row_number() OVER (ORDER BY j) AS nth FROM near GROUP BY j),
+        falls AS (SELECT 0::BIGINT AS nth, []::BIGINT[] AS gone UNION ALL
+                  SELECT later.nth, CASE WHEN len(list_filter(earlier, lambda x: NOT list_contains(gone, x))) > 0 THEN list_append(gone, j) ELSE gone END
+                  FROM falls JOIN later ON later.nth = falls.nth + 1),
+        gone AS (SELECT unnest(gone) AS pos FROM falls WHERE nth = (SELECT max(nth) FROM falls)),
+        twins AS (SELECT j AS pos, (list(i ORDER BY similarity DESC, i))[1] AS "of", max(similarity) AS similarity FROM near
+                  WHERE j IN (SELECT pos FROM gone) AND i NOT IN (SELECT pos FROM gone) GROUP BY j)"""
+
+
+@query(f"WITH RECURSIVE {_sql_greedy('documents')} SELECT * FROM twins")
 def neardup_greedy(spark, sf_dir):
     return near_dup.near_duplicates(spark, _texts(spark, sf_dir))
 
@@ -343,6 +394,51 @@ def neardup_lsh(spark, sf_dir):
     return near_dup.near_duplicates(spark, _texts(spark, sf_dir), mode="lsh")
 
 
+# --- the funnel without chance ------------------------------------------------
+
+#: ``lost`` has (doc_id, stage, keys, reason) of each dropped row, ``found`` what was scrubbed.
+_SQL_FUNNEL = f"""{_SQL_TICKETS},
+    gated AS (SELECT doc_id, text, a_intent, {_SQL_LENGTH} AS short, CASE WHEN NOT a_ok THEN 'teacher_1_invalid' WHEN NOT b_ok THEN 'teacher_2_invalid' END AS broken,
+                     {_SQL_DIFFER} AS differ FROM t),
+    alive AS (SELECT doc_id, text, a_intent FROM gated WHERE short IS NULL AND broken IS NULL AND differ = ''),
+    {_sql_greedy('alive')},
+    single AS (SELECT * FROM alive WHERE doc_id NOT IN (SELECT pos FROM twins)),
+    found AS ({_sql_scrub('SELECT doc_id, text FROM single')}),
+    ranked AS (SELECT doc_id, a_intent, row_number() OVER (PARTITION BY a_intent ORDER BY sha256('42:' || doc_id), CAST(doc_id AS VARCHAR)) AS k FROM single),
+    lost AS (SELECT doc_id, 'length' AS stage, [short] AS keys, short || ' (' || length(text) || ' chars)' AS reason FROM gated WHERE short IS NOT NULL
+        UNION ALL SELECT doc_id, 'schema_valid', [broken], broken || ': invalid' FROM gated WHERE short IS NULL AND broken IS NOT NULL
+        UNION ALL SELECT doc_id, 'teacher_agreement', string_split(differ, ','), 'teachers disagree: ' || replace(differ, ',', ', ') FROM gated
+                  WHERE short IS NULL AND broken IS NULL AND differ <> ''
+        UNION ALL SELECT pos, 'dedup', ['near_duplicate'], 'near_duplicate of ' || "of" || ' (jaccard ' || round_even(similarity, 4) || ')' FROM twins
+        UNION ALL SELECT doc_id, 'balance', ['cap_' || a_intent], 'cap_' || a_intent FROM ranked WHERE k > {funnel.CAP})"""
+
+
+def _exact_funnel(spark, sf_dir):
+    return funnel.run_funnel(spark, tickets(spark, sf_dir), funnel.FunnelConfig(dedup_mode="exact"))
+
+
+@query(
+    f"""WITH RECURSIVE {_SQL_FUNNEL},
+        counted AS (SELECT stage AS name, key, count(*) AS n FROM (SELECT stage, unnest(keys) AS key FROM lost) GROUP BY ALL
+            UNION ALL SELECT 'pii_scrub', kind, n::BIGINT FROM (SELECT sum(email) AS email, sum(card) AS card, sum(phone) AS phone FROM found) UNPIVOT (n FOR kind IN (email, card, phone))
+            WHERE n > 0),
+        told AS (SELECT name, string_agg(key || '=' || n, ';' ORDER BY key) AS reasons FROM counted GROUP BY name),
+        gone_by AS (SELECT stage AS name, count(*) AS dropped FROM lost GROUP BY 1),
+        steps AS (SELECT * FROM (VALUES (0, 'input'), (1, 'length'), (2, 'schema_valid'), (3, 'teacher_agreement'), (4, 'dedup'), (5, 'pii_scrub'), (6, 'balance')) AS v(ord, name))
+        SELECT ord, name, CAST((SELECT count(*) FROM documents) - sum(coalesce(dropped, 0)) OVER (ORDER BY ord) AS BIGINT) AS kept, coalesce(dropped, 0) AS dropped,
+               CASE WHEN name = 'pii_scrub' THEN (SELECT count(*) FROM found WHERE email + card + phone > 0) ELSE 0 END AS modified, coalesce(reasons, '') AS reasons
+        FROM steps LEFT JOIN gone_by USING (name) LEFT JOIN told USING (name)"""
+)
+def funnel_exact(spark, sf_dir):
+    """The funnel whose near-duplicate gate misses nothing, as its table of steps."""
+    return _funnel_table(_exact_funnel(spark, sf_dir))
+
+
+@query(f"WITH RECURSIVE {_SQL_FUNNEL} SELECT CAST(doc_id AS VARCHAR) AS id, stage, reason FROM lost")
+def funnel_exact_dropped(spark, sf_dir):
+    return _exact_funnel(spark, sf_dir).dropped.select("id", "stage", "reason")
+
+
 # --- agreement ---------------------------------------------------------------
 
 
@@ -669,12 +765,19 @@ def cost_routed(spark, sf_dir):
 
 
 @query(
-    """SELECT * FROM (VALUES ('teacher: plain', 0.2859::DOUBLE, TRUE), ('student: CPU', 0.7025::DOUBLE, TRUE), ('student: GPU, assumed', 0.0111::DOUBLE, FALSE))
-       AS v(name, usd_per_1k, measured)"""
+    f"""WITH {_SQL_LEDGER}, u AS (SELECT sum(input_tokens) / CAST(sum(items) AS DOUBLE) AS i, sum(output_tokens) / CAST(sum(items) AS DOUBLE) AS o, max(value / 100) AS s FROM l)
+        SELECT 'teacher: ' || p_brand AS name, round_even((any_value(i) * max(p_retailprice) + any_value(o) * max(p_retailprice) * 5) / 1e6::DOUBLE * 1000, 4) AS usd_per_1k, TRUE AS measured
+        FROM part, u GROUP BY p_brand
+        UNION ALL SELECT 'student: CPU', round_even(s * 1000 / 3600 / 1 * {cost.CostConfig.cpu_hourly}::DOUBLE, 4), TRUE FROM u
+        UNION ALL SELECT 'student: GPU, assumed', round_even(1000 / {cost.CostConfig.gpu_items_per_second}::DOUBLE / 3600 * {cost.CostConfig.gpu_hourly}::DOUBLE, 4), FALSE"""
 )
 def cost_table(spark, sf_dir):
-    prices = spark.createDataFrame([("plain", 0.039, 0.525915)], "name string, input_per_million double, output_per_million double")
-    return cost.cost_table(spark, prices, 879.8, 478.4, 3.719)
+    """Brands as models at their highest price, with the tokens and the longest wait of the ledger."""
+    calls_made = ledger(spark, sf_dir)
+    used = cost.token_usage(calls_made).first()
+    top = F.max("p_retailprice")
+    prices = table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("name")).agg(top.alias("input_per_million"), (top * 5).alias("output_per_million"))
+    return cost.cost_table(spark, prices, *used, calls_made.agg(F.max("latency_s")).first()[0])
 
 
 @query(f"WITH {_SQL_LEDGER} SELECT stage, status, coalesce(served_model, '-') AS served_model, count(*) AS count FROM l GROUP BY ALL")
@@ -854,6 +957,31 @@ def label_default_join(spark, sf_dir):
     return table(spark, sf_dir, "orders").join(named, "o_custkey", "left").select("o_orderkey", F.coalesce("c_name", F.lit("not labeled")).alias("label"))
 
 
+@query(
+    """WITH q AS (SELECT CAST(doc_id AS VARCHAR) AS id, quality, toxic FROM labels)
+       SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN a.id IS NULL THEN '?' ELSE 'first' END AS first, CASE WHEN a.id IS NULL THEN 'not labeled' END AS first_error,
+              coalesce(a.quality = 1, FALSE) AS first_repaired, CASE WHEN b.id IS NULL THEN '?' ELSE 'second' END AS second, CASE WHEN b.id IS NULL THEN 'not labeled' END AS second_error
+       FROM documents LEFT JOIN q AS a ON a.id = CAST(doc_id AS VARCHAR) LEFT JOIN (SELECT * FROM q WHERE toxic = 1) AS b ON b.id = CAST(doc_id AS VARCHAR)"""
+)
+def ticket_labels(spark, sf_dir):
+    """Documents with the labels of two teachers, of whom the second knows toxic ones only."""
+    rated = table(spark, sf_dir, "labels")
+
+    def label(model: str) -> Column:
+        repaired = (F.col("quality") == 1).alias("repaired")
+        return F.struct(F.lit(model).alias("model"), _triage(F.col("doc_id"), {}).alias("triage"), F.lit(None).cast("string").alias("error"), repaired).cast(LABEL)
+
+    made = [
+        rows.select(F.col("doc_id").cast("string").alias("id"), label(model).alias(f"label_{i}"))
+        for i, (model, rows) in enumerate((("first", rated), ("second", rated.filter("toxic = 1"))))
+    ]
+    each = teacher.join_labels(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id")), made)
+    a, b = F.col("labels")[0], F.col("labels")[1]
+    return each.select(
+        "id", a["model"].alias("first"), a["error"].alias("first_error"), a["repaired"].alias("first_repaired"), b["model"].alias("second"), b["error"].alias("second_error")
+    )
+
+
 @query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
 def missing_ids(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
@@ -893,7 +1021,7 @@ def _sql_pick(axis: str, values) -> str:
     return f"([{', '.join(repr(v) for v in values)}])[floor({_sql_uniform(axis)} * {len(values)})::INT + 1]"
 
 
-_SQL_SEEDS = f"""WITH i AS (SELECT 's' || lpad(n::VARCHAR, 5, '0') AS id, ([{', '.join(repr(t) for t in INTENTS)}])[n % {len(INTENTS)} + 1] AS topic FROM range(1000) r(n)),
+_SQL_SEEDS = f"""WITH i AS (SELECT 's' || lpad(n::VARCHAR, 5, '0') AS id, ([{', '.join(repr(t) for t in INTENTS)}])[n % {len(INTENTS)} + 1] AS topic FROM range((SELECT count(*) FROM documents)) r(n)),
     d AS (SELECT *, CASE {' '.join(f"WHEN topic = '{t}' THEN {_sql_pick('product', p)}" for t, p in batching.TOPIC_PRODUCTS.items())}
         ELSE {_sql_pick('product', [p for p in PRODUCT_AREAS if p != 'none'])} END AS product, {_sql_pick('tone', batching.TONES)} AS drawn FROM i)
     SELECT row_number() OVER (ORDER BY sha256('42:' || id)) - 1 AS pos, id, topic, product,
@@ -905,16 +1033,8 @@ _SQL_SEEDS = f"""WITH i AS (SELECT 's' || lpad(n::VARCHAR, 5, '0') AS id, ([{',
 
 @query(_SQL_SEEDS)
 def seed_matrix(spark, sf_dir):
-    return batching.seed_matrix(spark, 1000)
-
-
-@query()
-def label_tickets(spark, sf_dir):
-    """Two offline teachers with a repair pass over generated tickets."""
-    rows = teacher.write_tickets(batching.seed_matrix(spark, 300))
-    made = teacher.label_tickets(rows, ["offline-a", "offline-b"])
-    label = lambda i: triage_json(F.col("labels")[i]["triage"])
-    return made.select("id", label(0).alias("first"), label(1).alias("second"), F.col("labels")[0]["repaired"].alias("repaired"))
+    """As many seeds as there are documents."""
+    return batching.seed_matrix(spark, table(spark, sf_dir, "documents").count())
 
 
 # fields hold no character that JSON escapes
@@ -927,6 +1047,55 @@ def keyword_student(spark, sf_dir):
     return student.keyword_student(rows).select("id", "raw", "confidence")
 
 
+@query(
+    f"""WITH {_SQL_TICKETS} SELECT id, a_intent AS intent, k.intent AS predicted, a_order_id AS order_id, k.order_id AS predicted_order_id, confidence
+        FROM t JOIN ({_sql_keyword('SELECT CAST(doc_id AS VARCHAR) AS id, text FROM documents')}) AS k ON id = CAST(doc_id AS VARCHAR)"""
+)
+def gold_predictions(spark, sf_dir):
+    """Gold labels beside the predictions of the keyword student, one to one by id."""
+    gold = examples(spark, sf_dir).select("pos", "id", "text", F.col("triage").alias("label"))
+    own = student.keyword_student(gold.select("pos", "id", "text"))
+    made = metrics.matched(gold.drop("text"), own.drop("pos"))
+    predicted = [F.col("p_triage.intent").alias("predicted"), F.col("p_triage.order_id").alias("predicted_order_id"), F.col("p_confidence").alias("confidence")]
+    return made.select("id", F.col("label.intent").alias("intent"), F.col("label.order_id").alias("order_id"), *predicted)
+
+
+def _sql_token(field: str) -> str:
+    return f"""(length(regexp_extract(raw, '(?s)^(.*?"{field}"\\s*:\\s*"?)', 1)) // 4) % 97 / 100.0::DOUBLE"""
+
+
+@query(
+    f"""WITH a AS (SELECT id, {_SQL_RAW} AS raw FROM ({_sql_keyword('SELECT CAST(doc_id AS VARCHAR) AS id, text FROM documents')}))
+        SELECT id, {', '.join(f'{_sql_token(f)} AS {f}' for f in STRUCTURED)}, least({', '.join(_sql_token(f) for f in STRUCTURED)}) AS confidence FROM a"""
+)
+def answer_confidences(spark, sf_dir):
+    """Confidences of the keyword student's answers as if generated in tokens of four characters, the probability of each by its place."""
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), F.col("doc_id").cast("string").alias("id"), "text")
+    raw = student.keyword_student(rows).select("id", "raw")
+    at = F.sequence(F.lit(0), F.ceil(F.length("raw") / 4).cast("int") - 1)
+    by_field = student.field_confidences(F.col("raw"), F.transform(at, lambda i: (i + 1) * 4), F.transform(at, lambda i: i % 97 / 100.0))
+    made = raw.select("id", by_field.alias("c"))
+    return made.select("id", *[F.try_element_at("c", F.lit(f)).alias(f) for f in STRUCTURED], student.answer_confidence(F.col("c")).alias("confidence"))
+
+
+_SQL_SEEN = f"SELECT CAST(doc_id AS VARCHAR) AS id, clean AS text FROM ({_sql_scrub('SELECT doc_id, text FROM documents')})"
+#: As in ``hash_remainder``: the hash as one number, four hex digits at a time.
+_SQL_SPOILT = f"list_reduce([('0x' || sha256(text)[i * 4 + 1 : i * 4 + 4])::BIGINT FOR i IN range(16)], lambda a, q: (a * 65536 + q) % {teacher.INVALID_EVERY}) = 0"
+
+
+@query(
+    f"""WITH seen AS ({_SQL_SEEN}), plain AS (SELECT id, {_SQL_RAW} AS raw FROM ({_sql_keyword('FROM seen')})),
+        strict AS (SELECT id, {_SQL_RAW} AS raw FROM ({_sql_keyword('FROM seen', high=2)}))
+        SELECT id, plain.raw AS first, strict.raw AS second, {_SQL_SPOILT} AS repaired FROM seen JOIN plain USING (id) JOIN strict USING (id)"""
+)
+def label_tickets(spark, sf_dir):
+    """Two offline teachers with a repair pass over scrubbed documents."""
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pos"), F.col("doc_id").cast("string").alias("id"), "text")
+    made = teacher.label_tickets(rows, ["offline-a", "offline-b"])
+    label = lambda i: triage_json(F.col("labels")[i]["triage"])
+    return made.select("id", label(0).alias("first"), label(1).alias("second"), F.col("labels")[0]["repaired"].alias("repaired"))
+
+
 _SQL_REQUESTS = "SELECT CAST(item_id AS VARCHAR) AS id, text FROM benchmark"
 
 
@@ -945,10 +1114,21 @@ def online_router(spark, sf_dir):
 # --- reports ---------------------------------------------------------------------
 
 
-@query("SELECT * FROM (VALUES ('a', 90.0::DOUBLE, 10.0::DOUBLE), ('b', 45.0::DOUBLE, 45.0::DOUBLE)) AS v(name, width, dropped_width)")
+@query(
+    f"""WITH r AS (SELECT lang, {_SQL_LENGTH} AS reason FROM documents),
+        g AS (SELECT lang AS name, count(*) FILTER (reason IS NULL) AS kept, count(*) FILTER (reason = 'too_long') AS l, count(*) FILTER (reason = 'too_short') AS s FROM r GROUP BY lang)
+        SELECT name, round_even(100.0::DOUBLE * kept / max(kept + l + s) OVER (), 2) AS width, round_even(100.0::DOUBLE * (l + s) / max(kept + l + s) OVER (), 2) AS dropped_width,
+               concat_ws(', ', CASE WHEN l > 0 THEN 'too long ' || l END, CASE WHEN s > 0 THEN 'too short ' || s END) AS details FROM g"""
+)
 def funnel_bars(spark, sf_dir):
-    steps = spark.createDataFrame([("a", 90, 10, {"x_y": 1}), ("b", 45, 45, {})], "name string, kept long, dropped long, reasons map<string,long>")
-    return report.funnel_bars(steps).select("name", "width", "dropped_width")
+    """The length gate of each language as a bar."""
+    gated = table(spark, sf_dir, "documents").select(F.col("lang").alias("name"), funnel.length_reason(F.col("text")).alias("reason"))
+    n = {r: F.count_if(F.col("reason") == r) for r in ("too_long", "too_short")}
+    every = F.create_map(*[x for r, c in n.items() for x in (F.lit(r), c)])
+    steps = gated.groupBy("name").agg(
+        F.count_if(F.col("reason").isNull()).alias("kept"), F.count("reason").alias("dropped"), F.map_filter(every, lambda _, c: c > 0).alias("reasons")
+    )
+    return report.funnel_bars(steps).select("name", "width", "dropped_width", "details")
 
 
 @query(
