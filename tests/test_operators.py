@@ -323,6 +323,13 @@ def test_calibration_equals_one_pass_over_sorted_rows(spark):
     assert router.calibrate(df.limit(0), 0.5).first()[0] == 1.01
 
 
+def test_calibration_sums_each_row_once(spark):
+    """A frame up to the last row is summed anew for every row, which grows with the square of a range."""
+    df = spark.createDataFrame([(i, i / 9, i % 3 > 0) for i in range(9)], "pos long, confidence double, correct boolean")
+    plan = router.calibrate(df, 0.6)._jdf.queryExecution().optimizedPlan().toString()
+    assert "specifiedwindowframe" in plan and "unboundedfollowing" not in plan
+
+
 def test_first_of_groups_equals_sorting(spark):
     """A group of a third of all rows, a null group, repeated and null keys, no rows."""
     rng = random.Random(9)
