@@ -269,9 +269,10 @@ def _block_links(rule: Rule):
         pdf = pdf.sort_values(["n", "doc_id"], kind="stable")
         docs, n, roots = (pdf[c].to_numpy() for c in ("doc_id", "n", "root"))
         blocks, low, high = pdf["block"].to_numpy(), pdf["low"].iloc[0], pdf["high"].iloc[0]
-        classes = rule.rings[int(pdf["ring"].iloc[0])][2]
-        vectors = np.stack(pdf["keys"].to_numpy())
+        ring = int(pdf["ring"].iloc[0])
+        classes = rule.rings[ring][2]
         sets = [np.asarray(h).view(np.uint64) for h in pdf["hashes"]]  # in the order they were sorted
+        vectors = np.stack([rule.class_keys(h, ring)[0] for h in sets])
         void = (vectors == 0).sum(axis=1)
         out_a, out_b = [], []
         for i in range(len(docs) - 1):
@@ -307,8 +308,14 @@ class _Join:
         self.rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
     def signed(self) -> DataFrame:
-        """Rows with their size, the digest of their set and class keys; the node of a set."""
-        signed = self.scratch.save(self.rows.mapInArrow(_sign(self.rule), _SIGNED), "signed")
+        """Rows with their size and the digest of their set; the node of a set.
+
+        The class keys, about as much as the texts, stay in a table of their own until
+        the shared ones are known.
+        """
+        self.keyed = self.scratch.save(self.rows.mapInArrow(_sign(self.rule), _SIGNED), "keyed")
+        several = F.expr("size(keys) > 0").alias("own"), F.expr("size(next_keys) > 0").alias("more")
+        signed = self.scratch.save(self.keyed.select("doc_id", "n", "hi", "lo", "ring", "void", "next_ring", "next_void", *several), "signed")
         copies = (
             signed.filter("n > 0 AND doc_id IS NOT NULL").groupBy("hi", "lo").agg(F.min("doc_id").alias("least"), F.count("*").alias("c"))
         )
@@ -317,22 +324,27 @@ class _Join:
 
     def shared_keys(self, signed: DataFrame) -> DataFrame:
         """(key, doc_id) of the nodes whose key another node has."""
-        own = signed.filter("doc_id IS NOT NULL AND (size(keys) > 0 OR size(next_keys) > 0)")
+        own = self.keyed.filter("doc_id IS NOT NULL AND (size(keys) > 0 OR size(next_keys) > 0)")
         nodes = own.join(self.copies, ["hi", "lo"], "left").filter("least IS NULL OR least = doc_id")
         keys = nodes.select("doc_id", F.explode(F.concat("keys", "next_keys")).alias("key")).filter("key <> 0")
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         dealt = keys.select("key", "doc_id").repartitionByRange(n, "key", "doc_id").sortWithinPartitions("key", "doc_id")
         found = self.scratch.save(dealt.mapInArrow(_shared, "key long, doc_id long"), "shared-0")
+        self.scratch.drop("keyed")
+        self.scratch.settle()
         needs = self._needs(signed)
         for step in range(PEELS):
             found = self._peeled(found, needs, step)
         sizes = self.scratch.save(found.groupBy("key").agg(F.count("*").alias("g")).filter("g > 1"), "sizes")
-        return self.scratch.save(found.join(sizes, "key"), "regions")
+        regions = self.scratch.save(found.join(sizes, "key"), "regions")
+        self.scratch.drop(f"shared-{PEELS}", "sizes")
+        self.scratch.settle()
+        return regions
 
     def _needs(self, signed: DataFrame) -> DataFrame:
         """(doc_id, ring, need): in how many classes a set agrees with any it links with."""
-        own = signed.filter("size(keys) > 0").select("doc_id", "n", "ring", "void")
-        more = signed.filter("size(next_keys) > 0").select("doc_id", "n", F.col("next_ring").alias("ring"), F.col("next_void").alias("void"))
+        own = signed.filter("own").select("doc_id", "n", "ring", "void")
+        more = signed.filter("more").select("doc_id", "n", F.col("next_ring").alias("ring"), F.col("next_void").alias("void"))
         high = F.element_at(F.array(*[F.lit(r[1]) for r in self.rule.rings]), F.col("ring") + 1)
         largest = F.least(high, F.expr(f"n * {self.rule.den} DIV {self.rule.num}"))
         # rows that repeat a doc_id are one node, held to the least of their needs
@@ -376,7 +388,9 @@ class _Join:
         common = F.size(F.array_intersect("ha", "hb"))
         union = F.size("ha") + F.size("hb") - F.col("common")
         both = pairs.join(a, "a").join(b, "b").withColumn("common", common)
-        return self.scratch.save(both.filter(F.col("common") * self.rule.den >= union * self.rule.num).select("a", "b"), name)
+        links = self.scratch.save(both.filter(F.col("common") * self.rule.den >= union * self.rule.num).select("a", "b"), name)
+        self.scratch.settle()
+        return links
 
     def links(self, signed: DataFrame) -> DataFrame:
         """Links that connect what the rule connects; not every linked pair is listed."""
@@ -397,6 +411,7 @@ class _Join:
         open_keys = settled.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
         left = settled.join(self.scratch.save(open_keys.select("key"), "open"), "key")
         left = self.scratch.save(left, "left")
+        self.scratch.drop("regions", "pivots", "settled", "open")
         few = self.verified(self._pairs(left, signed), sets, "links-small")
         many = self.scratch.save(self._blocks(left, rays, signed, sets), "links-large")
         return links.unionAll(few).unionAll(many)
@@ -438,10 +453,10 @@ class _Join:
         members = self.scratch.save(members, "members")
         few = members.count() <= BROADCAST_IDS
         own = signed.filter("n > 0").join(F.broadcast(members) if few else members, "doc_id")
-        vectors = own.select("doc_id", "root", "grp", "n", "ring", "keys").unionAll(
-            own.filter("next_ring > ring").select("doc_id", "root", "grp", "n", F.col("next_ring").alias("ring"), F.col("next_keys").alias("keys"))
+        vectors = own.filter("own").select("doc_id", "root", "grp", "n", "ring").unionAll(
+            own.filter("more").select("doc_id", "root", "grp", "n", F.col("next_ring").alias("ring"))
         )
-        vectors = vectors.filter("size(keys) > 0").join(sets, "doc_id").filter(F.size("hashes") == F.col("n"))
+        vectors = vectors.join(sets, "doc_id").filter(F.size("hashes") == F.col("n"))
         vectors = self.scratch.save(vectors, "vectors")
         sizes = vectors.groupBy("grp", "ring").agg(F.ceil(F.count("*") / F.lit(float(BLOCK))).alias("blocks"))
         dealt = vectors.join(sizes, ["grp", "ring"]).withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks"))
@@ -488,18 +503,19 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, rule: Rule) -> DataFr
     Rows without doc_id stay. All columns are kept as they are.
     """
     placed = jaccard_components(spark, docs, rule)
-    stay = placed.filter("doc_id = component_id").select(F.col("doc_id").alias("__stay")).distinct()
-    scratch = Scratch(spark, "jaccard-stay")
-    stay = scratch.save(stay, "ids")
-    kept = docs.join(stay, F.col("doc_id") == F.col("__stay"), "left_semi")
+    scratch = Scratch(spark, "jaccard-gone")
+    gone = scratch.save(placed.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "ids")
+    scratch.settle()
+    # texts stay where they are while the ids of what goes are few
+    few = lambda ids: F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    kept = docs.join(few(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
     again = scratch.save(docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__again")), "again")
-    nameless = docs.filter("doc_id IS NULL")
     if again.isEmpty():
-        return kept.unionAll(nameless)
-    single = kept.join(again, F.col("doc_id") == F.col("__again"), "left_anti")
-    several = kept.join(again, F.col("doc_id") == F.col("__again"), "left_semi")
+        return kept
+    single = kept.join(few(again), F.col("doc_id") == F.col("__again"), "left_anti")
+    several = kept.join(few(again), F.col("doc_id") == F.col("__again"), "left_semi")
     first = F.row_number().over(
         Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
     )
     several = several.withColumn("__first", first).filter("__first = 1").drop("__first")
-    return single.unionAll(several).unionAll(nameless)
+    return single.unionAll(several)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -81,6 +82,33 @@ def test_jaccard_equals_brute_force(spark, docs, rule):
     assert got == brute_components(rows, rule)
 
 
+def test_near_copies_leave_texts_in_place(spark, docs):
+    """No text is exchanged to drop few documents."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = docs(*[(d, f"a text of some words that number {d // 3} has and no other one") for d in range(30)])
+        kept = drop_near_copies(spark, rows, Rule(5, 80, 100))
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 30, 3))
+        assert "SortMergeJoin" not in kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_settled_tables_leave_no_shuffle_files(spark):
+    def held():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(files.size()) if "shuffle_" in (name := files.apply(i).getName())}
+
+    scratch, before = Scratch(spark, "settle"), held()
+    scratch.save(spark.range(1000).repartition(7, "id"), "dealt")
+    own = held() - before
+    scratch.settle()
+    until = time.monotonic() + 20
+    while own & held() and time.monotonic() < until:
+        time.sleep(0.1)
+    assert own and not own & held()
+
+
 def test_near_copies_edges(spark, docs):
     rows = docs(*EDGES, (5, "one two three"), (6, "one two three"))
     kept = drop_near_copies(spark, rows, Rule(5, 80, 100))
