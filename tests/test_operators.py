@@ -323,6 +323,25 @@ def test_calibration_equals_one_pass_over_sorted_rows(spark):
     assert router.calibrate(df.limit(0), 0.5).first()[0] == 1.01
 
 
+def test_exact_pairs_in_passes(spark, monkeypatch):
+    """Pairs don't depend on tiles and passes."""
+    rng = random.Random(3)
+    base = ["".join(rng.choices("abcdef ", k=90)) for _ in range(6)]
+    texts = [t[: rng.randrange(70, 90)] + "".join(rng.choices("xyz", k=4)) for t in base for _ in range(8)]
+    reps = spark.createDataFrame(list(enumerate(texts)), "pos long, norm string")
+    sets = [near_dup.shingle_set(t) for t in texts]
+    alike = lambda x, y: len(set(x) & set(y)) / len(set(x) | set(y))
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if alike(sets[i], sets[j]) >= 0.7}
+    saved = []
+    save = near_dup.Scratch.save
+    monkeypatch.setattr(near_dup.Scratch, "save", lambda self, df, step: saved.append(step) or save(self, df, step))
+    for rows in (2_000, 7):
+        monkeypatch.setattr(near_dup, "TILE_ROWS", rows)
+        assert {(r.i, r.j) for r in near_dup.exact_pairs(reps).collect()} == want and len(want) > 50
+    assert sum(s.startswith("pairs-") for s in saved) > 2
+    assert near_dup.exact_pairs(reps.limit(0)).count() == 0
+
+
 def test_calibration_sums_each_row_once(spark):
     """A frame up to the last row is summed anew for every row, which grows with the square of a range."""
     df = spark.createDataFrame([(i, i / 9, i % 3 > 0) for i in range(9)], "pos long, confidence double, correct boolean")
