@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, held, release
+from .common import Scratch, held, release, text_blocks
 
 WINDOW = 10
 #: Benchmark bytes that one automaton may hold; a larger benchmark goes in blocks.
@@ -281,8 +281,9 @@ def _keep_clean(docs: DataFrame, items: tuple[tuple[str, str], ...], window: int
         scanner = _scanner(items, window)
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            clean = [not scanner.scan(t.as_py())[1] for t in batch.column(at)]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+            for block in text_blocks(batch):
+                clean = [not scanner.scan(t.as_py())[1] for t in block.column(at)]
+                yield block.filter(pa.array(clean, pa.bool_()))
         release()
 
     return docs.mapInArrow(run, docs.schema)

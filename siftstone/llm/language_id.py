@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import held, release
+from .common import held, release, text_blocks
 
 SAMPLE_ROWS = 120
 DICT_BYTES = 65_536
@@ -182,8 +182,9 @@ def keep_identified(docs: DataFrame, dictionaries: tuple[tuple[str, bytes], ...]
         model = _model(dictionaries)
         for batch in batches:
             at = batch.schema.get_field_index("text")
-            got = [model.predict(t.as_py()) for t in batch.column(at)]
-            yield batch.filter(pa.array([g[0] != UNDETERMINED and g[1] >= NARROW for g in got], pa.bool_()))
+            for block in text_blocks(batch):
+                got = [model.predict(t.as_py()) for t in block.column(at)]
+                yield block.filter(pa.array([g[0] != UNDETERMINED and g[1] >= NARROW for g in got], pa.bool_()))
         release()
 
     return docs.mapInArrow(run, docs.schema)

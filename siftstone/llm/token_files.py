@@ -30,13 +30,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, held, release, scratch_path
+from .common import Scratch, held, release, scratch_path, text_blocks
 
 NULL_ID = -(2**63)
-#: Texts are encoded in blocks of about this many bytes (or one text, if longer).
-BLOCK_BYTES = 8 << 20
-#: Bytes of remembered pieces a worker; later pieces are encoded once a block.
-CACHE_BYTES = 64 << 20
+#: Ids that are put in order and written at once.
+PART_IDS = 1 << 18
+#: Bytes of remembered words a worker; others are encoded once a block.
+CACHE_BYTES = 24 << 20
+#: Places, by hash, where a worker marks the words that it has met.
+MET_BYTES = 4 << 20
 #: What an entry takes beside its key and value: its place in the table.
 _ENTRY_BYTES = 100
 #: Ids of a remote shard that are read at once.
@@ -65,7 +67,8 @@ class PieceEncoder:
     distinct piece of a block is encoded once, with the same result. Any other text
     goes to the library whole: texts with two spaces in a row, or that hold one of
     the file's added tokens. Pieces with anything but plain Latin characters go to
-    the library too. Encoded pieces are remembered while they fit ``CACHE_BYTES``.
+    the library too. Words met twice are remembered while they fit ``CACHE_BYTES``; most
+    are met once only.
     """
 
     def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
@@ -82,17 +85,22 @@ class PieceEncoder:
         self.pre = regex.compile(public_tokenizers.PATTERN)
         self.known: dict[str, bytes] = {}
         self.room = cache_bytes
+        self.met = bytearray(MET_BYTES)
 
     def _word(self, word: str) -> bytes:
-        """The ids of one word of the pre-tokenizer, remembered while there is room."""
+        """The ids of one word of the pre-tokenizer, remembered from its second time on while there is room."""
         made = self.known.get(word)
         if made is None:
             shown = word.encode("utf-8").decode("latin-1").translate(self.letters)
             made = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
-            cost = len(word) + len(made) + _ENTRY_BYTES
-            if cost <= self.room:
-                self.room -= cost
-                self.known[word] = made
+            at = hash(word) % MET_BYTES
+            if self.met[at]:
+                cost = len(word) + len(made) + _ENTRY_BYTES
+                if cost <= self.room:
+                    self.room -= cost
+                    self.known[word] = made
+            else:
+                self.met[at] = 1
         return made
 
     def _whole(self, text: str) -> bytes:
@@ -124,8 +132,8 @@ class PieceEncoder:
             made[i] = b"".join(ids[a:b])
         return made
 
-    def encode_block(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each with the end id after it; number of ids by text)."""
+    def encode_parts(self, texts: pa.Array, end_id: int) -> tuple[Iterator[np.ndarray], np.ndarray]:
+        """(ids of all texts, each with the end id after it, in parts; number of ids by text)."""
         whole = pc.match_substring(texts, "  ")
         for token in self.added:
             whole = pc.or_(whole, pc.match_substring(texts, token))
@@ -147,12 +155,27 @@ class PieceEncoder:
         sizes = np.fromiter(map(len, made), np.int32, len(made)) // 4
         flat = np.frombuffer(b"".join(made), "<u4")
         lengths = sizes[order]
+        by_text = np.add.reduceat(lengths, first[:-1] + np.arange(len(texts)), dtype=np.int64)
+        return self._gathered(flat, sizes, order, lengths), by_text
+
+    @staticmethod
+    def _gathered(flat: np.ndarray, sizes: np.ndarray, order: np.ndarray, lengths: np.ndarray) -> Iterator[np.ndarray]:
+        """The ids of the pieces in order, at most ``PART_IDS`` at once or those of one piece."""
         ends = np.cumsum(lengths, dtype=np.int64)
-        kind = np.int32 if ends[-1] < 1 << 31 else np.int64
-        starts = np.cumsum(sizes, dtype=kind) - sizes
-        at = np.repeat(starts[order] - (ends - lengths).astype(kind), lengths)
-        at += np.arange(len(at), dtype=kind)
-        return flat[at], np.add.reduceat(lengths, first[:-1] + np.arange(len(texts)), dtype=np.int64)
+        starts = np.cumsum(sizes, dtype=np.int64) - sizes
+        a = 0
+        while a < len(order):
+            done = ends[a - 1] if a else 0
+            b = max(a + 1, int(np.searchsorted(ends, done + PART_IDS, side="right")))
+            at = np.repeat(starts[order[a:b]] - (ends[a:b] - lengths[a:b] - done), lengths[a:b])
+            at += np.arange(len(at))
+            yield flat[at]
+            a = b
+
+    def encode_block(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each with the end id after it; number of ids by text)."""
+        parts, sizes = self.encode_parts(texts, end_id)
+        return np.concatenate(list(parts)), sizes
 
     def encode(self, text: str) -> bytes:
         """Ids of one text as little-endian uint32 bytes."""
@@ -169,18 +192,6 @@ def _encoder(path: str) -> PieceEncoder:
     return held("pieces", path, lambda: PieceEncoder(path))
 
 
-def text_blocks(batch: pa.RecordBatch, block_bytes: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """A batch in slices of at most ``block_bytes`` of text, or of one row."""
-    sizes = pc.binary_length(batch.column(batch.schema.get_field_index("text"))).fill_null(0)
-    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
-    at = 0
-    while at < batch.num_rows:
-        done = ends[at - 1] if at else 0
-        stop = max(at + 1, int(np.searchsorted(ends, done + block_bytes, side="right")))
-        yield batch.slice(at, stop - at)
-        at = stop
-
-
 def _local(path: str) -> str | None:
     """The path on a mounted file system, or None for a remote store."""
     at = urlparse(path)
@@ -219,8 +230,9 @@ def _write(tokenizer: str, end_id: int, folder: str):
         with _writing(shard + ".bin") as out:
             for batch in batches:
                 for block in text_blocks(batch):
-                    ids, sizes = encoder.encode_block(block.column(1), end_id)
-                    out.write(ids.astype(f"<u{width}").tobytes())
+                    parts, sizes = encoder.encode_parts(block.column(1), end_id)
+                    for ids in parts:
+                        out.write(ids.astype(f"<u{width}"))
                     lengths.append(sizes.astype("<i8"))
                     docs.append(block.column(0).fill_null(NULL_ID).to_numpy().astype("<i8"))
         sizes = np.concatenate(lengths)

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from siftstone.llm import decontaminate, language_id, quality, secret_scan, token_count
+from siftstone.llm import decontaminate, language_id, quality, secret_scan, token_count, token_files
 from siftstone.llm.token_files import PieceEncoder, text_blocks
 
 EDGES = [(1, None), (2, ""), (3, "x"), (3, "x"), (4, "word " * 30_000), (None, "a\n\tb")]
@@ -444,6 +444,44 @@ def test_text_blocks():
     assert list(text_blocks(batch.slice(0, 0), 10)) == []
 
 
+def test_pieces_are_put_in_order_by_part(monkeypatch):
+    import public_tokenizers
+
+    own = PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = pa.array(["once upon a time " * 40, "", "the 日本 " * 30, "x"])
+    whole, lengths = own.encode_block(texts, 7)
+    monkeypatch.setattr(token_files, "PART_IDS", 50)
+    parts, sizes = own.encode_parts(texts, 7)
+    parts = list(parts)
+    assert max(map(len, parts)) <= 50 < len(whole)
+    assert np.concatenate(parts).tolist() == whole.tolist() and sizes.tolist() == lengths.tolist()
+
+
+def test_words_are_remembered_from_the_second_time_on():
+    import public_tokenizers
+
+    own = PieceEncoder(public_tokenizers.path("byte_bpe_50k.json"))
+    first = own.encode("said onwhesat")
+    assert not own.known
+    assert own.encode("said onwhesat") == first and {"said", " onwhesat"} <= own.known.keys()
+    assert own.encode("said onwhesat") == first
+
+
+def test_kept_rows_leave_in_blocks():
+    class Docs:
+        schema = None
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    texts = [f"{i} the cat and the dog and a bird in a tree " * 20_000 for i in range(12)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(12)), pa.array(texts)], names=["doc_id", "text"])
+    for run in (language_id.keep_identified(Docs(), (("en", b"the cat"),)), decontaminate._keep_clean(Docs(), (("1", "some other words"),), 10)):
+        made = list(run(iter([batch, batch.slice(0, 0)])))
+        assert pa.Table.from_batches(made).to_pydict() == batch.to_pydict()
+        assert max(sum(map(len, m.column(1).to_pylist())) for m in made) <= 4 << 20
+
+
 def test_remainders(docs):
     from pyspark.sql import functions as F
 
