@@ -323,6 +323,62 @@ def test_calibration_equals_one_pass_over_sorted_rows(spark):
     assert router.calibrate(df.limit(0), 0.5).first()[0] == 1.01
 
 
+def test_sketches_let_every_similar_pair_through(monkeypatch):
+    """Texts of like size meet as sketches of some bits; whole sets are left to the few pairs that may be similar."""
+    import pandas as pd
+
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    texts = []
+    for _ in range(40):
+        words = [word() for _ in range(rng.randrange(40, 90))]
+        for edits in (0, 1, 3, 5, 8, 12):
+            made = list(words)
+            for at in rng.sample(range(len(made)), edits):
+                made[at] = word()
+            texts.append(" ".join(made)[: rng.randrange(240, 700)])
+    sets = [set(near_dup.shingle_set(t).tolist()) for t in texts]
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.7}
+    rows = []
+    for pos, s in enumerate(sets):
+        places = [(x * 0x9E3779B97F4A7C15 % (1 << 64)) >> 33 for x in s]
+        own = near_dup._class_of(len(s), 0.7)
+        for c in range(own - near_dup.SPAN, own + near_dup.SPAN + 1):
+            low, high = min(own, c), max(own, c)
+            n = near_dup._sketch_bits(low, high, 0.7)
+            bits = bytearray(n // 8)
+            for x in places:
+                bits[x % n // 8] ^= 128 >> x % n % 8
+            rows.append((low, high, 2 if c == own else int(c < own), pos, len(s), bytes(bits)))
+    frame = pd.DataFrame(rows, columns=["low", "high", "side", "pos", "k", "bits"])
+    for at_once in (1_024, 7):
+        monkeypatch.setattr(near_dup, "AT_ONCE", at_once)
+        found = [near_dup._sketch_pairs(0.7)(tile) for _, tile in frame.groupby(["low", "high"])]
+        found = [pair for f in found for pair in zip(f["i"].tolist(), f["j"].tolist(), strict=True)]
+        assert len(found) == len(set(found)) and want <= set(found)
+        assert len(want) > 50 and len(found) < 3 * len(want)
+
+
+def test_all_pairs_lose_none_among_odd_texts(spark, tmp_path):
+    """Every pair that meets the threshold is listed or follows from the class of a copy."""
+    from siftstone.plans import catalog
+
+    rng = random.Random(9)
+    base = " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(50))
+    texts = [None, "", "  ", "!!!", "a", "ab", "abcd", "abcde", "abcdef", "ababababab", "abababababab", "Tiny", "tiny!", base, base.upper() + "?"]
+    texts += [base[: rng.randrange(200, 300)] + "".join(rng.choices("xyz", k=rng.randrange(0, 40))) for _ in range(40)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    norms = {r.doc_id: r.norm or "" for r in catalog.QUERIES["normalize_text"](spark, str(tmp_path)).collect()}
+    sets = {i: set(near_dup.shingle_set(n).tolist()) for i, n in norms.items()}
+    want = {(i, j) for j in norms for i in range(j) if len(sets[i] & sets[j]) / len(sets[i] | sets[j]) >= 0.7}
+    rows = catalog.QUERIES["neardup_all_pairs"](spark, str(tmp_path)).collect()
+    first = {i: min(j for j in norms if norms[j] == n) for i, n in norms.items()}
+    listed = {(r.i, r.j) for r in rows}
+    assert listed <= want and len(listed) == len(rows)
+    assert all(first[i] == first[j] or tuple(sorted((first[i], first[j]))) in listed for i, j in want)
+    assert all((first[i], i) in listed for i in norms if first[i] != i)
+
+
 def test_exact_pairs_in_passes(spark, monkeypatch):
     """Pairs don't depend on tiles and passes."""
     rng = random.Random(3)
