@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 import numpy as np
 import pandas as pd
@@ -302,6 +302,24 @@ def _block_links(rule: Rule):
     return run
 
 
+def by_ids(rows: DataFrame, ids: DataFrame, on: list[str], how: str) -> DataFrame:
+    """Rows that a semi or anti join with a saved table of ids leaves, without exchanging them.
+
+    Ids are broadcast; more than ``BROADCAST_IDS`` values go in parts by hash, each with the rows of
+    its part, so that rows are read once a part and never moved.
+    """
+    parts = max(-(-ids.count() * len(on) // BROADCAST_IDS), 1)
+    # ids keep their own names, as rows may be what they were made of
+    own = ids.select(*[F.col(c).alias(f"__{c}") for c in on])
+    match = [F.col(c) == F.col(f"__{c}") for c in on]
+    found = []
+    for part in range(parts):
+        of = lambda c: F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(parts)) == part  # noqa: B023, E731
+        some, few = (rows.filter(of(on[0])), own.filter(of(f"__{on[0]}"))) if parts > 1 else (rows, own)
+        found.append(some.join(F.broadcast(few), match, how))
+    return reduce(DataFrame.unionAll, found)
+
+
 class _Join:
     def __init__(self, spark: SparkSession, docs: DataFrame, rule: Rule):
         self.spark, self.rule, self.scratch = spark, rule, Scratch(spark, "jaccard")
@@ -325,7 +343,9 @@ class _Join:
     def shared_keys(self, signed: DataFrame) -> DataFrame:
         """(key, doc_id) of the nodes whose key another node has."""
         own = self.keyed.filter("doc_id IS NOT NULL AND (size(keys) > 0 OR size(next_keys) > 0)")
-        nodes = own.join(self.copies, ["hi", "lo"], "left").filter("least IS NULL OR least = doc_id")
+        # the class keys stay where they are: a copy is told by its id
+        copied = signed.filter("n > 0 AND doc_id IS NOT NULL").join(self.copies, ["hi", "lo"]).filter("least <> doc_id")
+        nodes = by_ids(own, self.scratch.save(copied.select("doc_id", "hi", "lo"), "copied"), ["doc_id", "hi", "lo"], "left_anti")
         keys = nodes.select("doc_id", F.explode(F.concat("keys", "next_keys")).alias("key")).filter("key <> 0")
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         dealt = keys.select("key", "doc_id").repartitionByRange(n, "key", "doc_id").sortWithinPartitions("key", "doc_id")
@@ -377,8 +397,7 @@ class _Join:
 
     def fetch_sets(self, regions: DataFrame) -> DataFrame:
         ids = self.scratch.save(regions.select("doc_id").distinct(), "ids")
-        few = ids.count() <= BROADCAST_IDS
-        wanted = self.rows.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+        wanted = by_ids(self.rows, ids, ["doc_id"], "left_semi")
         return self.scratch.save(wanted.mapInArrow(_sets(self.rule), "doc_id long, hashes array<long>"), "sets")
 
     def verified(self, pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
@@ -504,16 +523,14 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, rule: Rule) -> DataFr
     """
     placed = jaccard_components(spark, docs, rule)
     scratch = Scratch(spark, "jaccard-gone")
-    gone = scratch.save(placed.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct(), "ids")
+    gone = scratch.save(placed.filter("doc_id <> component_id").select("doc_id").distinct(), "ids")
     scratch.settle()
-    # texts stay where they are while the ids of what goes are few
-    few = lambda ids: F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    kept = docs.join(few(gone), F.col("doc_id") == F.col("__gone"), "left_anti")
-    again = scratch.save(docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__again")), "again")
+    kept = by_ids(docs, gone, ["doc_id"], "left_anti")
+    again = scratch.save(docs.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL").select("doc_id"), "again")
     if again.isEmpty():
         return kept
-    single = kept.join(few(again), F.col("doc_id") == F.col("__again"), "left_anti")
-    several = kept.join(few(again), F.col("doc_id") == F.col("__again"), "left_semi")
+    single = by_ids(kept, again, ["doc_id"], "left_anti")
+    several = by_ids(kept, again, ["doc_id"], "left_semi")
     first = F.row_number().over(
         Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
     )
